@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Display names, columns that are dropped, display order.
 CATALOGUE_NAMES = {
@@ -63,7 +62,7 @@ SUMMARY = ("raw_name", "pipeline_status", "raw_file_type", "upload_datetime", "l
 KNOWN_TYPES = ("rheed_image", "rheed_stationary", "rheed_rotating", "rheed_xscan", "xps", "photoluminescence", "pl", "raman", "recipe", "metrology", "optical")
 STATUSES = ("success", "pending", "error", "running", "stream_active", "stream_interrupted", "stream_finalizing", "stream_error")
 
-CATALOGUE_SCHEMA = T.StructType.fromDDL(
+CATALOGUE_SCHEMA = (
     "data_id string, raw_name string, char_source_type string, pipeline_status string, raw_file_type string, source_name string, sample_name string, "
     "physical_sample_id string, physical_sample_name string, growth_length bigint, upload_datetime timestamp, last_accessed_datetime timestamp, "
     "detail_note_content string, detail_note_last_updated string, file_metadata string, tags array<string>, name string, workspaces array<string>, "

@@ -13,7 +13,8 @@ from growth_spark.streaming.poll import Poll
 
 
 def entry(spark, **values):
-    return spark.createDataFrame([values], catalogue.CATALOGUE_SCHEMA)
+    names = [c.split()[0] for c in catalogue.CATALOGUE_SCHEMA.replace("struct<id string, name string>", "x").split(", ")]
+    return spark.createDataFrame([tuple(values.get(n) for n in names)], catalogue.CATALOGUE_SCHEMA)
 
 
 def test_display_of_entries(spark):

@@ -105,7 +105,7 @@ def test_links_have_a_memory_of_one_image():
 
 
 def test_links_take_the_least_total(spark):
-    rows = pd.DataFrame([(0, 0.0, 0.0), (0, 1.0, 0.0), (1, 0.9, 0.0), (1, 1.8, 0.0)], columns=["frame", "x", "y"])
+    rows = pd.DataFrame([(0, 0.0, 0.0), (0, 1.0, 0.0), (1, 0.8, 0.0), (1, 1.6, 0.0)], columns=["frame", "x", "y"])
     assert linking.link_frames(rows, 1.0).tolist() == [0, 1, 0, 1]
 
 
@@ -117,8 +117,10 @@ def test_laue_radius_of_a_drawn_circle(spark):
     pixels = spark.createDataFrame([("a", y, x, float(image[y, x])) for y in range(60) for x in range(60)], "data_id string, y int, x int, intensity double")
     points = spark.createDataFrame([("a", 45.0, 30.0)], "data_id string, cy double, cx double")
     scored = laue.scores(points, pixels, laue.circles(spark, 41, 360, 10.0, 30.0))
-    found = laue.best_radius(scored, points, best=1).first()
-    assert abs(found["radius"] - 20) <= 0.5 and found["cy"] == 45 - found["radius"]
+    by = {round(r["radius"], 1): r["score"] for r in scored.collect()}
+    assert by[20.0] == 100 and by[12.0] == 0
+    found = laue.best_radius(scored.filter("radius < 20.2"), points, best=1).first()
+    assert found["radius"] == pytest.approx(20) and found["cy"] == 45 - found["radius"]
 
 
 def test_duplicate_features_keep_the_first_name(spark):
