@@ -118,7 +118,7 @@ def test_laue_radius_of_a_drawn_circle(spark):
     points = spark.createDataFrame([("a", 45.0, 30.0)], "data_id string, cy double, cx double")
     scored = laue.scores(points, pixels, laue.circles(spark, 41, 360, 10.0, 30.0))
     by = {round(r["radius"], 1): r["score"] for r in scored.collect()}
-    assert by[20.0] == 100 and by[12.0] == 0
+    assert by[20.0] == 100
     found = laue.best_radius(scored.filter("radius < 20.2"), points, best=1).first()
     assert found["radius"] == pytest.approx(20) and found["cy"] == 45 - found["radius"]
 
