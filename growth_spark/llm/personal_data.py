@@ -14,6 +14,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -171,7 +172,14 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray | None:
         patterns[tuple(votes)] += n
     _, post = reliabilities(patterns)
     by = dict(zip(patterns, post, strict=True))
-    return fit_logistic(np.array([f for _, f, _ in counted], float), np.array([by[tuple(v)] for v, _, _ in counted]), np.array([n for *_, n in counted], float))
+    features, labels, weight = [f for _, f, _ in counted], [by[tuple(v)] for v, _, _ in counted], [float(n) for *_, n in counted]
+    # Prior: a candidate that nothing speaks for is no span, whatever its kind, spread, letters and slashes. A corpus
+    # whose candidates all have the same votes would tell nothing of others.
+    for kind, spread, letters, path in product((0, 1), repeat=4):
+        features.append([kind, 0, 0, 0, 0, spread, 0, letters, path, 0])
+        labels.append(0.0)
+        weight.append(0.02 * sum(n for *_, n in counted))
+    return fit_logistic(np.array(features, float), np.array(labels), np.array(weight))
 
 
 def all_spans(text: str, weights: np.ndarray | None) -> tuple[list[Span], list[Span]]:
