@@ -66,6 +66,12 @@ def grid(rows: DataFrame, steps: DataFrame, anchored: bool = True) -> DataFrame:
     return starts.select("origin_us", first.alias("first_us"), last.alias("last_us"), "step_us")
 
 
+def on_grid(signals: DataFrame, one: DataFrame) -> DataFrame:
+    """Each signal with every bin of the grid, which each row unfolds from the grid's ends and step."""
+    ends = signals.join(F.broadcast(one.filter("step_us IS NOT NULL")))
+    return ends.select(*signals.columns, F.explode(F.sequence("first_us", "last_us", "step_us")).alias("bin_us"))
+
+
 def resample(rows: DataFrame, steps: DataFrame, keys: tuple[str, ...] = ("data_id", "domain", "item_pos", "metric"), anchored: bool = True, dense: bool = False) -> DataFrame:
     """Mean of each metric in each bin; ``dense`` adds the empty bins of the common grid as nulls.
 
@@ -76,8 +82,7 @@ def resample(rows: DataFrame, steps: DataFrame, keys: tuple[str, ...] = ("data_i
     means = binned.groupBy(*keys, "bin_us").agg(F.avg("value").alias("value"))
     if not dense:
         return means
-    bins = one.filter("step_us IS NOT NULL").select(F.explode(F.sequence("first_us", "last_us", "step_us")).alias("bin_us"))
-    return rows.select(*keys).distinct().join(bins).join(means, [*keys, "bin_us"], "left")
+    return on_grid(rows.select(*keys).distinct(), one).join(means, [*keys, "bin_us"], "left")
 
 
 def merge_compatible(means: DataFrame) -> DataFrame:
@@ -112,8 +117,7 @@ def align(rows: DataFrame, how: str = "outer", dense: bool = False) -> DataFrame
     means = binned.groupBy("data_id", "domain", "item_pos", "metric", "bin_us").agg(F.avg("value").alias("value"))
     if dense:
         keys = ["data_id", "domain", "item_pos", "metric"]
-        bins = one.filter("step_us IS NOT NULL").select(F.explode(F.sequence("first_us", "last_us", "step_us")).alias("bin_us"))
-        means = signals.select(*keys).distinct().join(bins).join(means, [*keys, "bin_us"], "left")
+        means = on_grid(signals.select(*keys).distinct(), one).join(means, [*keys, "bin_us"], "left")
     return merge_compatible(means)
 
 

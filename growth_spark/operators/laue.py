@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import pixel
@@ -12,11 +12,13 @@ from ..functions.geometry import pixel
 RADII, ANGLES, LOW, HIGH, BEST = 2000, 1440, 100.0, 1400.0, 30
 
 
-def circles(spark: SparkSession, radii: int = RADII, angles: int = ANGLES, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """(radius, theta) of all circles; both ends are included, so the first and last angle are the same point."""
-    r = F.lit(low) + F.col("i") * ((high - low) / max(radii - 1, 1))
-    theta = F.col("j") * (2 * math.pi / max(angles - 1, 1))
-    return spark.range(radii).withColumnRenamed("id", "i").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(angles - 1)))).select(r.alias("radius"), theta.alias("theta"))
+def circles(points: DataFrame, radii: int = RADII, angles: int = ANGLES, low: float = LOW, high: float = HIGH) -> DataFrame:
+    """(data_id, cy, cx, radius, theta): every image's circles, unfolded from its own row without a join. Both ends of
+    either range are included, so the first and last angle are the same point."""
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    rows = points.withColumn("i", numbers(radii)).withColumn("j", numbers(angles))
+    radius = F.lit(low) + F.col("i") * ((high - low) / max(radii - 1, 1))
+    return rows.select("data_id", "cy", "cx", radius.alias("radius"), (F.col("j") * (2 * math.pi / max(angles - 1, 1))).alias("theta"))
 
 
 def centres(nodes: DataFrame) -> DataFrame:
@@ -25,12 +27,12 @@ def centres(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("data_id").agg(F.min_by(point, "node_id").alias("c")).select("data_id", "c.cy", "c.cx")
 
 
-def scores(points: DataFrame, pixels: DataFrame, grid: DataFrame) -> DataFrame:
+def scores(drawn: DataFrame, pixels: DataFrame) -> DataFrame:
     """(data_id, radius, score): the 0.9 quantile of the pixels on each circle; points off the image don't count.
 
-    Circles are dealt out to the images they are drawn on; repeated pixels count each time.
+    Repeated pixels count each time.
     """
-    drawn = points.join(F.broadcast(grid)).select("data_id", "radius", pixel(F.col("radius") * F.cos("theta") + F.col("cx")).alias("x"), pixel(F.col("radius") * F.sin("theta") + F.col("cy") - F.col("radius")).alias("y"))
+    drawn = drawn.select("data_id", "radius", pixel(F.col("radius") * F.cos("theta") + F.col("cx")).alias("x"), pixel(F.col("radius") * F.sin("theta") + F.col("cy") - F.col("radius")).alias("y"))
     on = drawn.filter("x >= 0 AND y >= 0").groupBy("data_id", "radius", "x", "y").agg(F.count("*").alias("times"))
     hit = on.join(pixels, ["data_id", "x", "y"])
     return hit.groupBy("data_id", "radius").agg(F.percentile("intensity", F.lit(0.9), F.col("times")).alias("score"))

@@ -48,6 +48,16 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select("data_id", "domain", "item_pos", "seq", "time_us", "m.metric", "m.value")
 
 
+def hourly_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as long rows by the hour, one item a type: items that share many times."""
+    hour = F.unix_micros(F.date_trunc("hour", F.col("ts").cast("timestamp")))
+    metric = F.explode(F.array(F.struct(F.lit("v").alias("metric"), F.col("value")), F.struct(F.lit("unit").alias("metric"), F.lit(1.0).alias("value"))))
+    e = table(spark, sf_dir, "events")
+    rows = e.select(F.col("event_type").alias("data_id"), F.lit("events").alias("domain"), F.length("event_type").alias("item_pos"), F.col("event_id").alias("seq"), hour.alias("time_us"), metric.alias("m"))
+    return rows.select("data_id", "domain", "item_pos", "seq", "time_us", "m.metric", "m.value")
+
+
+_HOURLY = "e AS (SELECT event_type AS user_id, event_id, 'v' AS event_type, value, epoch_us(date_trunc('hour', ts)) AS t FROM events),"
 _EVENTS = """
 e AS (SELECT user_id, event_id, event_type, value, epoch_us(ts) AS t FROM events),
 f AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY user_id, t ORDER BY event_id) = 1),
@@ -72,7 +82,8 @@ SELECT 'shared', 'events', metric, bin_us, round(arg_min(value, user_id), 6) FRO
 
 def _aligned(how: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return align.align(event_rows(spark, sf_dir), how).withColumn("value", F.round("value", 6))
+        rows = hourly_rows if how == "inner" else event_rows
+        return align.align(rows(spark, sf_dir), how).withColumn("value", F.round("value", 6))
 
     return run
 
@@ -85,7 +96,8 @@ for _how, _kept in {
 }.items():
     _name = "align_merge" if _how == "outer" else f"align_{_how}"
     QUERIES[_name] = _aligned(_how)
-    ORACLE_SQL[_name] = f"WITH {_EVENTS},\nr AS ({_kept}),{_BINNED},{_MERGED}"
+    _first = _EVENTS.replace(_EVENTS.splitlines()[1], _HOURLY) if _how == "inner" else _EVENTS
+    ORACLE_SQL[_name] = f"WITH {_first},\nr AS ({_kept}),{_BINNED},{_MERGED}"
 
 
 @query(f"WITH {_EVENTS} SELECT step AS step_us FROM step")
@@ -487,7 +499,7 @@ SELECT data_id, round(radius, 6) AS radius, round(score, 6) AS score FROM s""")
 def laue_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("data_id"), F.col("embedding").alias("image"))
     points = e.select("data_id", F.lit(3.0).alias("cy"), F.lit(3.0).alias("cx"))
-    scored = laue.scores(points, graphs.pixels(e, 8), laue.circles(spark, 20, 16, 1.03, 6.2))
+    scored = laue.scores(laue.circles(points, 20, 16, 1.03, 6.2), graphs.pixels(e, 8))
     return scored.select("data_id", F.round("radius", 6).alias("radius"), F.round("score", 6).alias("score"))
 
 
@@ -586,7 +598,7 @@ def laue_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("data_id"), F.col("embedding").alias("image"))
     around = e.select("data_id", F.lit(0).alias("node_id"), *[F.lit(1.5).alias(c) for c in ("intensity_centroid_0", "intensity_centroid_1", "specular_origin_0", "specular_origin_1")])
     points = laue.centres(around)
-    return laue.best_radius(laue.scores(points, graphs.pixels(e, 8), laue.circles(spark, 60, 90, 1.0, 6.0)), points)
+    return laue.best_radius(laue.scores(laue.circles(points, 60, 90, 1.0, 6.0), graphs.pixels(e, 8)), points)
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")

@@ -116,7 +116,7 @@ def test_laue_radius_of_a_drawn_circle(spark):
         image[y, x] = 100
     pixels = spark.createDataFrame([("a", y, x, float(image[y, x])) for y in range(60) for x in range(60)], "data_id string, y int, x int, intensity double")
     points = spark.createDataFrame([("a", 45.0, 30.0)], "data_id string, cy double, cx double")
-    scored = laue.scores(points, pixels, laue.circles(spark, 41, 360, 10.0, 30.0))
+    scored = laue.scores(laue.circles(points, 41, 360, 10.0, 30.0), pixels)
     by = {round(r["radius"], 1): r["score"] for r in scored.collect()}
     assert by[20.0] == 100
     found = laue.best_radius(scored.filter("radius < 20.2"), points, best=1).first()
