@@ -85,12 +85,16 @@ class Transducer:
 
     def merged(self, text: str) -> list[str]:
         """The characters of a short string, merged by priority, leftmost first."""
-        parts = list(text)
-        while len(parts) > 1:
-            cost, at = min((self.cost.get(a + b, INFINITE), i) for i, (a, b) in enumerate(pairwise(parts)))
-            if cost == INFINITE:
-                break
+        parts, get = list(text), self.cost.get
+        costs = [get(a + b, INFINITE) for a, b in pairwise(parts)]
+        while costs and (least := min(costs)) < INFINITE:
+            at = costs.index(least)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del costs[at]
+            if at:
+                costs[at - 1] = get(parts[at - 1] + parts[at], INFINITE)
+            if at < len(costs):
+                costs[at] = get(parts[at] + parts[at + 1], INFINITE)
         return parts
 
     def weight(self, last: str, piece: str) -> float:
@@ -202,7 +206,7 @@ class Transducer:
         for k, where in zip(*np.unique(key[(self.pair_key[slot] != key) & (last != START)], return_index=True), strict=True):
             a, b = self.piece[k >> 20], self.piece[k & 0xFFFFF]
             same = key == k
-            ok[same] = self.merged(a + b) == [a, b]
+            ok[same] = a[-1] + b[0] not in self.seams or self.merged(a + b) == [a, b]
             self.pair_key[slot[same]], self.pair_fits[slot[same]] = k, ok[same]
         return ok | (last == START)
 
