@@ -33,7 +33,10 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 NEVER = frozenset("script style noscript template svg math canvas object iframe select option button textarea form nav aside menu head title audio video dialog".split())
 # Words in class, id or role that mark what is no main text.
 BAD = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navigation navbar menu menubar breadcrumb breadcrumbs sidebar aside complementary widget footer foot contentinfo masthead comment comments respond reply replies disqus cookie cookies consent notice notices gdpr popup modal newsletter subscribe signup login search form share sharing social related recommended pager pagination toolbar skip legal copyright disclaimer".split())
+BAD_OUTSIDE = frozenset("header top topbar topnav side sidenav alert warning toc meta byline".split())
 CONTENT = frozenset(("article", "main"))
+CONTENT_NAMES = frozenset("article content main post entry story".split())
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|display\s*:\s*none", re.I)
 #: Elements that end an open paragraph or list item of the same kind (their end tags may be missing).
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -48,8 +51,9 @@ class Node:
         if attributes and "=" in attributes:
             names = [w for m in _NAMES.findall(attributes) for w in re.split(r"[\s_-]+", (m[0] or m[1] or m[2]).lower()) if w]
         self.name = name
-        self.inside = bool(parent and parent.inside) or name in CONTENT
+        self.inside = bool(parent and parent.inside) or name in CONTENT or not CONTENT_NAMES.isdisjoint(names)
         chrome = name in NEVER or name == "footer" or (name == "header" and not self.inside) or not BAD.isdisjoint(names)
+        chrome = chrome or bool(attributes and _HIDDEN.search(attributes)) or not (self.inside or BAD_OUTSIDE.isdisjoint(names))
         self.bad = bool(parent and parent.bad) or (chrome and name not in ("html", "body") and not (name in CONTENT))
         self.key = f"{name}!" if self.bad else name
 

@@ -358,6 +358,12 @@ def test_page_text(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_pages_without_a_content_element():
+    weights = html_text.Weights({})
+    page = '<div class="header">Site</div><div id="content"><div class="post-header"><h1>Title here</h1></div><p>Words of text go on</p><div style="display: none">secret</div><div class="alert cookie-notice">Cookies</div></div><div class="side">Other</div>'
+    assert html_text.main_text(page, weights) == "Title here\n\nWords of text go on"
+
+
 def test_pages_of_the_table(spark):
     import html
 
