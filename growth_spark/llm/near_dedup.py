@@ -142,6 +142,25 @@ def mixed(parts: DataFrame) -> DataFrame:
     return parts.join(parts.groupBy("v").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("v"), "v")
 
 
+def missed(parts: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """All pairs (a, b) of different components among ``parts`` (doc, n, root) that may be similar.
+
+    Full sets are ordered by how few of these classes have a shingle, the rarest first. Of a similar pair the first
+    common shingle stands among the first quarter of both, and what follows it is enough for the overlap that the two
+    sizes ask for. So copies whose edits are too many for each other meet in no pair, however long the lists are.
+    """
+    inside = parts.join(sets, "doc").select("doc", "n", "root", F.explode("own").alias("v"))
+    often = inside.groupBy("v").agg(F.count("*").alias("f")).filter("f > 1")
+    shared = inside.join(often, "v").groupBy("doc", "n", "root").agg(F.array_sort(F.collect_list(F.struct("f", "v"))).alias("values"))
+    before = F.col("n") - F.size("values")  # shingles of this class alone come first
+    places = F.floor(F.col("n") * (100 - SIMILAR) / 100) + 1 - before
+    listed_ = shared.withColumn("before", before).select("doc", "n", "root", "before", F.posexplode(F.slice("values", 1, F.greatest(places, F.lit(0)).cast("int"))).alias("at", "x"))
+    rows = scratch.save(mixed(listed_.select(F.col("x.v").alias("v"), "doc", "n", "root", (F.col("n") - F.col("before") - F.col("at")).alias("rest"))), "left")
+    x, y = (rows.select("v", F.col("doc").alias(d), F.col("n").alias(m), F.col("root").alias(r), F.col("rest").alias(o)) for d, m, r, o in (("a", "na", "ra", "oa"), ("b", "nb", "rb", "ob")))
+    enough = F.least("oa", "ob") * (100 + SIMILAR) >= (F.col("na") + F.col("nb")) * SIMILAR
+    return x.join(y, "v").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near_sizes() & enough).select("a", "b").distinct()
+
+
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs whose classes are in different components (a class without a link is one alone)."""
     x, y = (labels.select(F.col("node").alias(c), F.col("root").alias(r)) for c, r in (("a", "ra"), ("b", "rb")))
@@ -178,17 +197,9 @@ def cluster(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         links = links.unionByName(scratch.save(confirmed(rest, sets), "links2"))
         labels = components(links, scratch, "second")
     # Long lists with several components: pairs of different components that no pivot has brought together.
-    # A class can't be linked to another of these if too many of its shingles are in no other of them.
     parts = entries.join(sizes.filter(F.col("c") > ALL).select("v"), "v").join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
-    parts = scratch.save(mixed(parts.select("v", "doc", "n", "root")), "parts")
-    inside = sets.join(parts.select("doc").distinct(), "doc", "left_semi").select("doc", F.explode("own").alias("x"))
-    alone = inside.groupBy("x").agg(F.count("*").alias("f"), F.min("doc").alias("doc")).filter("f = 1").groupBy("doc").agg(F.count("*").alias("alone"))
-    parts = parts.join(alone, "doc", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0))).filter(F.col("most") * 100 >= F.col("n") * SIMILAR)
-    parts = scratch.save(mixed(parts.select("v", "doc", "n", "root", "most")), "left")
-    x, y = (parts.select("v", F.col("doc").alias(d), F.col("n").alias(m), F.col("root").alias(r), F.col("most").alias(o)) for d, m, r, o in (("a", "na", "ra", "oa"), ("b", "nb", "rb", "ob")))
-    enough = F.least("oa", "ob") * (100 + SIMILAR) >= (F.col("na") + F.col("nb")) * SIMILAR
-    more = x.join(y, "v").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near_sizes() & enough).select("a", "b").distinct()
-    more = scratch.save(estimated(more, classes).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "more")
+    parts = scratch.save(mixed(parts.select("v", "doc", "n", "root")).select("doc", "n", "root").distinct(), "parts")
+    more = scratch.save(missed(parts, sets, scratch).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
         links = links.unionByName(scratch.save(confirmed(more, sets), "links3"))
         labels = components(links, scratch, "third")
