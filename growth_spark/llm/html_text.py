@@ -2,7 +2,9 @@
 
 A page is read as a sequence of tokens. A word scores positive and a tag negative; how much depends on the element it
 stands in, by weights learned from labelled pages. One linear scan finds the contiguous region of greatest score. Blocks
-of menus, headers, footers, sidebars, notices, adverts, forms and comments inside the region are left out.
+of menus, headers, footers, sidebars, notices, adverts, forms and comments inside the region are left out. From the first
+to the last token of a page's content elements (anywhere, on a page that names none) such blocks cost nothing, so that no
+text around them is lost.
 
 Labelled pages are those whose markup names its content element (``article`` or ``main``): what lies in it counts as
 content, all else as not. At most ``LABELLED`` of them are learned from.
@@ -139,9 +141,13 @@ class Weights:
 def main_text(page: str, weights: Weights) -> str:
     """The blocks of the best region, joined by empty lines; "" where no region scores above zero."""
     parts = list(tokens(page))
+    content = [i for i, (_, node, _) in enumerate(parts) if node.inside and not node.bad]
+    first, last = (content[0], content[-1]) if content else (0, len(parts))
     best, best_from, best_to = 0.0, 0, 0
     score, begin = 0.0, 0
     for i, (kind, node, text) in enumerate(parts):
+        if node.bad and first <= i <= last:
+            continue
         if kind == "text":
             score += weights.of_word(node) * len(_WORDS.findall(text)) if not text.isspace() else 0.0
         else:

@@ -364,6 +364,31 @@ def test_pages_without_a_content_element():
     assert html_text.main_text(page, weights) == "Title here\n\nWords of text go on"
 
 
+LINKS = "".join(f"<li><a href=/{i}>Link number {i}</a></li>" for i in range(30))
+BLOCKS = [f"<nav><ul>{LINKS}</ul></nav>", f"<aside><ul>{LINKS}</ul></aside>", f"<div class=related>{LINKS}</div>", "<script>" + "x = y + z; " * 400 + "</script>", "<div class=advert>" + "<p>buy this now " * 200 + "</div>", "<div class=comments>" + "<p>a reader says <a>so</a>" * 100 + "</div>"]
+
+
+@pytest.mark.parametrize("block", BLOCKS)
+@pytest.mark.parametrize(("start", "end"), [("<article>", "</article>"), ("<div id=content>", "</div>"), ("", "")])
+def test_text_on_both_sides_of_a_left_out_block_stays(spark, block, start, end):
+    lead, body = " ".join(f"lead{i}" for i in range(100)), " ".join(f"body{i}" for i in range(150))
+    for weights in (html_text.Weights({}), weights_of_table(spark)):
+        for one, two in ((lead, body), (body, lead)):
+            page = f"<html><body><nav><a href=/>Home page</a></nav>{start}<p>{one}</p>{block}<p>{two}</p>{end}<footer>Foot words</footer></body></html>"
+            assert html_text.main_text(page, weights) == f"{one}\n\n{two}"
+
+
+def weights_of_table(spark, have={}):  # noqa: B006
+    if not have:
+        have[0] = html_text.Weights(html_text.learn(spark.read.parquet(f"{SF}/pages.parquet")))
+    return have[0]
+
+
+def test_chrome_outside_of_content_still_parts_it_from_other_text(spark):
+    page = f"<html><body><div>Site name</div><nav>{LINKS}</nav><article><p>{'word ' * 50}</p></article><nav>{LINKS}</nav><div>More words</div></body></html>"
+    assert html_text.main_text(page, weights_of_table(spark)).split() == ["word"] * 50
+
+
 def test_pages_of_the_table(spark):
     import html
 
