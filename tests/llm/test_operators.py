@@ -216,6 +216,42 @@ def test_contamination_of_odd_tables(spark, odd, empty, bench):
     assert decontaminate.decontaminate(odd, bench).columns == odd.columns
 
 
+@pytest.mark.parametrize("most", [decontaminate.MOST_WORDS, 300])
+def test_rows_are_judged_by_their_own_text(spark, odd, bench, most):
+    """Null and repeated keys with texts of as many words, one of them contaminated, by one part and by several."""
+    items = bench.limit(20).collect()
+    hit = " ".join(items[0]["text"].split()[:30])
+    clean = " ".join(f"q{i}q" for i in range(len(decontaminate.words(hit.encode()))))
+    rows = [(None, hit, "en", "s", 1), (None, clean, "en", "s", 2), (7, hit, "en", "s", 3), (7, clean, "en", "s", 4), (7, clean, "en", "s", 4), (8, None, "en", "s", 5)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    small = spark.createDataFrame([(r["item_id"], r["text"]) for r in items], "item_id bigint, text string")
+    found = decontaminate.contamination(docs, small, most=most).collect()
+    want = sorted((k, bool(t == hit)) for k, t in ((str(r[0]), r[1]) for r in rows))
+    assert sorted((str(r["doc_id"]), len(r["hits"]) > 0) for r in found) == want
+    left = decontaminate.decontaminate(docs, small, most=most).collect()
+    assert sorted((str(r["doc_id"]), r["n_chars"]) for r in left) == [("7", 4), ("7", 4), ("8", 5), ("None", 2)]
+    assert decontaminate.contamination(odd, small, most=most).count() == odd.count()
+
+
+def test_parts_of_the_benchmark_keep_to_their_bound(spark):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(5 + 7 * (i % 9)))) for i in range(60)] + [(99, " ".join(f"l{j}" for j in range(2000)))]
+    df = spark.createDataFrame(items, "item_id bigint, text string")
+    cut = decontaminate.in_parts(df.select("item_id", F.col("text").cast("binary").alias("bytes")), "item_id", 13, 1000).cache()
+    sizes = {(r["_bucket"], r["_share"]): r["n"] for r in cut.groupBy("_bucket", "_share").agg(F.sum(F.length("bytes")).alias("n")).collect()}
+    groups = decontaminate.packed(cut, 1000)
+    assert sorted(s for g in groups for s in g) == sorted(sizes) and all(sum(sizes[s] for s in g) <= 1000 for g in groups)
+
+    def windows(rows):
+        found = set()
+        for i, t in rows:
+            w = decontaminate.words(bytes(t))
+            n = min(13, len(w))
+            found |= {(i, *w[k : k + n]) for k in range(len(w) - n + 1)}
+        return found
+
+    assert windows(cut.select("item_id", "bytes").collect()) == windows((i, t.encode()) for i, t in items)
+
+
 def brute_rules(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     lines = [x for x in text.split("\n")]
