@@ -135,9 +135,19 @@ p AS (SELECT *, row_number() OVER (PARTITION BY signal, known ORDER BY t) - 1 AS
 SELECT signal, t AS bin_us, round(CASE WHEN v IS NOT NULL THEN v WHEN known > 0 AND place <= 4 THEN coalesce(v0 + (v1 - v0) * (t - t0)::DOUBLE / (t1 - t0)::DOUBLE, v0) END, 6) AS value FROM p
 """)
 def align_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled users on a three-hour step, gaps of up to twelve hours filled (the rule's own example set of users)."""
-    rows = event_rows(spark, sf_dir).filter("metric != 'unit' AND item_pos < 20").withColumn("label", F.concat(F.lit("user "), "data_id"))
-    return align.align_labelled(rows, 10_800_000_000, 43_200_000_000).withColumn("value", F.round("value", 6))
+    """Labelled users on a three-hour step, gaps of up to twelve hours filled: the twenty users that the SQL takes."""
+    return labelled(event_rows(spark, sf_dir).filter("item_pos < 20"))
+
+
+@query()
+def align_labelled_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of all users, on the grid of all their times."""
+    return labelled(event_rows(spark, sf_dir))
+
+
+def labelled(rows: DataFrame) -> DataFrame:
+    named = rows.filter("metric != 'unit'").withColumn("label", F.concat(F.lit("user "), "data_id"))
+    return align.align_labelled(named, 10_800_000_000, 43_200_000_000).withColumn("value", F.round("value", 6))
 
 
 def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,9 @@
+from datetime import UTC, datetime
+
 import pytest
 from pyspark.sql import functions as F
 
+from growth_spark import queries
 from growth_spark.functions import time as times
 from growth_spark.operators import align
 
@@ -88,3 +91,38 @@ def test_dense_grid_has_empty_bins(spark):
     assert [r["value"] for r in align.align(df, dense=True).orderBy("bin_us").collect()][:1] == [1.5]
     steps = spark.range(1).select(F.lit(1_000_000).alias("step_us"))
     assert align.resample(df, steps, ("metric",), dense=True).count() == 6
+
+
+def brute_labelled(events, step=10_800, limit=4):
+    """Per signal and bin, in seconds: means, gaps filled linearly for their first bins, tails held as long."""
+    times_ = [t for _, t, *_ in events]
+    origin = min(times_) // 86_400 * 86_400
+    first, last = (origin + (t - origin) // step * step for t in (min(times_), max(times_)))
+    grid, out = range(first, last + 1, step), {}
+    for signal in {f"user {u} | {kind}" for _, _, u, kind, _ in events}:
+        own = [(origin + (t - origin) // step * step, v) for _, t, u, kind, v in events if f"user {u} | {kind}" == signal]
+        mean = {b: sum(v for c, v in own if c == b) / sum(c == b for c, _ in own) for b, _ in own}
+        for b in grid:
+            before, after = max((c for c in mean if c <= b), default=None), min((c for c in mean if c >= b), default=None)
+            if b in mean:
+                value = mean[b]
+            elif before is None or (b - before) // step > limit:
+                value = None
+            else:
+                value = mean[before] if after is None else mean[before] + (mean[after] - mean[before]) * (b - before) / (after - before)
+            out[signal, b * 1_000_000] = value
+    return out
+
+
+def test_labelled_alignment_takes_all_users(spark, tmp_path):
+    start = 1_704_070_800  # 01:00 on the first of January 2024
+    events = [(i, start + (i * 7919) % 260_000, (0, 3, 19, 20, 21, 150, 4000)[i % 7], "ab"[i % 3 == 0], float(i * i % 31)) for i in range(70)]
+    events += [(900, start - 3600, 77, "a", 1.0), (901, start + 400_000, 4000, "b", 2.0)]  # the ends are those of late users
+    rows = [(i, datetime.fromtimestamp(t, UTC).replace(tzinfo=None), u, kind, v) for i, t, u, kind, v in events]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double").write.parquet(f"file://{tmp_path}/events.parquet")
+    want = brute_labelled(events)
+    found = {(r["signal"], r["bin_us"]): r["value"] for r in queries.QUERIES["align_labelled_all"](spark, f"file://{tmp_path}").collect()}
+    assert found.keys() == want.keys() and {s.split()[1] for s, _ in found} > {"20", "4000"}
+    assert all((found[k] is None) == (v is None) and (v is None or abs(found[k] - v) < 1e-5) for k, v in want.items())
+    few = {r["signal"] for r in queries.QUERIES["align_labelled"](spark, f"file://{tmp_path}").collect()}
+    assert {s.split()[1] for s in few} == {"0", "3", "19"}
