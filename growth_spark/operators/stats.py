@@ -34,6 +34,22 @@ def without_duplicate_features(rows: DataFrame) -> DataFrame:
     return rows.join(kept, "feature", "left_semi")
 
 
+def labels(df: DataFrame, name: str = "Physical Sample Name", notes: str = "Sample Notes") -> DataFrame:
+    """``df`` with labels told from a sample's name and notes: quality, run_date, doping and miscut (first match stands).
+
+    The run's date is what precedes the name's first hyphen; null where it is no date.
+    """
+    n, t = F.col(name), F.col(notes)
+    first = F.trim(F.split(n, "-")[0])
+    dates = [F.try_to_timestamp(first, F.lit(f)) for f in ("yyyyMMdd", "yyMMdd", "M/d/yyyy")]
+    return df.withColumns({
+        "quality": F.when(t.contains("Quality: Textured"), "textured").otherwise("good"),
+        "run_date": F.coalesce(*dates, first.try_cast("timestamp")).cast("date"),
+        "doping": F.when(n.contains("-V-"), "V").when(n.contains("-N2-"), "N2").otherwise("none"),
+        "miscut": F.when(t.contains("0.2deg"), "0.2").when(n.contains("0.5deg"), "0.5").otherwise("none"),
+    })
+
+
 def clip_unit(column: str):
     return F.greatest(F.least(F.col(column), F.lit(1.0)), F.lit(0.0))
 

@@ -623,11 +623,10 @@ def poll_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def bagged_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality of documents by their length and source, from bootstrap samples; error rate by label."""
+    """Quality of documents by their length and source, from bootstrap samples; each is scored by models fitted without its fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") / 1000).alias("size"), F.length("source").cast("double").alias("name"))
     rows = table(spark, sf_dir, "labels").join(docs, "doc_id").filter("quality IS NOT NULL")
-    coefficients, intercept = ml.bagged_logistic(ml.vectors(rows, ["size", "name"]), "quality", bags=3)
-    scored = ml.applied(rows, ["size", "name"], coefficients, intercept, logistic=True)
+    scored = ml.held_out_logistic(rows, ["size", "name"], "quality", "doc_id", 5, bags=3)
     return stats.confusion(scored.withColumn("predicted", (F.col("prediction") > 0.5).cast("int")), "quality", "predicted")
 
 

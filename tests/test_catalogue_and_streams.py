@@ -1,3 +1,4 @@
+import math
 import os
 import tempfile
 import time
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from growth_spark.functions import chunks
-from growth_spark.operators import ml
+from growth_spark.operators import ml, stats
 from growth_spark.sources import catalogue, files, graphs, series, spectra
 from growth_spark.streaming import frames
 from growth_spark.streaming.poll import Poll
@@ -146,3 +147,46 @@ def test_bagged_models(spark):
     assert sum((r["prediction"] > 0.5) == (r["y"] == 1) for r in scored) >= 36
     weights, intercept = ml.bagged_linear(rows, "t", bags=2)
     assert all(0 <= r["prediction"] <= 1 for r in ml.applied(df, ["a", "b"], weights, intercept).collect())
+
+
+def test_each_row_is_scored_without_its_fold(spark):
+    # Row 0 stands apart with the wrong label: fitted on it, models follow it; without it, they do not.
+    data = [(0, 1000.0, 0), *((i, float(i % 2), i % 2) for i in range(1, 9))]
+    df = spark.createDataFrame(data, "k bigint, a double, y int")
+    found = {r["k"]: r for r in ml.held_out_logistic(df, ["a"], "y", "k", 9, bags=2).collect()}
+    assert sorted(r["fold"] for r in found.values()) == list(range(9)) and found[0]["prediction"] > 0.99
+    alone, intercept = ml.bagged_logistic(ml.vectors(ml.folds(df, "k", 9), ["a"]).filter(F.col("fold") != found[3]["fold"]), "y", bags=2)
+    assert abs(found[3]["prediction"] - 1 / (1 + math.exp(-(alone[0] + intercept)))) < 1e-6
+    assert {r["fold"] for r in ml.folds(df, "k", 3).collect()} <= {0, 1, 2} and ml.held_out_logistic(df, ["a"], "y", "k", 3, bags=1).count() == 9
+
+
+def test_samples_of_one_class_are_drawn_again(spark):
+    df = spark.createDataFrame([(float(i), int(i == 0)) for i in range(6)], "a double, y int").coalesce(1)
+    rows = ml.vectors(df, ["a"])
+    first = next(s for s in range(100) if rows.sample(True, 1.0, s).select("y").distinct().count() == 1)
+    weights, _ = ml.bagged_logistic(rows, "y", bags=1, seed=first)
+    assert weights[0] < 0
+    with pytest.raises(ValueError, match="one class"):
+        ml.bagged_logistic(rows.filter("y = 0"), "y", bags=1)
+
+
+def test_labels_from_names_and_notes(spark):
+    rows = [("20240131-V-0.5deg", "0.2deg Quality: Textured"), ("20240201-N2-0.5deg", ""), ("x-V--N2-", None)]
+    found = stats.labels(spark.createDataFrame(rows, "`Physical Sample Name` string, `Sample Notes` string"))
+    got = [(r["quality"], str(r["run_date"]), r["doping"], r["miscut"]) for r in found.collect()]
+    assert got == [("textured", "2024-01-31", "V", "0.2"), ("good", "2024-02-01", "N2", "0.5"), ("good", "None", "V", "none")]
+
+
+def test_poll_gives_the_last_rows_of_each_item(spark):
+    kept, out = "file://" + tempfile.mkdtemp(prefix="spark-") + "/kept", []
+    make = lambda: Poll(lambda df, n: out.append(sorted(tuple(r) for r in df.collect())), last_n=2, item=("v",), kept=kept)
+    batch = lambda *rows: spark.createDataFrame(rows, "v string, time_us bigint")
+    poll = make()
+    poll.batch(batch(("a", 1), ("a", 2), ("a", 3), ("b", 1)), 0)
+    poll.batch(batch(("b", 2)), 1)
+    make().batch(batch(("b", 2)), 1)  # run again after a restart
+    make().batch(batch(("a", 9), ("b", 0)), 2)
+    one = [("a", 2), ("a", 3), ("b", 1), ("b", 2)]
+    assert out == [one[:3], one, one, [("a", 3), ("a", 9), ("b", 1), ("b", 2)]]
+    with pytest.raises(ValueError):
+        Poll(print, last_n=2)
