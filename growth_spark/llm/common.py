@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Odd multiplier of the polynomial hashes (mod 2**64, so that it has an inverse).
@@ -19,8 +19,10 @@ BLOCK = 1 << 19
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only where the session names none (local runs)."""
+    """The folder that all executors share; one of our own only where the session names none and runs locally."""
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return path or _OWN.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="spark-"))
 
 
@@ -28,12 +30,21 @@ _OWN: dict[str, str] = {}
 
 
 class Scratch:
-    """Parquet tables in the shared checkpoint folder: they cut lineage and survive the loss of executors."""
+    """Parquet tables in the shared checkpoint folder: they cut lineage and survive the loss of executors.
+
+    A table that no later step reads may be dropped; the last ones stay, as the query's rows are read from them.
+    """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
+    def drop(self, *names: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.option("compression", "zstd").parquet(path)
@@ -84,7 +95,7 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
-    """``base**i`` and its inverse for i up to n, mod 2**64."""
+    """``base**i`` and its inverse for i up to n, mod 2**64; a worker keeps 2 * BLOCK of each (16 MB a base) at most."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) <= n:
         inverse = pow(base, -1, 1 << 64)
@@ -92,7 +103,9 @@ def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
         up, down = np.full(most, base, np.uint64), np.full(most, inverse, np.uint64)
         up[0] = down[0] = 1
         with np.errstate(over="ignore"):
-            have = _POWERS[base] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+            have = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        if most <= 2 * BLOCK:
+            _POWERS[base] = have
     return have[0][: n + 1], have[1][: n + 1]
 
 
@@ -112,6 +125,28 @@ def window_hash(prefix: np.ndarray, length: int, base: int = BASE, at: np.ndarra
     return mix((prefix[at + length] - prefix[at]) * down[at])
 
 
+#: Stands for a null key: such documents come after all others.
+LAST = (1 << 63) - 1
+
+
+def key_of(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("bigint"), F.lit(LAST))
+
+
+def mark_of(key: str, text: str) -> Column:
+    """Tells rows of one key apart: rows alike in key and text are one document, others are not."""
+    return F.xxhash64(F.lit(42), F.col(key), F.col(text))
+
+
+def document(key: str, text: str) -> dict[str, Column]:
+    """What the operators on repeats and copies know a row by (doc, mark), and its bytes (null as empty)."""
+    return {"doc": key_of(key), "mark": mark_of(key, text), "bytes": F.coalesce(F.col(text), F.lit("")).cast("binary")}
+
+
+def documents(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(*(c.alias(n) for n, c in document(key, text).items()))
+
+
 def with_binary(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The key and the text's UTF-8 bytes only, null as empty."""
     return df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("bytes"))

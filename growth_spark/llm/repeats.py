@@ -1,16 +1,13 @@
-"""Candidate search that both exact substring operators use: windows that repeat somewhere, without loss.
+"""Candidate search that both exact substring operators use: windows that may repeat somewhere, without loss.
 
-A text is a sequence of units (words or bytes), each with a 64-bit code. Of the k-grams inside each window of L units the
+A text is a sequence of units (words or bytes), each with a 64-bit code. Of the grams inside each window of L units the
 one of least hash (the rightmost, if tied) is the window's anchor: equal windows have equal anchors at equal places, and
-about 2 / (L - k + 2) of all positions are anchors. Neighbouring windows with one anchor form a segment, which is a row
-(a: the anchor's hash, g: the hash of all the segment's units, doc, s: first window, n: windows).
+about 2 / (L - gram + 2) of all positions are anchors. Neighbouring windows with one anchor form a segment; a window can
+repeat only if its anchor does, so segments whose anchor occurs once in the corpus go.
 
-* Only segments whose anchor occurs again stay (the anchors alone are counted first).
-* Segments with equal a and g hold equal windows: all but the first are repeats as they are.
-* The first of each such class, where an anchor has several classes, is open: its windows must be compared one by one.
-
-Each task drops its own repeats before anything is shuffled, so a passage that a third of all documents share comes to
-one row from each task. "First" is by (doc, s), or by doc alone where a document's own repeats don't count.
+Anchors are counted in one pass and one shuffle. A task compares its own segments first: those whose anchor it holds
+twice are candidates at once, whatever the rest of the corpus holds, and are dealt out under salted keys with one marker
+a task for the anchor. So an anchor that a third of all documents share sends one row from each task to its place.
 """
 
 from __future__ import annotations
@@ -18,16 +15,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLOCK, Scratch, map_batches, mix, prefix_hash, window_hash
+from .common import BLOCK, document, documents, map_batches, mix, prefix_hash, window_hash
 
-#: Rows that a task compares with each other before it sends them on.
-FLUSH = 1_500_000
-#: Stands for a null key: such documents come after all others.
-LAST = (1 << 63) - 1
-ROW = "kind int, a bigint, g bigint, doc bigint, s bigint, n bigint"
+#: Segments that a task compares with each other before it sends them on.
+FLUSH = 500_000
+#: Keys that an anchor which repeats within a task is dealt out under.
+SALTS = 64
+#: Longest window: its places have ten bits in a row.
+LONGEST = 1023
+SINGLE, KNOWN, MARKER = 0, 1, 2
 Units = Callable[[bytes], np.ndarray]
 
 
@@ -46,13 +45,13 @@ def cut(sizes: list[int], window: int) -> Iterator[list[tuple[int, int, int]]]:
         yield lot
 
 
-def segments(units: np.ndarray, ends: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(first window, windows, a, g) of the segments of texts laid end to end; no window crosses an end."""
-    prefix = prefix_hash(units)
-    hashes = window_hash(prefix, gram)
+def segments(units: np.ndarray, ends: np.ndarray, window: int, gram: int, among: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(first window, windows, anchor's place in the first window, anchor's hash) of the segments of texts laid end to
+    end; no window crosses an end, and only windows in ``among`` (a mask) count."""
+    hashes = window_hash(prefix_hash(units), gram)
     n = len(units) - window + 1
     if n <= 0:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
     low = np.uint64(0xFFFFF)
     least = (hashes & ~low) | (low - np.arange(len(hashes), dtype=np.uint64))
     width, have = window - gram + 1, 1
@@ -61,7 +60,7 @@ def segments(units: np.ndarray, ends: np.ndarray, window: int, gram: int) -> tup
         have *= 2
     least = np.minimum(least[:n], least[width - have : width - have + n])
     anchor = (low - (least & low)).astype(np.int64)
-    valid = np.ones(n, bool)
+    valid = np.ones(n, bool) if among is None else among[:n].copy()
     for e in ends[:-1].tolist():
         valid[max(0, e - window + 1) : e] = False
     new = valid.copy()
@@ -69,118 +68,101 @@ def segments(units: np.ndarray, ends: np.ndarray, window: int, gram: int) -> tup
     over = np.flatnonzero(new | ~valid)
     first = np.flatnonzero(new)
     stop = np.append(over, n)[np.searchsorted(over, first, side="right")]
-    count = stop - first
-    return first, count, hashes[anchor[first]], window_hash(prefix, count + window - 1, at=first)
-
-
-class Held:
-    """Rows that a task holds back until it has enough of them to drop repeats among its own."""
-
-    def __init__(self, own: bool) -> None:
-        self.own, self.parts, self.size = own, [], 0
-
-    def add(self, *columns: np.ndarray) -> bool:
-        self.parts.append(columns)
-        self.size += len(columns[0])
-        return self.size >= FLUSH
-
-    def take(self) -> tuple[list[np.ndarray], np.ndarray]:
-        """Columns (keys…, doc, s, n) in the order of the first two and (doc, s), and which rows are repeats."""
-        columns = [np.concatenate(c) for c in zip(*self.parts, strict=True)] if self.parts else [np.zeros(0, np.int64)] * 5
-        self.parts, self.size = [], 0
-        a, g, doc, s, _ = columns
-        order = np.lexsort((s, doc, a ^ (g * np.int64(-7046029254386353131))))
-        columns = [c[order] for c in columns]
-        a, g, doc, s, _ = columns
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (g[1:] != g[:-1])
-        first = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0)) if len(a) else np.zeros(0, np.int64)
-        later = doc != doc[first]
-        if self.own:
-            later |= s != s[first]
-        return columns, later
-
-
-def runs(doc: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows s … s + n - 1 of documents, joined where they touch."""
-    order = np.lexsort((s, doc))
-    doc, s, to = doc[order], s[order], (s + n)[order]
-    if not len(doc):
-        return doc, s, to
-    new = np.ones(len(doc), bool)  # a run that holds the next one whole may end up as two that overlap: no harm
-    new[1:] = (doc[1:] != doc[:-1]) | (s[1:] > to[:-1])
-    first = np.flatnonzero(new)
-    return doc[first], s[first], np.maximum.reduceat(to, first) - s[first]
+    return first, stop - first, anchor[first] - first, hashes[anchor[first]]
 
 
-def key_of(docs: DataFrame, key: str) -> Column:
-    return F.coalesce(F.col(key).cast("bigint"), F.lit(LAST))
+def in_ranges(size: int, ranges: list[dict]) -> np.ndarray:
+    """Mask of the first units of the windows in ``ranges`` (s, n)."""
+    edge = np.zeros(size + 1, np.int64)
+    for x in ranges:
+        edge[min(x["s"], size)] += 1
+        edge[min(x["s"] + x["n"], size)] -= 1
+    return np.cumsum(edge[:-1]) > 0
 
 
-def scan(docs: DataFrame, key: str, text: str, units: Units, window: int, gram: int, own: bool, only_anchors: bool) -> DataFrame:
-    """Segments of all texts, or only how often each task has each anchor (its own repeats dropped, in both)."""
+def scan(texts: DataFrame, units: Units, window: int, gram: int, flush: int) -> DataFrame:
+    """Segments of ``texts`` (doc, mark, bytes and perhaps open, the ranges of windows that count): (p: the anchor's
+    hash, salted, doc, mark, at: place, length, anchor and kind of the row in one number)."""
+    ranged = "open" in texts.columns
 
     def body(batches: Iterator[dict]) -> Iterator[dict]:
-        held = Held(own)
+        parts: list[tuple] = []
+        held = 0
         for batch in batches:
-            ids = batch["doc"].to_numpy(zero_copy_only=False)
-            for lo in range(0, len(ids), 256):
+            doc, mark = (batch[c].to_numpy(zero_copy_only=False) for c in ("doc", "mark"))
+            for lo in range(0, len(doc), 256):
                 coded = [units(t) for t in batch["bytes"].slice(lo, 256).to_pylist()]
+                masks = [in_ranges(len(c), x) for c, x in zip(coded, batch["open"].slice(lo, 256).to_pylist(), strict=True)] if ranged else None
                 for lot in cut(list(map(len, coded)), window):
                     ends = np.cumsum([to - at for _, at, to in lot])
-                    first, count, a, g = segments(np.concatenate([coded[i][at:to] for i, at, to in lot]), ends, window, gram)
+                    among = np.concatenate([masks[i][at:to] for i, at, to in lot]) if masks else None
+                    first, count, place, a = segments(np.concatenate([coded[i][at:to] for i, at, to in lot]), ends, window, gram, among)
                     k = np.searchsorted(ends, first, side="right")
                     shift = np.array([at for _, at, _ in lot]) - (ends - np.array([to - at for _, at, to in lot]))
-                    doc = ids[lo + np.array([i for i, _, _ in lot])][k]
-                    if held.add(a.view(np.int64), g.view(np.int64), doc, first + shift[k], count):
-                        yield from out(held)
-        yield from out(held)
-
-    def out(held: Held) -> Iterator[dict]:
-        (a, g, doc, s, n), later = held.take()
-        if only_anchors:
-            found, times = np.unique(a[~later], return_counts=True)
-            yield {"a": found, "c": times.astype(np.int32)}
+                    row = lo + np.array([i for i, _, _ in lot])[k]
+                    parts.append((a.view(np.int64), doc[row], mark[row], ((first + shift[k]) << 28) | (count << 18) | (place << 8)))
+                    held += len(a)
+                    if held >= flush:
+                        yield from out(parts)
+                        parts, held = [], 0
+        yield from out(parts)
+
+    def out(parts: list[tuple]) -> Iterator[dict]:
+        if not parts:
             return
-        gone = runs(doc[later], s[later], n[later])
-        spread = mix((gone[0] * 31 + gone[1]).view(np.uint64)).view(np.int64)  # such rows need no anchor: deal them anywhere
-        for kind, columns in ((1, (spread, spread, *gone)), (0, tuple(c[~later] for c in (a, g, doc, s, n)))):
-            for lo in range(0, len(columns[0]), 100_000):
-                part = [c[lo : lo + 100_000] for c in columns]
-                yield {"kind": np.full(len(part[0]), kind, np.int32)} | dict(zip(("a", "g", "doc", "s", "n"), part, strict=True))
-
-    rows = docs.select(key_of(docs, key).alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("bytes"))
-    return map_batches(rows, body, "a bigint, c int" if only_anchors else ROW)
-
-
-def compare(docs: DataFrame, key: str, text: str, units: Units, window: int, gram: int, own: bool, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(repeats, open): windows known to be repeats, as (doc, s, n); and segments whose windows must be compared, as
-    (a, classes: how many classes the anchor has, doc, s, n)."""
-    anchors = scan(docs, key, text, units, window, gram, own, only_anchors=True)
-    again = scratch.save(anchors.groupBy("a").agg(F.sum("c").alias("c")).filter("c > 1").select("a"), "anchors")
-    rows = scan(docs, key, text, units, window, gram, own, only_anchors=False)
-    found = scratch.save(rows.join(again.withColumn("hit", F.lit(True)), "a", "left").filter("kind = 1 or hit").drop("hit"), "segments")
-    gone, rest = found.filter("kind = 1").select("doc", "s", "n"), found.filter("kind = 0")
-    order = F.struct("doc", "s") if own else F.struct("doc")
-    classes = scratch.save(rest.groupBy("a", "g").agg(F.min(order).alias("first")), "classes")
-    judged = rest.join(classes, ["a", "g"]).withColumn("later", order > F.col("first"))
-    many = classes.groupBy("a").agg(F.count("*").alias("classes")).filter("classes > 1")
-    judged = scratch.save(judged.join(many, "a", "left").filter("later or classes > 1").select("later", "a", "classes", "doc", "s", "n"), "judged")
-    return gone.unionByName(judged.filter("later").select("doc", "s", "n")), judged.filter("not later").select("a", "classes", "doc", "s", "n")
-
-
-def with_open(docs: DataFrame, opened: DataFrame, key: str, text: str) -> DataFrame:
-    """Texts that have open segments, with these: (doc, bytes, open)."""
-    lists = opened.groupBy("doc").agg(F.collect_list(F.struct("a", "classes", "s", "n")).alias("open"))
-    rows = docs.select(key_of(docs, key).alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("bytes"))
-    return rows.join(lists, "doc")
+        a, doc, mark, at = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(a, kind="stable")
+        a, doc, mark, at = a[order], doc[order], mark[order], at[order]
+        same = a[1:] == a[:-1]
+        twice = np.zeros(len(a), bool)
+        twice[1:] |= same
+        twice[:-1] |= same
+        salt = mix((doc * 31 + at).view(np.uint64)).view(np.int64) & (SALTS - 1)
+        p = np.where(twice, a ^ (salt << 57), a)
+        at = np.where(twice, at | (salt << 2) | KNOWN, at)
+        again = np.unique(a[twice])
+        none = np.zeros(len(again), np.int64)
+        columns = [np.concatenate(c) for c in ((p, again), (doc, none), (mark, none), (at, none + MARKER))]
+        for lo in range(0, len(columns[0]), 100_000):
+            yield dict(zip(("p", "doc", "mark", "at"), (c[lo : lo + 100_000] for c in columns), strict=True))
+
+    return map_batches(texts, body, "p bigint, doc bigint, mark bigint, at bigint")
+
+
+def candidates(texts: DataFrame, units: Units, window: int, gram: int, flush: int = FLUSH) -> DataFrame:
+    """(doc, mark, s, n, place, a, salt): the segments whose anchor occurs again, windows s … s + n - 1 each."""
+    if window > LONGEST:
+        raise ValueError(f"windows of more than {LONGEST} units are not supported")
+    rows = scan(texts, units, window, gram, flush).withColumn("c", F.count("*").over(Window.partitionBy("p")))
+    bits = lambda at, width: F.shiftright("at", at).bitwiseAND((1 << width) - 1)
+    rows = rows.withColumn("kind", bits(0, 2)).filter((F.col("kind") == KNOWN) | ((F.col("kind") == SINGLE) & (F.col("c") > 1)))
+    rows = rows.withColumn("salt", bits(2, 6))
+    return rows.select("doc", "mark", F.shiftright("at", 28).alias("s"), bits(18, 10).alias("n"), bits(8, 10).alias("place"), F.col("p").bitwiseXOR(F.shiftleft("salt", 57)).alias("a"), "salt")
+
+
+def with_ranges(docs: DataFrame, rows: DataFrame, key: str, text: str, fields: tuple[str, ...] = ("s", "n")) -> DataFrame:
+    """Texts that have rows, with these: (doc, mark, bytes, open)."""
+    lists = rows.groupBy("doc", "mark").agg(F.collect_set(F.struct(*fields)).alias("open"))
+    return documents(docs, key, text).join(lists, ["doc", "mark"])
 
 
 def with_spans(docs: DataFrame, repeats: DataFrame, key: str, text: str) -> DataFrame:
-    """All texts with their repeated windows: (key, bytes, spans: array of (s, n), null if none)."""
-    lists = repeats.groupBy("doc").agg(F.collect_list(F.struct("s", "n")).alias("spans"))
-    rows = docs.select(F.col(key), key_of(docs, key).alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("bytes"))
-    return rows.join(lists, "doc", "left").select(key, "bytes", "spans")
+    """All texts with their repeated windows: (key, null where it was, bytes, spans: array of (s, n), null if none)."""
+    lists = repeats.groupBy("doc", "mark").agg(F.collect_set(F.struct("s", "n")).alias("spans"))
+    rows = docs.select(F.col(key).alias("key"), *(c.alias(n) for n, c in document(key, text).items()))
+    return rows.join(lists, ["doc", "mark"], "left").select("key", "bytes", "spans")
+
+
+def runs(doc: np.ndarray, mark: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Windows s … s + n - 1 of documents, joined where they touch."""
+    order = np.lexsort((s, mark, doc))
+    doc, mark, s, to = doc[order], mark[order], s[order], (s + n)[order]
+    if not len(doc):
+        return doc, mark, s, to
+    new = np.ones(len(doc), bool)  # a run that holds the next one whole may end up as two that overlap: no harm
+    new[1:] = (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1]) | (s[1:] > to[:-1])
+    first = np.flatnonzero(new)
+    return doc[first], mark[first], s[first], np.maximum.reduceat(to, first) - s[first]
 
 
 def covered(size: int, spans: list[dict] | None, window: int) -> np.ndarray | None:
@@ -193,4 +175,3 @@ def covered(size: int, spans: list[dict] | None, window: int) -> np.ndarray | No
     np.add.at(edge, np.minimum(s, size), 1)
     np.add.at(edge, np.minimum(s + n + window - 1, size), -1)
     return np.cumsum(edge[:-1]) > 0
-

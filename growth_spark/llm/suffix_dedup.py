@@ -1,32 +1,43 @@
 """Exact byte-substring deduplication by a hash-compared suffix sort.
 
-Segments that may repeat (see ``repeats``) meet in buckets by their anchor. In a bucket all suffixes that begin a window
-are sorted by mergesort; two suffixes are compared through prefix polynomial hashes, a binary search giving their common
-extension in logarithmically many steps. Neighbours whose common extension reaches the wanted length, verified byte by
-byte against collisions, form classes of equal strings, of which all but the first are repeats. Buckets are sorted side
-by side, the steps of all of them being taken at once.
-
-An anchor with more than ``MOST`` different segments has its windows dealt out one by one, by the hash of the whole
-window (each task dropping its own repeats first), and sorted in the same way, so no bucket grows with the corpus.
+Segments that may repeat (see ``repeats``) meet in buckets by their anchor. Each bucket is sorted twice by the same
+mergesort, in which two suffixes are compared through prefix polynomial hashes, a binary search giving their common
+extension in logarithmically many steps:
+
+* the suffixes that begin the segments, as long as the segment. Of segments with equal strings all but the first are
+  repeats whole; the first ones stay where the bucket holds others beside them;
+* the suffixes that begin the windows of those, as long as a window, apart by their distance to the anchor (equal windows
+  have it at equal places). Of equal windows all but the first are repeats.
+
+Neighbours that the hashes find equal are compared byte by byte before anything counts as a repeat. Buckets are sorted
+side by side, the steps of all of them being taken at once.
+
+A task drops its own equal segments (compared by their bytes) before it sends them on. An anchor with more than ``MOST``
+candidates has its windows dealt out by the hash of the whole window instead, salted in a first round, so neither a
+passage that many documents share nor a common phrase in ever other surroundings fills a bucket.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_batches, mix, powers, prefix_hash, window_hash
-from .repeats import Held, compare, covered, runs, with_open, with_spans
+from .common import Scratch, documents, map_batches, powers, prefix_hash, window_hash
+from .repeats import FLUSH, SALTS, candidates, covered, runs, with_ranges, with_spans
 
 WINDOW, GRAM = 100, 40
 MOST = 2000
-#: Suffixes that are sorted at a time, whole buckets.
-LOT = 1 << 17
+#: Suffixes that are sorted at a time, whole buckets; bytes of different segments that a task holds to drop equal ones.
+LOT, HELD = 1 << 16, 16 << 20
 CODES = np.random.default_rng(100).integers(1, 1 << 63, 256, dtype=np.uint64)
+#: Rows of the buckets: kind DONE are windows known to be repeats, s … s + n - 1; OPEN ones are to be sorted; of CROWDED
+#: ones the bucket is the hash of the only window.
+DONE, OPEN, CROWDED = 1, 0, 2
+DEALT = ("kind", "bucket", "doc", "mark", "s", "n", "place", "data")
+SCHEMA = "kind int, bucket bigint, doc bigint, mark bigint, s bigint, n bigint, place bigint, data binary"
 
 
 def byte_codes(text: bytes) -> np.ndarray:
@@ -34,31 +45,32 @@ def byte_codes(text: bytes) -> np.ndarray:
 
 
 class Suffixes:
-    """Bytes laid end to end, with comparisons of suffixes up to ``most`` bytes."""
+    """Bytes laid end to end, with comparisons of suffixes that end after a size of their own."""
 
-    def __init__(self, data: bytes, most: int) -> None:
-        self.data, self.most = np.frombuffer(data, np.uint8), most
+    def __init__(self, data: bytes) -> None:
+        self.data = np.frombuffer(data, np.uint8)
         self.prefix = prefix_hash(CODES[self.data])
         self.down = powers(len(data))[1]
 
-    def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Length of the common extension of suffixes x and y (positions), by binary search over prefix hashes."""
-        lo, hi = np.zeros(len(x), np.int64), np.full(len(x), self.most)
+    def common(self, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Length (``most`` at most) of the common extension of suffixes x and y, by binary search over prefix hashes."""
+        lo, hi = np.zeros(len(x), np.int64), most.copy()
         px, py, dx, dy = self.prefix[x], self.prefix[y], self.down[x], self.down[y]
-        for _ in range(int(self.most).bit_length()):
+        for _ in range(int(most.max(initial=0)).bit_length()):
             mid = (lo + hi + 1) >> 1
             same = (self.prefix[x + mid] - px) * dx == (self.prefix[y + mid] - py) * dy
             lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
         return lo
 
-    def less(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether suffix x sorts before y, and whether they are equal."""
-        n = self.common(x, y)
-        equal = n >= self.most
-        at = np.where(equal, 0, n)
-        return ~equal & (self.data[x + at] < self.data[y + at]), equal
+    def less(self, x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether suffix x sorts before y, and whether they are equal; a suffix sorts before what it begins."""
+        most = np.minimum(nx, ny)
+        n = self.common(x, y, most)
+        ended = n >= most
+        at = np.where(ended, 0, n)
+        return np.where(ended, nx < ny, self.data[x + at] < self.data[y + at]), ended & (nx == ny)
 
-    def sort(self, at: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    def sort(self, at: np.ndarray, size: np.ndarray, bucket: np.ndarray) -> np.ndarray:
         """Order of the suffixes ``at`` within each bucket (buckets are contiguous): mergesort from the bottom up."""
         n = len(at)
         new = np.ones(n, bool)
@@ -72,14 +84,14 @@ class Suffixes:
         while width < largest:
             own = np.arange(n) - base
             run = own // width
-            lo = base + (run ^ 1) * width
+            lo = np.minimum(base + (run ^ 1) * width, end)
             hi = np.minimum(lo + width, end)
             left = run % 2 == 0
-            lo, hi = np.minimum(lo, end), np.maximum(hi, np.minimum(lo, end))
             start = lo.copy()
             while len(open_ := np.flatnonzero(lo < hi)):
                 mid = (lo[open_] + hi[open_]) >> 1
-                before, equal = self.less(at[order[mid]], at[order[open_]])
+                a, b = order[mid], order[open_]
+                before, equal = self.less(at[a], size[a], at[b], size[b])
                 up = before | (equal & ~left[open_])  # equal ones of the left run stay first
                 lo[open_[up]] = mid[up] + 1
                 hi[open_[~up]] = mid[~up]
@@ -90,120 +102,176 @@ class Suffixes:
             width *= 2
         return order
 
-    def classes(self, at: np.ndarray, bucket: np.ndarray, order: np.ndarray) -> np.ndarray:
-        """Number of the class of equal strings of each suffix in sorted order."""
-        s, b = at[order], bucket[order]
+    def classes(self, at: np.ndarray, size: np.ndarray, bucket: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """Number of the class of equal strings of each suffix in sorted order; equal hashes are verified on the bytes."""
+        s, n, b = at[order], size[order], bucket[order]
         new = np.ones(len(s), bool)
-        same = np.flatnonzero(b[1:] == b[:-1])
-        equal = same[self.common(s[same], s[same + 1]) >= self.most] if len(same) else same
-        windows = np.lib.stride_tricks.sliding_window_view(self.data, self.most)
-        for lo in range(0, len(equal), 1 << 15):  # verify, some megabytes at a time
-            part = equal[lo : lo + (1 << 15)]
-            new[part + 1] = ~(windows[s[part]] == windows[s[part + 1]]).all(axis=1)
+        same = np.flatnonzero((b[1:] == b[:-1]) & (n[1:] == n[:-1]))
+        equal = same[self.common(s[same], s[same + 1], n[same]) >= n[same]]
+        for lo in range(0, len(equal), 1 << 13):  # some megabytes at a time
+            part = equal[lo : lo + (1 << 13)]
+            ends = np.cumsum(n[part])
+            inside = np.arange(ends[-1]) - np.repeat(ends - n[part], n[part])
+            differ = self.data[np.repeat(s[part], n[part]) + inside] != self.data[np.repeat(s[part + 1], n[part]) + inside]
+            new[part + 1] = np.add.reduceat(differ, ends - n[part]) > 0
         return np.cumsum(new) - 1
 
 
-def later_windows(rows: list[tuple[int, int, int, int, bytes]], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(doc, s) of the windows in ``rows`` (bucket, doc, s, n, bytes), in order of bucket, that repeat an earlier one."""
-    n = np.array([r[3] for r in rows], np.int64)
-    data = b"".join(r[4] for r in rows)
-    offset = np.cumsum([0, *(len(r[4]) for r in rows[:-1])])
-    k = np.repeat(np.arange(len(rows)), n)
-    inside = np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
-    bucket, doc, first = (np.array([r[c] for r in rows], np.int64)[k] for c in (0, 1, 2))
-    s = first + inside
-    sorter = Suffixes(data, window)
-    at = offset[k] + inside
-    order = sorter.sort(at, bucket)
-    kind = sorter.classes(at, bucket, order)
-    rank = np.empty(len(s), np.int64)
-    by = np.lexsort((s, doc))
-    rank[by] = np.cumsum(np.concatenate([[True], (doc[by][1:] != doc[by][:-1]) | (s[by][1:] != s[by][:-1])])) if len(by) else 0
-    rank = rank[order]
-    earliest = np.minimum.reduceat(rank, np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]])))
-    gone = order[rank > earliest[kind]]
-    return doc[gone], s[gone]
-
-
-def deal(texts: DataFrame, window: int, most: int) -> DataFrame:
-    """Open segments with their bytes, by bucket; those of crowded anchors window by window: (kind, bucket, doc, s, n, data)."""
+def later_ones(order: np.ndarray, kind: np.ndarray, doc: np.ndarray, mark: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Which suffixes repeat an earlier one of their class: of a document of smaller key, or earlier in the same document."""
+    by = np.lexsort((s[order], mark[order], doc[order], kind))
+    rows, k = order[by], kind[by]
+    new = np.ones(len(k), bool)
+    new[1:] = k[1:] != k[:-1]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0)) if len(k) else np.zeros(0, np.int64)
+    d, m, p = doc[rows], mark[rows], s[rows]
+    same = np.zeros(len(k), bool)
+    same[1:] = ~new[1:] & (d[1:] == d[:-1]) & (m[1:] == m[:-1])
+    at_start = np.maximum.accumulate(np.where(same, 0, np.arange(len(k)))) if len(k) else first
+    gone = np.zeros(len(k), bool)
+    gone[rows] = (d != d[first]) | (same & (p > p[at_start]))
+    return gone
+
+
+def sort_rows(rows: list[tuple], window: int) -> tuple[tuple[np.ndarray, ...], list[int]]:
+    """Runs of repeated windows (doc, mark, s, n) of rows (bucket, doc, mark, s, n, place, data), in order of bucket; and
+    the numbers of the rows that are the first of equal segments."""
+    bucket, doc, mark, s, n, place = (np.array(c, np.int64) for c in zip(*(r[:6] for r in rows), strict=True))
+    sizes = n + window - 1
+    sorter = Suffixes(b"".join(r[6] for r in rows))
+    offset = np.cumsum(sizes) - sizes
+    order = sorter.sort(offset, sizes, bucket)
+    kind = sorter.classes(offset, sizes, bucket, order)
+    gone = later_ones(order, kind, doc, mark, s)
+    # Firsts of classes whose bucket holds another class have their windows sorted.
+    new = np.concatenate([[True], kind[1:] != kind[:-1]])
+    start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    several = np.repeat(np.add.reduceat(new.astype(np.int64), start) > 1, np.diff(np.append(start, len(bucket))))
+    left = np.flatnonzero(~gone & several)
+    k = np.repeat(left, n[left])
+    inside = np.arange(len(k)) - np.repeat(np.cumsum(n[left]) - n[left], n[left])
+    apart = np.lexsort((place[k] - inside, bucket[k]))
+    k, inside = k[apart], inside[apart]
+    group = np.zeros(len(k), np.int64)
+    group[1:] = np.cumsum((bucket[k[1:]] != bucket[k[:-1]]) | ((place[k] - inside)[1:] != (place[k] - inside)[:-1]))
+    at, length = offset[k] + inside, np.full(len(k), window)
+    order = sorter.sort(at, length, group)
+    later = later_ones(order, sorter.classes(at, length, group, order), doc[k], mark[k], s[k] + inside)
+    whole = np.flatnonzero(gone)
+    found = [np.concatenate(c) for c in ((doc[whole], doc[k][later]), (mark[whole], mark[k][later]), (s[whole], (s[k] + inside)[later]), (n[whole], np.ones(later.sum(), np.int64)))]
+    return runs(*found), np.flatnonzero(~gone).tolist()
+
+
+def deal(texts: DataFrame, window: int) -> DataFrame:
+    """Candidate segments with their bytes, by bucket (DEALT); those of crowded anchors window by window."""
 
     def body(batches: Iterator[dict]) -> Iterator[dict]:
+        known: dict[bytes, tuple[int, int, int]] = {}
+        lot: list[tuple] = []
+        held = 0
         for batch in batches:
-            for lo in range(0, len(batch["doc"]), 512):
-                out: dict = {c: [] for c in ("kind", "bucket", "doc", "s", "n", "data")}
-                held, source = Held(own=True), []
-                for doc, text, segments in zip(batch["doc"].slice(lo, 512).to_pylist(), batch["bytes"].slice(lo, 512), batch["open"].slice(lo, 512).to_pylist(), strict=True):
-                    data = text.as_py()
-                    crowded = [np.arange(x["s"], x["s"] + x["n"]) for x in segments if x["classes"] > most]
-                    for x in segments:
-                        if x["classes"] <= most and x["s"] + x["n"] + window - 1 <= len(data):
-                            add(out, 0, x["a"], doc, x["s"], x["n"], data[x["s"] : x["s"] + x["n"] + window - 1])
-                    if crowded:
-                        at = np.unique(np.concatenate(crowded))
-                        at = at[at + window <= len(data)]
-                        h = window_hash(prefix_hash(byte_codes(data)), window, at=at).view(np.int64)
-                        held.add(h, h, np.full(len(at), doc, np.int64), at, np.full(len(at), len(source), np.int64))
-                        source.append(data)
-                (h, _, doc, s, text), later = held.take()
-                for d, x, m in zip(*(c.tolist() for c in runs(doc[later], s[later], np.ones(later.sum(), np.int64))), strict=True):
-                    add(out, 1, int(mix(np.array([d * 31 + x], np.uint64))[0].view(np.int64)), d, x, m, b"")
-                for hh, d, x, t in zip(*(c[~later].tolist() for c in (h, doc, s, text)), strict=True):
-                    add(out, 0, hh, d, x, 1, source[t][x : x + window])
-                if out["kind"]:
-                    yield out
-
-    def add(out: dict, *values) -> None:
-        for c, v in zip(out, values, strict=True):
-            out[c].append(v)
-
-    return map_batches(texts, body, "kind int, bucket bigint, doc bigint, s bigint, n bigint, data binary")
+            for doc, mark, text, ranges in zip(batch["doc"].to_pylist(), batch["mark"].to_pylist(), batch["bytes"], batch["open"], strict=True):
+                data = text.as_py()
+                for x in ranges.as_py():
+                    s, n, place = x["s"], x["n"], x["place"]
+                    if not x["crowded"]:
+                        lot.append((OPEN, x["a"], doc, mark, s, n, place, data[s : s + n + window - 1]))
+                        held += n + window
+                        continue
+                    hashes = window_hash(prefix_hash(byte_codes(data[s : s + n + window - 1])), window).view(np.int64).tolist()
+                    for i, h in enumerate(hashes):
+                        lot.append((CROWDED, h, doc, mark, s + i, 1, 0, data[s + i : s + i + window]))
+                    held += n * 2 * window
+                if held >= HELD:
+                    yield from out(lot, known)
+                    lot, known, held = [], {}, 0
+        yield from out(lot, known)
+
+    def out(lot: list[tuple], known: dict) -> Iterator[dict]:
+        """Of equal segments the first one goes on, and all others that are not later than it."""
+        for _, bucket, doc, mark, s, _, _, data in lot:
+            at = (doc, mark, s)
+            if (have := known.get((bucket, data))) is None or at < have:
+                known[bucket, data] = at
+        spread = 0
+        for lo in range(0, len(lot), 4096):
+            made: dict = {c: [] for c in DEALT}
+            for row in lot[lo : lo + 4096]:
+                kind, bucket, doc, mark, s, n, place, data = row
+                d, m, p = known[bucket, data]
+                if doc != d or (mark == m and s > p):
+                    spread += 1
+                    row = (DONE, (doc * 31 + s + spread) & 0x7FFFFFFFFFFFFFFF, doc, mark, s, n, 0, b"")
+                for c, v in zip(DEALT, row, strict=True):
+                    made[c].append(v)
+            yield made
+
+    return map_batches(texts, body, SCHEMA)
 
 
 def sort_buckets(dealt: DataFrame, window: int) -> DataFrame:
-    """Repeated windows (doc, s, n) of all buckets; a partition holds whole buckets, in order."""
+    """The rows of ``dealt`` judged: repeats found (kind DONE), and of CROWDED ones the firsts, to be dealt again."""
 
     def body(batches: Iterator[dict]) -> Iterator[dict]:
         rows: list[tuple] = []
-        held = 0
+        last, held = None, 0
         for batch in batches:
-            for row in zip(*(batch[c].to_pylist() for c in ("kind", "bucket", "doc", "s", "n", "data")), strict=True):
-                if row[0]:
-                    yield {"doc": [row[2]], "s": [row[3]], "n": [row[4]]}
+            passed: list[tuple] = []
+            for kind, key, row in zip(batch["kind"].to_pylist(), batch["_bucket"].to_pylist(), zip(*(batch[c].to_pylist() for c in DEALT[1:]), strict=True), strict=True):
+                if kind == DONE:
+                    passed.append(row)
                     continue
-                if held >= LOT and row[1] != rows[-1][0]:
+                if held >= LOT and key != last:
                     yield done(rows)
                     rows, held = [], 0
-                rows.append(row[1:])
-                held += row[4]
+                rows.append((kind, key, row))
+                last, held = key, held + row[4]
+            if passed:
+                yield {"kind": [DONE] * len(passed)} | dict(zip(DEALT[1:], map(list, zip(*passed, strict=True)), strict=True))
         if rows:
             yield done(rows)
 
     def done(rows: list[tuple]) -> dict:
-        doc, s = later_windows(rows, window)
-        return dict(zip(("doc", "s", "n"), runs(doc, s, np.ones(len(s), np.int64)), strict=True))
+        (doc, mark, s, n), first = sort_rows([(key, *row[1:]) for _, key, row in rows], window)
+        again = [rows[i][2] for i in first if rows[i][0] == CROWDED]
+        none = [0] * len(doc)
+        found = (none, doc.tolist(), mark.tolist(), s.tolist(), n.tolist(), none, [b""] * len(doc))
+        return {"kind": [DONE] * len(doc) + [CROWDED] * len(again)} | {c: v + [r[i] for r in again] for i, (c, v) in enumerate(zip(DEALT[1:], found, strict=True))}
 
-    return map_batches(dealt.repartition("bucket").sortWithinPartitions("bucket"), body, "doc bigint, s bigint, n bigint")
+    alone = F.count("*").over(Window.partitionBy("_bucket"))
+    met = dealt.withColumn("_alone", alone).filter((F.col("_alone") > 1) | (F.col("kind") != OPEN)).sortWithinPartitions("_bucket")
+    return map_batches(met.select("kind", "_bucket", *DEALT[1:]), body, SCHEMA)
 
 
-def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, most: int = MOST) -> DataFrame:
-    """Windows of ``window`` bytes that also start earlier (smaller key, or earlier in the same text): (doc, s, n)."""
+def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, most: int = MOST, flush: int = FLUSH) -> DataFrame:
+    """Windows of ``window`` bytes that also start earlier (smaller key, or earlier in the same text): (doc, mark, s, n)."""
     scratch = Scratch(docs.sparkSession, "suffixes")
-    gone, opened = compare(docs, key, text, byte_codes, window, min(gram, window), True, scratch)
-    sorted_ = scratch.save(sort_buckets(deal(with_open(docs, opened, key, text), window, most), window), "sorted")
-    return gone.unionByName(sorted_)
+    found = scratch.save(candidates(documents(docs, key, text), byte_codes, window, min(gram, window), flush), "candidates")
+    crowded = found.groupBy("a").agg(F.count("*").alias("c")).filter(F.col("c") > most).select("a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"), F.lit(True).alias("crowded"))
+    marked = found.join(scratch.save(crowded, "crowded"), ["a", "salt"], "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    dealt = deal(with_ranges(docs, marked, key, text, ("a", "s", "n", "place", "crowded")), window)
+    # Salted by document, each copy of a crowded window meets few others; what is left of each salt meets in a second round.
+    salt = F.shiftleft(F.pmod(F.xxhash64("doc", "mark"), F.lit(SALTS)), 57)
+    keyed = dealt.withColumn("_bucket", F.when(F.col("kind") == CROWDED, F.col("bucket").bitwiseXOR(salt)).otherwise(F.col("bucket")))
+    first = scratch.save(sort_buckets(keyed, window), "sorted")
+    again = first.filter(F.col("kind") == CROWDED).withColumn("_bucket", F.col("bucket"))
+    second = scratch.save(sort_buckets(again, window), "again")
+    scratch.drop("candidates", "crowded")
+    both = first.unionByName(second).filter(F.col("kind") == DONE)
+    return both.select("doc", "mark", "s", "n")
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """Per row: key, kept (the remaining bytes, concatenated), n_bytes, n_removed and n_spans (maximal removed runs).
 
-    ``key`` is an integer that identifies a text; null keys count as one document after all others. Null texts are
-    empty. Rows that repeat a key with the same text get the same result each; other columns are not read.
+    ``key`` is an integer; null keys come after all others. Each row is judged by its own text, also where a key is null
+    or repeated: of rows of one key none is earlier than the other, so what only they share stays (rows alike in key and
+    text are one document). Null texts are empty; other columns are not read.
     """
 
     def body(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
-            out: dict = {key: batch[key], "kept": [], "n_bytes": [], "n_removed": [], "n_spans": []}
+            out: dict = {key: batch["key"], "kept": [], "n_bytes": [], "n_removed": [], "n_spans": []}
             for data, spans in zip(batch["bytes"], batch["spans"], strict=True):
                 text = data.as_py()
                 gone = covered(len(text), spans.as_py(), window)
@@ -214,8 +282,4 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
             yield out
 
     rows = with_spans(docs, repeated_windows(docs, key, text, window), key, text)
-    return map_batches(rows, body, f"{key} {rows.schema[key].dataType.simpleString()}, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
-
-
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+    return map_batches(rows, body, f"{key} {rows.schema['key'].dataType.simpleString()}, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
