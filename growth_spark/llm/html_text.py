@@ -1,13 +1,14 @@
 """Main text of web pages by a maximum-scoring subsequence of words and tags.
 
-A page is read as a sequence of tokens. A word scores positive and a tag negative; how much depends on the element it
-stands in, by weights learned from labelled pages. One linear scan finds the contiguous region of greatest score. Blocks
-of menus, headers, footers, sidebars, notices, adverts, forms and comments inside the region are left out. From the first
-to the last token of a page's content elements (anywhere, on a page that names none) such blocks cost nothing, so that no
-text around them is lost.
+A page is read as a sequence of tokens. A word scores by the features of where it stands (elements around it, words in
+their class, id and role, whether it is in a link, how deep it lies, whether the page names a content element and this is
+outside of it), a tag always costs, and both weights are log odds learned from labelled pages. One linear scan finds the
+contiguous region of greatest score. Blocks of menus, headers, footers, sidebars, notices, adverts, forms and comments
+inside the region are left out. From the first to the last token of a page's content elements (anywhere, on a page that
+names none) such blocks cost nothing, so that no text around them is lost.
 
 Labelled pages are those whose markup names its content element (``article`` or ``main``): what lies in it counts as
-content, all else as not. At most ``LABELLED`` of them are learned from.
+content, all else as not. About ``LABELLED`` of them are learned from.
 """
 
 from __future__ import annotations
@@ -23,8 +24,12 @@ from pyspark.sql import functions as F
 
 from .common import map_batches
 
-#: Labelled pages that the weights are learned from at most.
-LABELLED = 2000
+#: Labelled pages that the weights are learned from (all, where there are no more), and pages that a feature must be on.
+LABELLED, SEEN = 2000, 3
+#: Score of a word that no feature speaks for, and of such a tag; greatest say of a feature, of one that tells of content
+#: elements, and greatest score.
+WORD, TAG = 0.3, -0.1
+SAY, CONTENT_SAY, MOST = 1.5, 8.0, 2.0
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"\S+")
@@ -34,8 +39,11 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 NEVER = frozenset("script style noscript template svg math canvas object iframe select option button textarea form nav aside menu head title audio video dialog".split())
 # Words in class, id or role that mark what is no main text.
-BAD = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navigation navbar menu menubar breadcrumb breadcrumbs sidebar aside complementary widget footer foot contentinfo masthead comment comments respond reply replies disqus cookie cookies consent notice notices gdpr popup modal newsletter subscribe signup login search form share sharing social related recommended pager pagination toolbar skip legal copyright disclaimer".split())
-BAD_OUTSIDE = frozenset("header top topbar topnav side sidenav alert warning toc meta byline".split())
+BAD = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navigation navbar menu menubar breadcrumb breadcrumbs sidebar aside complementary widget footer foot contentinfo masthead comment comments respond reply replies disqus cookie cookies consent notice notices gdpr popup modal newsletter subscribe signup login search form share sharing social related recommended pager pagination toolbar skip".split())
+BAD_OUTSIDE = frozenset("header top topbar topnav side sidenav alert warning toc meta byline legal copyright disclaimer".split())
+# Beginnings of names that tell of a layout, not of what an element holds; elements that hold anything.
+LAYOUT = ("with", "without", "no", "has", "is")
+PLAIN = frozenset("html body div span section font center".split())
 CONTENT = frozenset(("article", "main"))
 CONTENT_NAMES = frozenset("article content main post entry story".split())
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|display\s*:\s*none", re.I)
@@ -44,20 +52,30 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
 
 
 class Node:
-    """An open element: its name, whether it (or one around it) is left out, and whether it is in a content element."""
+    """An open element: its name, whether it (or one around it) is left out, whether it is in a content element, and the
+    features that weights are learned for."""
 
-    __slots__ = ("bad", "inside", "key", "name")
+    __slots__ = ("bad", "depth", "features", "inside", "name")
 
     def __init__(self, name: str, attributes: str, parent: "Node | None") -> None:
         names: list[str] = []
         if attributes and "=" in attributes:
-            names = [w for m in _NAMES.findall(attributes) for w in re.split(r"[\s_-]+", (m[0] or m[1] or m[2]).lower()) if w]
+            words = (w.split("-") for m in _NAMES.findall(attributes) for w in (m[0] or m[1] or m[2]).lower().replace("_", "-").split())
+            names = [x for w in words if w[0] not in LAYOUT for x in w if x]
         self.name = name
         self.inside = bool(parent and parent.inside) or name in CONTENT or not CONTENT_NAMES.isdisjoint(names)
         chrome = name in NEVER or name == "footer" or (name == "header" and not self.inside) or not BAD.isdisjoint(names)
         chrome = chrome or bool(attributes and _HIDDEN.search(attributes)) or not (self.inside or BAD_OUTSIDE.isdisjoint(names))
         self.bad = bool(parent and parent.bad) or (chrome and name not in ("html", "body") and not (name in CONTENT))
-        self.key = f"{name}!" if self.bad else name
+        self.depth = parent.depth + (name not in INLINE) if parent else 0
+        own = ([] if name in PLAIN or name in INLINE and name != "a" else [f"e:{name}"]) + [f"c:{x}" for x in names if not x.isdigit()]
+        have = parent.features if parent else ()
+        self.features = have + tuple(x for x in dict.fromkeys(own) if x not in have) if own else have
+
+    def all_features(self, named: bool) -> tuple[str, ...]:
+        """With those that hang on the page: how deep, and whether it is outside of the content that the page names."""
+        place = "x:in" if self.inside else "x:out" if named else "x:"
+        return (*self.features, f"d:{min(self.depth // 3, 4)}", place)
 
 
 def tokens(page: str) -> Iterator[tuple[str, Node, str]]:
@@ -105,42 +123,49 @@ def tokens(page: str) -> Iterator[tuple[str, Node, str]]:
             stack.append(node)
 
 
+Counts = dict[tuple[str, str, bool], int]
+
+
 def learn_counts(page: str) -> Counter:
-    """How often words stand in each kind of element, and each tag occurs, in content and outside of it."""
+    """How many words and tags have each feature (and how many there are), in content and outside of it."""
     found: Counter = Counter()
-    for kind, node, text in tokens(page):
+    parts = list(tokens(page))
+    named = any(node.inside for _, node, _ in parts)
+    for kind, node, text in parts:
+        n = len(_WORDS.findall(text)) if kind == "text" else 1
         label = node.inside and not node.bad
-        if kind == "text":
-            found["word", node.key, label] += len(_WORDS.findall(text))
-        else:
-            found["tag", node.key, label] += 1
+        for f in ("", *node.all_features(named)) if n else ():
+            found["word" if kind == "text" else "tag", f, label] += n
     return found
 
 
 class Weights:
-    """Scores of words and tags by the element they stand in or are; unknown ones by whether it is left out."""
-
-    def __init__(self, counts: dict[tuple[str, str, bool], int]) -> None:
-        total = {(kind, label): sum(n for (k, _, x), n in counts.items() if (k, x) == (kind, label)) + 2 for kind in ("word", "tag") for label in (True, False)}
-        self.word: dict[str, float] = {}
-        self.tag: dict[str, float] = {}
-        for kind, key in {k[:2] for k in counts}:
-            odds = math.log((counts.get((kind, key, True), 0) + 1) / total[kind, True] / ((counts.get((kind, key, False), 0) + 1) / total[kind, False]))
-            if kind == "word":  # the surer an element is content, the more its words score; others' words cost
-                self.word[key] = min(max(odds, -2.0), 2.0) if odds < 0 else max(0.2, min(odds, 2.0))
-            else:
-                self.tag[key] = -min(max(-odds, 0.05), 2.0)
-
-    def of_word(self, node: Node) -> float:
-        return -1.0 if node.bad else max(self.word.get(node.key, 1.0), 0.1)
-
-    def of_tag(self, node: Node) -> float:
-        return self.tag.get(node.key, -0.5 if node.bad else -0.1)
+    """Scores of words and tags: sums of the log odds of their features, each within its say."""
+
+    def __init__(self, counts: Counts) -> None:
+        total = {(kind, label): counts.get((kind, "", label), 0) + 2 for kind in ("word", "tag") for label in (True, False)}
+        self.odds: dict[tuple[str, str], float] = {}
+        for kind, f in {k[:2] for k in counts if k[1]}:
+            odds = math.log((counts.get((kind, f, True), 0) + 1) / total[kind, True]) - math.log((counts.get((kind, f, False), 0) + 1) / total[kind, False])
+            say = CONTENT_SAY if f in ("x:in", "x:out") else SAY
+            self.odds[kind, f] = min(max(odds, -say), say)
+        self.known: dict[tuple[str, tuple[str, ...], bool], float] = {}
+
+    def of(self, kind: str, node: Node, named: bool) -> float:
+        key = (kind, node.all_features(named), node.bad)
+        score = self.known.get(key)
+        if score is None:
+            score = sum(self.odds.get((kind, f), 0.0) for f in key[1])
+            score = (min(WORD + score, MOST) if not node.bad else -1.0) if kind == "word" else min(TAG + min(score, TAG / -2), TAG / 2)
+            if len(self.known) < 10_000:
+                self.known[key] = score = max(score, -MOST)
+        return max(score, -MOST)
 
 
 def main_text(page: str, weights: Weights) -> str:
     """The blocks of the best region, joined by empty lines; "" where no region scores above zero."""
     parts = list(tokens(page))
+    named = any(node.inside for _, node, _ in parts)
     content = [i for i, (_, node, _) in enumerate(parts) if node.inside and not node.bad]
     first, last = (content[0], content[-1]) if content else (0, len(parts))
     best, best_from, best_to = 0.0, 0, 0
@@ -149,9 +174,9 @@ def main_text(page: str, weights: Weights) -> str:
         if node.bad and first <= i <= last:
             continue
         if kind == "text":
-            score += weights.of_word(node) * len(_WORDS.findall(text)) if not text.isspace() else 0.0
+            score += weights.of("word", node, named) * len(_WORDS.findall(text)) if not text.isspace() else 0.0
         else:
-            score += weights.of_tag(node)
+            score += weights.of("tag", node, named)
         if score <= 0.0:
             score, begin = 0.0, i + 1
         elif score > best:
@@ -172,32 +197,35 @@ def main_text(page: str, weights: Weights) -> str:
     return "\n\n".join(b for b in clean if b)
 
 
-def learn(pages: DataFrame, key: str = "page_id", page: str = "html", most: int = LABELLED) -> dict[tuple[str, str, bool], int]:
-    """Counts from at most ``most`` labelled pages, the first in a hash order of their keys; summed by Spark."""
-    labelled = pages.filter(F.col(page).rlike(r"(?i)<(article|main)[\s>]"))
-    ids = labelled.select(F.col(key).alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(most)
-    rows = labelled.join(F.broadcast(ids), F.col(key).eqNullSafe(F.col("_key"))).select(F.col(page).alias("_html")).limit(most)
+def learn(pages: DataFrame, page: str = "html", most: int = LABELLED) -> Counts:
+    """Counts from about ``most`` labelled pages, those whose hash lies low enough; summed by Spark. Features of fewer
+    than ``SEEN`` pages go."""
+    labelled = pages.select(F.col(page).alias("_html")).filter(F.col("_html").rlike(r"(?i)<(article|main)[\s>]"))
+    there = labelled.count()
+    low = labelled.filter(F.pmod(F.xxhash64(F.lit("labelled"), "_html"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, most / there))) if there else labelled
 
     def body(batches: Iterator[dict]) -> Iterator[dict]:
         found: Counter = Counter()
+        seen: Counter = Counter()
         for batch in batches:
             for t in batch["_html"].to_pylist():
-                found.update(learn_counts(t))
-        # Element names are the page's own: only the usual ones are kept, so that the table stays small.
-        common = found.most_common(2000)
-        yield {"kind": [k[0] for k, _ in common], "key": [k[1] for k, _ in common], "content": [k[2] for k, _ in common], "n": [n for _, n in common]}
+                counts = learn_counts(t)
+                found.update(counts)
+                seen.update(counts.keys())
+        keys = list(found)
+        yield {"kind": [k[0] for k in keys], "feature": [k[1] for k in keys], "content": [k[2] for k in keys], "n": [found[k] for k in keys], "pages": [seen[k] for k in keys]}
 
-    counted = map_batches(rows, body, "kind string, key string, content boolean, n bigint").groupBy("kind", "key", "content").agg(F.sum("n").alias("n"))
-    return {(r["kind"], r["key"], r["content"]): r["n"] for r in counted.orderBy(F.desc("n"), "kind", "key", "content").limit(4000).collect()}
+    counted = map_batches(low, body, "kind string, feature string, content boolean, n bigint, pages bigint").groupBy("kind", "feature", "content").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages"))
+    return {(r["kind"], r["feature"], r["content"]): r["n"] for r in counted.filter(F.col("pages") >= SEEN).collect()}
 
 
-def extract(pages: DataFrame, counts: dict[tuple[str, str, bool], int] | None = None, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
+def extract(pages: DataFrame, counts: Counts | None = None, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """Per page: key, url, text and n_chars (code points).
 
     Null and empty pages, and pages without any content, give an empty text. A page without markup is its own text.
-    Repeated rows each give a row; other columns are not read. One pass over the pages beside the learning.
+    Repeated rows each give a row; other columns are not read. One pass over the pages beside the two of the learning.
     """
-    shared = learn(pages, key, page) if counts is None else counts
+    shared = learn(pages, page) if counts is None else counts
 
     def body(batches: Iterator[dict]) -> Iterator[dict]:
         weights = Weights(shared)

@@ -1,60 +1,91 @@
 """Language identification by compression.
 
-Each learned language has a zstandard dictionary of raw content: whole texts of a bounded sample of its labelled rows.
+Each learned language has a zstandard dictionary of raw content: equal shares of a bounded sample of its labelled texts.
 A text is reduced to lower-case letters with single blanks, cut into frames, and every frame of it is compressed with
 every dictionary; the language whose frames are smallest in sum wins. A text is rejected if it has no letter or if the
-winner's margin is narrow.
+winner's margin over the next language is narrow, in bytes or as a share of the size.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+import regex
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches
 
-#: Labelled rows that a dictionary is made of at most, its bytes at most, and languages at most.
-ROWS, DICTIONARY, LANGUAGES = 400, 384 << 10, 256
+#: Labelled texts that a dictionary is made of at most, its bytes at most, and languages at most.
+ROWS, DICTIONARY, LANGUAGES = 400, 384 << 10, 64
+#: Bytes of one text that a dictionary takes at most, and bytes of the pieces that they are taken in.
+EXCERPT, PIECE = 4 * DICTIONARY // ROWS, 96
 #: Bytes that are compressed in one frame: short enough that the dictionary, not the text itself, is what helps.
 FRAME = 512
 LEVEL = 6
 #: Below this score the text is measured again in frames of so many bytes, each beginning half way through the last.
 DOUBT, FINE = 0.95, 24
-#: Least score of a prediction that is not rejected (two languages alike score one half, and less with others near).
-LEAST = 0.5
-_GAPS = re.compile(r"[\W\d_]+")
+#: Margins that are not narrow: bytes between the smallest and the next size, and that as a share of the smallest.
+BYTES, SHARE = 2, 0.005
+_GAPS = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def letters(text: str) -> str:
-    return _GAPS.sub(" ", text).strip().lower()
-
-
-def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = ROWS) -> dict[str, bytes]:
-    """Raw dictionary content per language, from at most ``rows`` labelled rows of each.
-
-    The sample is a hash order of the key, made from keys alone and taken within each task first; at most
-    ``LANGUAGES * rows`` texts reach the driver. Rows with null text or label are not learned from.
+    """Lower-case letters with their marks, single blanks between runs of them; "" if there is no letter."""
+    found = _GAPS.sub(" ", text).strip().lower()
+    return found if found.isascii() or _LETTER.search(found) else ""
+
+
+def excerpt(data: bytes, size: int) -> bytes:
+    """``size`` bytes of ``data`` at most, in pieces spread evenly from its first to its last byte."""
+    if len(data) <= size:
+        return data
+    n = max(size // PIECE, 1)
+    starts = (k * (len(data) - PIECE) // max(n - 1, 1) for k in range(n))
+    return b" ".join(data[s : s + PIECE - 1] for s in starts).decode("utf-8", "ignore").encode()
+
+
+def level_out(parts: list[bytes], size: int) -> bytes:
+    """All ``parts`` cut to one greatest length, as long as ``size`` bytes hold them."""
+    left, share = size, size
+    for k, n in enumerate(sorted(map(len, parts))):
+        share = left // (len(parts) - k)
+        if n + 1 > share:
+            break
+        left -= n + 1
+        share = size
+    return b" ".join(excerpt(p, max(share - 1, PIECE)) for p in parts)[:size]
+
+
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = ROWS) -> dict[str, bytes]:
+    """Raw dictionary content per language, from at most ``rows`` different labelled texts of each.
+
+    The sample is the first texts in a hash order: each row tells from its own hash and its language's number of texts
+    whether it can be one of them, so nothing is ranked or gathered by language; at most some ``1.25 * rows`` excerpts of
+    ``EXCERPT`` bytes a language reach the driver. Copies count once. Rows with null text or label are not learned from;
+    more than ``LANGUAGES`` labels are an error.
     """
-    labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) > 0))
-    order = F.xxhash64(F.lit("sample"), F.col(key))
-    first = Window.partitionBy("lang").orderBy("at", "key")
-    ids = labelled.select(F.col(key).alias("key"), F.col(lang).alias("lang"), order.alias("at")).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= rows)
-    chosen = [tuple(r) for r in ids.select("lang", "n", "key").limit(LANGUAGES * rows + 1).collect()]
-    if len({c[0] for c in chosen}) > LANGUAGES:
+    hashed = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit("sample"), F.col(text)).alias("at")).filter("lang IS NOT NULL AND text IS NOT NULL AND text != ''")
+    sizes = {r["lang"]: r["n"] for r in hashed.groupBy("lang").agg(F.approx_count_distinct("at").alias("n")).limit(LANGUAGES + 1).collect()}
+    if len(sizes) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    keys = docs.sparkSession.createDataFrame(sorted({(c[2],) for c in chosen}), labelled.select(F.col(key).alias("_key")).schema) if chosen else None
-    if keys is None:
+    if not sizes:
         return {}
-    share = DICTIONARY * 2 // rows + 1
-    # Any part of a text serves a dictionary; the start of each keeps what is collected bounded.
-    picked = labelled.join(F.broadcast(keys), F.col(key) == F.col("_key")).select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.substring(text, 1, 16 * share).alias("text"))
+    # The hash below which a share of all texts lies, that share being a quarter more than the rows that are wanted.
+    below = {name: int(min(1.25 * rows / n, 1.0) * ((1 << 64) - 1)) - (1 << 63) for name, n in sizes.items()}
+    limits = F.create_map(*[F.lit(x) for pair in below.items() for x in pair])
+
+    def body(batches: Iterator[dict]) -> Iterator[dict]:
+        for batch in batches:
+            yield {"lang": batch["lang"], "at": batch["at"], "text": [excerpt(letters(t).encode(), EXCERPT) for t in batch["text"].to_pylist()]}
+
+    sampled = map_batches(hashed.filter(F.col("at") <= limits[F.col("lang")]), body, "lang string, at bigint, text binary")
+    found = sorted((r["lang"], r["at"], bytes(r["text"])) for r in sampled.groupBy("lang", "at").agg(F.max("text").alias("text")).filter(F.length("text") > 0).collect())
     content: dict[str, list[bytes]] = {}
-    for name, _, sample in sorted((tuple(r) for r in picked.collect()), key=lambda r: (r[0], str(r[1]), r[2])):
-        content.setdefault(name, []).append(letters(sample).encode()[: 4 * share])
-    return {name: b" ".join(parts)[-DICTIONARY:] for name, parts in content.items() if any(parts)}
+    for name, _, part in found:
+        content.setdefault(name, []).append(part)
+    return {name: level_out(parts[:rows], DICTIONARY) for name, parts in content.items()}
 
 
 class Compressors:
@@ -68,14 +99,15 @@ class Compressors:
             data.precompute_compress(level=LEVEL)
             self.each.append(zstandard.ZstdCompressor(dict_data=data, level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
 
-    def predict(self, text: str) -> tuple[str, float]:
+    def predict(self, text: str) -> tuple[str, float, bool]:
+        """Language, score and whether it is rejected."""
         data = letters(text).encode()
         if not data or not self.each:
-            return "und", 0.0
+            return "und", 0.0, True
         sizes = self.sizes(data, FRAME, FRAME)
         if share(sizes) < DOUBT:  # whole bytes are a coarse measure of a short text
             sizes = [a + b for a, b in zip(sizes, self.sizes(data, FINE, FINE // 2), strict=True)]
-        return self.names[sizes.index(min(sizes))], share(sizes)
+        return self.names[sizes.index(min(sizes))], share(sizes), narrow(sizes)
 
     def sizes(self, data: bytes, frame: int, step: int) -> list[int]:
         frames = [data[i : i + frame] for i in range(0, len(data), step)]
@@ -87,11 +119,17 @@ def share(sizes: list[int]) -> float:
     return 1.0 / sum(2.0 ** -min(s - min(sizes), 60) for s in sizes)
 
 
-def predict(docs: DataFrame, content: dict[str, bytes], key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
+def narrow(sizes: list[int]) -> bool:
+    """Whether the next size is too near to the smallest; a tie always is. A lone language has no next one."""
+    first, *rest = sorted(sizes)
+    return bool(rest) and rest[0] - first < max(BYTES, SHARE * first)
+
+
+def predict(docs: DataFrame, content: dict[str, bytes], key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, lang_pred (``und`` if the text is null or has no letter), score and rejected. One pass.
 
-    Ties go to the first name; an empty text, an empty table and repeated rows are ordinary cases. Nothing but the
-    text decides.
+    Of languages that tie the first name stands, and is rejected; an empty text, an empty table and repeated rows are
+    ordinary cases. Nothing but the text decides.
     """
     shared = docs.sparkSession.sparkContext.broadcast(content)
 
@@ -99,7 +137,7 @@ def predict(docs: DataFrame, content: dict[str, bytes], key: str = "doc_id", tex
         models = Compressors(shared.value)
         for batch in batches:
             found = [models.predict(t) for t in batch["_text"].to_pylist()]
-            yield {key: batch[key], "lang_pred": [f[0] for f in found], "score": [f[1] for f in found], "rejected": [f[0] == "und" or f[1] < least for f in found]}
+            yield {key: batch[key], "lang_pred": [f[0] for f in found], "score": [f[1] for f in found], "rejected": [f[2] for f in found]}
 
     rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     return map_batches(rows, body, f"{key} {rows.schema[key].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
@@ -115,7 +153,7 @@ def keep_known(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: s
 
     The text is judged where it lies, in one pass and without a join; all columns stay as they are.
     """
-    content = learn(docs.filter(~held_out(key)), key, text, lang)
+    content = learn(docs.filter(~held_out(key)), text, lang)
     schema = docs.schema
     shared = docs.sparkSession.sparkContext.broadcast(content)
 
@@ -125,6 +163,6 @@ def keep_known(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: s
         models = Compressors(shared.value)
         for batch in batches:
             found = (models.predict(t or "") for t in batch.column(batch.schema.get_field_index(text)).to_pylist())
-            yield batch.filter(pa.array([name != "und" and score >= LEAST for name, score in found], pa.bool_()))
+            yield batch.filter(pa.array([not rejected for *_, rejected in found], pa.bool_()))
 
     return docs.mapInArrow(run, schema)
