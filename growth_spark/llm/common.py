@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +92,31 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+class Memory:
+    """What a task has worked out for parts of texts, within a bound of bytes; one object a task, gone when it ends.
+
+    Parts of more than ``LONG`` characters are not kept. A memory that is full starts afresh.
+    """
+
+    LONG = 48
+
+    def __init__(self, most: int = 48 << 20) -> None:
+        self.most, self.size, self.known = most, 0, {}
+
+    @contextmanager
+    def room(self, new: dict) -> Iterator[dict]:
+        """All that is known and ``new``, while the block runs; afterwards as much as may be kept."""
+        known = self.known
+        known.update(new)
+        yield known
+        self.size += sum(250 if len(k) <= self.LONG else 0 for k in new)
+        if self.size > self.most:
+            self.known, self.size = {}, 0
+        else:
+            for k in [k for k in new if len(k) > self.LONG]:
+                del known[k]
+
+
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 

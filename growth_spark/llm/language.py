@@ -42,7 +42,7 @@ def excerpt(data: bytes, size: int) -> bytes:
     if len(data) <= size:
         return data
     n = max(size // PIECE, 1)
-    starts = (k * (len(data) - PIECE) // max(n - 1, 1) for k in range(n))
+    starts = (k * (len(data) - PIECE + 1) // max(n - 1, 1) for k in range(n))
     return b" ".join(data[s : s + PIECE - 1] for s in starts).decode("utf-8", "ignore").encode()
 
 
@@ -73,7 +73,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = R
     if not sizes:
         return {}
     # The hash below which a share of all texts lies, that share being a quarter more than the rows that are wanted.
-    below = {name: int(min(1.25 * rows / n, 1.0) * ((1 << 64) - 1)) - (1 << 63) for name, n in sizes.items()}
+    below = {name: int(1.25 * rows / n * (1 << 64)) - (1 << 63) if 1.25 * rows < n else (1 << 63) - 1 for name, n in sizes.items()}
     limits = F.create_map(*[F.lit(x) for pair in below.items() for x in pair])
 
     def body(batches: Iterator[dict]) -> Iterator[dict]:

@@ -1,8 +1,9 @@
 """Quality rules per document, and a verdict per host shrunk by an empirical beta prior.
 
 Counts are made in one pass over whole texts and kept as a small table. Failures are summed by host (a partial sum in
-each task, so a host with a third of all rows is no burden), the hosts' rates give a beta prior by its moments, and the
-verdict on each host's shrunken rate is joined back.
+each task, so a host with a third of all rows is no burden), and the hosts' rates give a beta prior by its moments. With
+it each host's rate has a posterior of its own. A host falls if that says, at the level ``LEVEL``, that the odds of a
+failure are more than ``ODDS`` times those of the prior mean; the verdict is joined back.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from .common import Scratch, groups, map_batches, prefix_hash, window_hash
 
 SYMBOLS = b"#*$%&|<>"
-#: A host falls when its shrunken failure rate is above this; documents of other hosts are judged by the base alone.
-HOST_RATE = 0.9
+#: A host falls when the odds of its failures are surely more than so many times the common ones, and how sure (in
+#: standard deviations of the posterior; 2.326 is 99 %). Documents of other hosts are judged by the base alone.
+ODDS, LEVEL = 2.0, 2.326
 LOT = 1 << 18
 _OTHER = bytes(b for b in range(256) if b not in SYMBOLS)
 _FOLLOW = bytes(range(128, 192)) + b" \t\n\r\x0b\x0c"  # bytes that start no code point of a word
@@ -94,8 +96,8 @@ def failures() -> dict[str, F.Column]:
     }
 
 
-def host_verdicts(rules: DataFrame, host: str = "source", rate: float = HOST_RATE) -> DataFrame:
-    """Per host: n_docs, n_failed, shrunken rate and host_failed.
+def host_verdicts(rules: DataFrame, host: str = "source", odds: float = ODDS, level: float = LEVEL) -> DataFrame:
+    """Per host: n_docs, n_failed, shrunken rate (the posterior mean) and host_failed.
 
     The beta prior is fitted to all hosts' rates by moments (mean m, variance v: a + b = m(1-m)/v - 1, within 1 and
     1000; a lone host or equal rates give 1000). Null hosts make one host of their own.
@@ -109,10 +111,13 @@ def host_verdicts(rules: DataFrame, host: str = "source", rate: float = HOST_RAT
     weight = F.least(F.greatest(F.coalesce(F.try_divide(F.col("m") * (1 - F.col("m")), F.col("v")) - 1, F.lit(1000.0)), F.lit(1.0)), F.lit(1000.0))
     prior = moments.select(F.col("m"), weight.alias("w"))  # one row
     shrunken = (F.col("n_failed") + F.col("m") * F.col("w")) / (F.col("n_docs") + F.col("w"))
-    return hosts.join(F.broadcast(prior)).select(host, "n_docs", "n_failed", shrunken.alias("rate"), (shrunken > rate).alias("host_failed"))
+    rated = hosts.join(F.broadcast(prior)).withColumn("rate", shrunken)
+    least = F.col("rate") - level * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n_docs") + F.col("w") + 1))
+    common = odds * F.col("m") / (1 + (odds - 1) * F.col("m"))
+    return rated.select(host, "n_docs", "n_failed", "rate", (least > common).alias("host_failed"))
 
 
-def judge(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text", rate: float = HOST_RATE) -> DataFrame:
+def judge(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text", odds: float = ODDS, level: float = LEVEL) -> DataFrame:
     """Base counts of every document with its host's shrunken rate, host_failed and kept.
 
     ``kept`` is false if the base rules fail or the host's verdict does. Repeated rows each give a row; an empty table
@@ -120,6 +125,6 @@ def judge(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str
     """
     scratch = Scratch(docs.sparkSession, "quality")
     rules = scratch.save(rule_counts(docs, key, host, text), "rules")
-    hosts = host_verdicts(rules, host, rate).select(F.col(host).alias("_host"), "rate", "host_failed")
+    hosts = host_verdicts(rules, host, odds, level).select(F.col(host).alias("_host"), "rate", "host_failed")
     joined = rules.join(hosts, rules[host].eqNullSafe(hosts["_host"]), "left").drop("_host")
     return joined.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("host_failed", F.lit(False)))

@@ -119,6 +119,17 @@ r AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p FROM x JOI
 a AS (SELECT doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS p FROM d WHERE len(w) > 0)),
 k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM a ANTI JOIN r USING (doc_id, p) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+""",
+    "op9_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+x AS (SELECT doc_id, i, substring(h, 2 * i + 1, 200) AS g FROM (SELECT doc_id, h, unnest(generate_series(0, n - 100)) AS i FROM d WHERE n >= 100)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM x) WHERE k > 1),
+e AS (SELECT doc_id, i, coalesce(i > max(i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 100, true) AS new FROM r),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM e) GROUP BY doc_id, island),
+c AS (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS free, b FROM s),
+k AS (SELECT doc_id, string_agg(substring(h, 2 * free + 1, 2 * (a - free)), '' ORDER BY a) AS kept, max(b) AS last, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM c JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
 """,
     "op6_host_quality": r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -130,8 +141,9 @@ b AS (SELECT doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w
 c AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b),
 h AS (SELECT source, count(*) AS k, count(*) FILTER (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 5 * n_dup_lines > n_words) AS x FROM c GROUP BY source),
 p AS (SELECT m, least(greatest(coalesce(m * (1 - m) / nullif(v, 0) - 1, 1000), 1), 1000) AS a FROM (SELECT avg(x / k) AS m, var_pop(x / k) AS v FROM h)),
-v AS (SELECT source, (x + m * a) / (k + a) AS rate FROM h, p)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.9 AS kept, round(rate, 6) AS rate FROM c JOIN v ON c.source IS NOT DISTINCT FROM v.source
+v AS (SELECT source, m, k + a AS t, (x + m * a) / (k + a) AS rate FROM h, p)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (rate - 2.326 * sqrt(rate * (1 - rate) / (t + 1)) > 2 * m / (1 + m)) AS kept, round(rate, 6) AS rate FROM c JOIN v ON c.source IS NOT DISTINCT FROM v.source
 """,
     "op5_decontaminate": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),

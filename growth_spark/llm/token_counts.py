@@ -14,10 +14,8 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import groups, map_batches, with_binary
+from .common import Memory, groups, map_batches, with_binary
 
-#: Parts of texts that a worker remembers at most before it starts afresh (bounds its memory).
-REMEMBERED = 1_200_000
 #: Bytes of text that are split into pre-tokens at a time.
 LOT = 2 << 20
 NONE = np.iinfo(np.int32).max
@@ -47,7 +45,6 @@ class Merges:
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True))) if special else None
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-        self.known: dict[str, int] = {}
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left.astype(np.int64) << 32) | right
@@ -96,24 +93,22 @@ class Merges:
         count = dict(zip(new, self.count([t.encode("utf-8") for t in new]).tolist(), strict=True)) if new else {}
         return [sum(map(count.__getitem__, lot)) for lot in lots]
 
-    def texts(self, texts: list[str]) -> list[int]:
+    def texts(self, texts: list[str], memory: Memory) -> list[int]:
         """Tokens in each text; a special string inside a text counts as one token.
 
         A blank that a non-blank follows always starts a pre-token, so a text's count is the sum over its parts
         between blanks, each with the blank before it; parts that begin with white space (or are empty) send their
         text the plain way.
         """
-        if len(self.known) > REMEMBERED:
-            self.known = {}
         lots = [t.split(" ") for t in texts]
         heads = [lot.pop(0) for lot in lots]
-        known = self.known
-        if new := list(set().union(*lots).difference(known)):
-            fit = [c for c in new if c and not c[0].isspace() and not (self.special and self.special.search(c))]
-            known.update(dict.fromkeys(new, ODD))
-            known.update(zip(fit, self.learn([" " + c for c in fit]), strict=True))
+        new = dict.fromkeys(set().union(*lots).difference(memory.known), ODD)
+        fit = [c for c in new if c and not c[0].isspace() and not (self.special and self.special.search(c))]
+        new.update(zip(fit, self.learn([" " + c for c in fit]), strict=True))
         plain = [not h or h[0].isspace() or bool(self.special and self.special.search(h)) for h in heads]
-        counts = [ODD if odd else n + sum(map(known.__getitem__, lot)) for odd, n, lot in zip(plain, self.learn(["" if odd else h for odd, h in zip(plain, heads, strict=True)]), lots, strict=True)]
+        first = self.learn(["" if odd else h for odd, h in zip(plain, heads, strict=True)])
+        with memory.room(new) as known:
+            counts = [ODD if odd else n + sum(map(known.__getitem__, lot)) for odd, n, lot in zip(plain, first, lots, strict=True)]
         if again := [i for i, n in enumerate(counts) if n >= ODD]:
             pieces = [self.special.split(texts[i]) if self.special else [texts[i]] for i in again]
             each = iter(self.learn([p for lot in pieces for p in lot]))
@@ -133,13 +128,13 @@ def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     """
 
     def body(batches: Iterator[dict]) -> Iterator[dict]:
-        merges = _MERGES.get(path) or _MERGES.setdefault(path, Merges(path))
+        merges, memory = _MERGES.get(path) or _MERGES.setdefault(path, Merges(path)), Memory()
         for batch in batches:
             texts = batch["bytes"].to_pylist()
             sizes = list(map(len, texts))
             counts: list[int] = []
             for a, b in groups(sizes, LOT):
-                counts += merges.texts([t.decode("utf-8") for t in texts[a:b]])
+                counts += merges.texts([t.decode("utf-8") for t in texts[a:b]], memory)
             yield {key: batch[key], "n_bytes": sizes, "n_tokens": counts, "over_limit": [n > limit for n in counts]}
 
     rows = with_binary(docs, key, text)
