@@ -79,7 +79,7 @@ def base_spans(text: str) -> list[Span]:
 # common given names; words that end the name of a street.
 SECRET_WORDS = ("token", "secret", "password", "passwd", "pwd", "passphrase", "apikey", "api_key", "api-key", "key", "auth", "bearer", "credential", "access", "private")
 PHONE_WORDS = ("phone", "call", "tel", "mobile", "cell", "fax", "contact", "whatsapp", "sms", "telefon", "handy", "anruf", "téléphone", "portable", "teléfono", "móvil")
-PERSON_WORDS = ("name", "contact", "by", "from", "dear", "signed", "author", "attn", "regards", "sincerely", "patient", "customer")
+PERSON_WORDS = ("name", "contact", "dear", "signed", "author", "attn", "regards", "sincerely", "patient", "customer")
 ADDRESS_WORDS = ("address", "at", "lives", "street", "adresse", "dirección", "located", "ship", "mail")
 KEY_STARTS = ("AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "glpat-", "sk_live_", "sk-", "pk_live_", "xoxb-", "xoxp-", "AIza", "eyJ", "hf_", "npm_")
 GIVEN_NAMES = frozenset("""
@@ -93,9 +93,10 @@ GIVEN_NAMES = frozenset("""
 TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Señor", "Señora", "Monsieur", "Madame")
 STREETS = ("Street", "St", "Avenue", "Ave", "Road", "Rd", "Lane", "Ln", "Boulevard", "Blvd", "Drive", "Dr", "Court", "Ct", "Place", "Square", "Way", "Terrace", "Parkway", "Highway")
 _SECRET = re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+={0,2}")
-_LOCAL_PHONE = re.compile(r"(?<![0-9A-Za-z+.(-])(?<!\+[0-9] )(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])(?:[0-9]{2,4}[ .-]){1,3}[0-9]{2,4}(?![0-9A-Za-z])")
-_PERSON = re.compile(rf"(?<![\w@])(?:(?:{'|'.join(TITLES)})\.? )?[A-Z][a-z]+ (?:[A-Z]\. )?[A-Z][a-z]+(?!\w)")
-_ADDRESS = re.compile(rf"(?<![\w.])[0-9]{{1,5}}[A-Za-z]? (?:[A-Z][a-z]+ ){{1,3}}(?:{'|'.join(STREETS)})\b\.?")
+# These begin with a set of characters, which is found fast; what stands before them is looked at afterwards.
+_LOCAL_PHONE = re.compile(r"[(0-9][0-9]{1,3}\)?[ .-]?(?:[0-9]{2,3}[ .-])+?[0-9]{2,4}(?![0-9A-Za-z])")
+_PERSON = re.compile(r"[A-Z][a-z]++\.? (?:[A-Z]\. )?[A-Z][a-z]++(?: [A-Z][a-z]++)?(?!\w)")
+_ADDRESS = re.compile(rf"[0-9]{{1,5}}[A-Za-z]? (?:[A-Z][a-z]+ ){{1,3}}(?:{'|'.join(STREETS)})\b\.?")
 _HEX = re.compile(r"[0-9a-fA-F]+\Z")
 _BEFORE = re.compile(r"([^\W\d]+)[\"']?\s*([=:])?\s*[\"'(]?\Z")
 _SHAPE = re.compile(r"\(?[0-9]{3}[) .-] ?[0-9]{3}[ .-][0-9]{4}\Z")
@@ -112,6 +113,10 @@ def candidates(text: str, taken: list[Span]) -> Iterator[Candidate]:
     for kind, pattern, judge in (("local_phone", _LOCAL_PHONE, phone_votes), ("secret", _SECRET, secret_votes), ("person", _PERSON, person_votes), ("address", _ADDRESS, address_votes)):
         for m in pattern.finditer(text):
             s, e = m.span()
+            if s and (text[s - 1].isalnum() or text[s - 1] in "+.-_@("):
+                continue
+            if kind == "person" and "." in (first := m.group().split(" ", 1)[0]) and first[:-1] not in TITLES:
+                continue  # the end of a sentence and the beginning of the next
             at = bisect_left(starts, e)
             if at and ends[at - 1] > s:
                 continue
