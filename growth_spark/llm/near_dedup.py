@@ -68,17 +68,17 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
 
 
 def listed(classes: DataFrame) -> DataFrame:
-    """Entries of the inverted lists: (v, node, n), of each sketch the rarest values that can't all be missed."""
-    entries = classes.select("node", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("v"))
+    """Entries of the inverted lists: (v, node, doc, n, central), of each sketch the rarest values that can't all be missed."""
+    entries = classes.select("node", "doc", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("v"))
     often = entries.groupBy("v").agg(F.count("*").alias("f")).filter("f > 1")
     # Values of one class only are the rarest of all; they need no entry but take their places.
     least = F.when(F.col("n") * 4 <= 3 * K, F.ceil(F.col("n") * (SIMILAR / 100))).otherwise(F.lit(T))
-    shared = entries.join(often, "v").groupBy("node", "n", "size").agg(F.array_sort(F.collect_list(F.struct("f", "v"))).alias("values"))
+    shared = entries.join(often, "v").groupBy("node", "doc", "n", "size").agg(F.array_sort(F.collect_list(F.struct("f", "v"))).alias("values"))
     places = F.col("size") - least + 1 - (F.col("size") - F.size("values"))
     # How much of the sketch is shared, and how widely: greatest where no edit sets a copy apart from the others.
     central = F.aggregate("values", F.lit(0.0), lambda t, x: t + F.log(x["f"].cast("double"))) / F.col("size")
-    indexed = shared.select("node", "n", central.alias("central"), F.explode(F.slice("values", 1, F.greatest(places, F.lit(0)).cast("int"))).alias("x"))
-    return indexed.select(F.col("x.v").alias("v"), "node", "n", "central")
+    indexed = shared.select("node", "doc", "n", central.alias("central"), F.explode(F.slice("values", 1, F.greatest(places, F.lit(0)).cast("int"))).alias("x"))
+    return indexed.select(F.col("x.v").alias("v"), "node", "doc", "n", "central")
 
 
 def near_sizes(a: str = "na", b: str = "nb") -> F.Column:
@@ -91,7 +91,7 @@ def candidate_pairs(entries: DataFrame, sizes: DataFrame) -> DataFrame:
     x, y = (short.select("v", F.col("node").alias(d), F.col("n").alias(m)) for d, m in (("a", "na"), ("b", "nb")))
     every = x.join(y, "v").filter(F.col("a") < F.col("b")).filter(near_sizes()).select("a", "b")
     pivot = F.struct(F.col("node").alias("p"), F.col("n").alias("np"))
-    pivots = long_.groupBy("v").agg(F.array(F.min(pivot), F.max_by(pivot, F.struct("central", -F.col("node"))), F.min_by(pivot, F.xxhash64("node"))).alias("pivots"))
+    pivots = long_.groupBy("v").agg(F.array(F.min_by(pivot, F.struct("doc", "node")), F.max_by(pivot, F.struct("central", -F.col("doc"), -F.col("node"))), F.min_by(pivot, F.xxhash64("node"))).alias("pivots"))
     star = long_.join(pivots, "v").select("node", "n", F.explode("pivots").alias("x")).select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("x.p").alias("b"), F.col("x.np").alias("nb"))
     star = star.filter(F.col("a") != F.col("b")).filter(near_sizes()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return every.unionByName(star).distinct()
@@ -150,9 +150,13 @@ def missed(parts: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     places = F.floor(F.col("n") * (100 - SIMILAR) / 100) + 1 - before
     listed_ = shared.withColumn("before", before).select("node", "n", "root", "before", F.posexplode(F.slice("values", 1, F.greatest(places, F.lit(0)).cast("int"))).alias("at", "x"))
     rows = scratch.save(mixed(listed_.select(F.col("x.v").alias("v"), "node", "n", "root", (F.col("n") - F.col("before") - F.col("at")).alias("rest"))), "left")
-    x, y = (rows.select("v", F.col("node").alias(d), F.col("n").alias(m), F.col("root").alias(r), F.col("rest").alias(o)) for d, m, r, o in (("a", "na", "ra", "oa"), ("b", "nb", "rb", "ob")))
+    # Of a similar pair the one that asks no more of the other than its own size has the shingle among its first seventh,
+    # or both had to be smaller than the other: so only entries that stand that far in front look for partners.
+    ahead = F.col("rest") * (100 + SIMILAR) >= 2 * SIMILAR * F.col("n")
+    x, y = (rows.select("v", F.col("node").alias(d), F.col("n").alias(m), F.col("root").alias(r), F.col("rest").alias(o), ahead.alias(f"f{d}")) for d, m, r, o in (("a", "na", "ra", "oa"), ("b", "nb", "rb", "ob")))
     enough = F.least("oa", "ob") * (100 + SIMILAR) >= (F.col("na") + F.col("nb")) * SIMILAR
-    return x.join(y, "v").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near_sizes() & enough).select("a", "b").distinct()
+    met = x.filter("fa").join(y, "v").filter((F.col("ra") != F.col("rb")) & (~F.col("fb") | (F.col("a") < F.col("b"))) & near_sizes() & enough)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
