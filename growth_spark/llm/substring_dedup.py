@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BASE, Scratch, documents, map_batches, prefix_hash, window_hash
@@ -22,7 +22,6 @@ from .repeats import FLUSH, candidates, covered, in_ranges, runs, with_ranges, w
 #: Words of a window, and of the windows of the first level.
 WINDOW, SHORTEST = 50, 25
 OTHER = 0xD6E8FEB86659FD93
-EMPTY = "doc bigint, mark bigint, s bigint, n bigint"
 
 
 def word_codes(text: bytes) -> np.ndarray:
@@ -87,10 +86,12 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", w
         texts = with_ranges(docs, found, key, text)
     if "open" not in texts.columns:  # a window as short as the first level
         texts = texts.withColumn("open", F.array(F.struct(F.lit(0).cast("bigint").alias("s"), F.lit(1 << 40).cast("bigint").alias("n"))))
-    level = scratch.save(full_windows(texts, window, flush), "windows")
-    first = level.filter("kind = 0").groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("last > first").drop("last")
-    later = level.filter("kind = 0").join(first, ["h1", "h2"]).filter("doc > first")
-    return level.filter("kind = 1").select("doc", "mark", "s", "n").unionByName(later.select("doc", "mark", "s", "n"))
+    # A task sends one document's rows for a window at most, so one shuffle brings a window's rows together safely.
+    first = F.min("doc").over(Window.partitionBy("h1", "h2"))
+    judged = full_windows(texts, window, flush).withColumn("first", first).filter("kind = 1 OR doc > first")
+    found = scratch.save(judged.select("doc", "mark", "s", "n"), "windows")
+    scratch.drop(*(f"level{x}" for x in levels(window, shortest)[:-1]))
+    return found
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:

@@ -29,7 +29,8 @@ from .common import Scratch, documents, map_batches, powers, prefix_hash, window
 from .repeats import FLUSH, SALTS, candidates, covered, runs, with_ranges, with_spans
 
 WINDOW, GRAM = 100, 40
-MOST = 2000
+#: Candidates of an anchor that are sorted as they are, and crowded anchors that are broadcast (a megabyte) at most.
+MOST, FEW = 2000, 50_000
 #: Suffixes that are sorted at a time, whole buckets; bytes of different segments that a task holds to drop equal ones.
 LOT, HELD = 1 << 16, 16 << 20
 CODES = np.random.default_rng(100).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -243,12 +244,17 @@ def sort_buckets(dealt: DataFrame, window: int) -> DataFrame:
     return map_batches(met.select("kind", "_bucket", *DEALT[1:]), body, SCHEMA)
 
 
-def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, most: int = MOST, flush: int = FLUSH) -> DataFrame:
+def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, most: int = MOST, flush: int = FLUSH, few: int = FEW) -> DataFrame:
     """Windows of ``window`` bytes that also start earlier (smaller key, or earlier in the same text): (doc, mark, s, n)."""
     scratch = Scratch(docs.sparkSession, "suffixes")
     found = scratch.save(candidates(documents(docs, key, text), byte_codes, window, min(gram, window), flush), "candidates")
-    crowded = found.groupBy("a").agg(F.count("*").alias("c")).filter(F.col("c") > most).select("a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"), F.lit(True).alias("crowded"))
-    marked = found.join(scratch.save(crowded, "crowded"), ["a", "salt"], "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    crowded = scratch.save(found.groupBy("a").agg(F.count("*").alias("c")).filter(F.col("c") > most).select("a", F.lit(True).alias("crowded")), "crowded")
+    if crowded.count() <= few:
+        marked = found.join(F.broadcast(crowded), "a", "left")
+    else:  # too many to send to all: dealt out under the salts that their candidates have
+        salted = crowded.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+        marked = found.join(salted, ["a", "salt"], "left")
+    marked = marked.withColumn("crowded", F.coalesce("crowded", F.lit(False)))
     dealt = deal(with_ranges(docs, marked, key, text, ("a", "s", "n", "place", "crowded")), window)
     # Salted by document, each copy of a crowded window meets few others; what is left of each salt meets in a second round.
     salt = F.shiftleft(F.pmod(F.xxhash64("doc", "mark"), F.lit(SALTS)), 57)

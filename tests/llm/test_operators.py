@@ -214,13 +214,13 @@ def check_windows(df, found, parts, gone, window):
         assert (mine if mine is not None else np.zeros(size, bool)).tolist() == gone[r["key"]].tolist()
 
 
-@pytest.mark.parametrize(("most", "flush"), [(2000, 500_000), (1, 500_000), (3, 7)])
-def test_suffixes_against_brute_force(spark, most, flush):
+@pytest.mark.parametrize(("most", "flush", "few"), [(2000, 500_000, 50_000), (1, 500_000, 0), (3, 7, 50_000)])
+def test_suffixes_against_brute_force(spark, most, flush, few):
     """Buckets sorted as they are, all anchors crowded, and tasks that hold a few rows at a time."""
     texts = shared_texts()
     df = spark.createDataFrame([(d, t, None, "s", 0) for d, t in texts.items()], SCHEMA).repartition(5)
     parts, gone = brute_windows(texts, lambda t: t.encode(), 100, True)
-    check_windows(df, suffix_dedup.repeated_windows(df, most=most, flush=flush), parts, gone, 100)
+    check_windows(df, suffix_dedup.repeated_windows(df, most=most, flush=flush, few=few), parts, gone, 100)
     if most == 2000:
         for r in suffix_dedup.dedup(df).collect():
             data, g = parts[r["doc_id"]], gone[r["doc_id"]]
