@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 def runs_of(df: DataFrame, keys: list[str], counts: str = "mask_rle") -> DataFrame:
     """Runs of set pixels from alternating run lengths (unset first). Null and empty masks have none."""
-    ends = F.transform(F.sequence(F.lit(1), F.size(counts)), lambda i: F.aggregate(F.slice(counts, 1, i), F.lit(0).cast("bigint"), lambda t, x: t + x))
-    rows = df.filter(F.size(counts) > 0).select(*keys, "mask_height", "mask_width", F.posexplode(F.arrays_zip(F.col(counts).alias("n"), ends.alias("end"))).alias("i", "run"))
-    return rows.filter((F.col("i") % 2 == 1) & (F.col("run.n") > 0)).select(*keys, (F.col("run.end") - F.col("run.n")).cast("bigint").alias("start"), F.col("run.end").alias("end"), "mask_height", "mask_width")
+    rows = df.filter(F.size(counts) > 0).withColumn("_mask", F.monotonically_increasing_id()).select(*keys, "_mask", "mask_height", "mask_width", F.posexplode(counts).alias("_i", "_n"))
+    until = Window.partitionBy(*keys, "_mask").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    ended = rows.withColumn("end", F.sum(F.col("_n").cast("bigint")).over(until))
+    return ended.filter((F.col("_i") % 2 == 1) & (F.col("_n") > 0)).select(*keys, (F.col("end") - F.col("_n")).alias("start"), "end", "mask_height", "mask_width")
 
 
 def union(runs: DataFrame, keys: list[str]) -> DataFrame:

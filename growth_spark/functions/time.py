@@ -25,9 +25,11 @@ def pick(columns: list[str], names: tuple[str, ...]) -> str | None:
 
 
 def epoch_micros(value: Column, largest: Column) -> Column:
-    """Microseconds of an epoch number whose unit its item's largest value tells (s, ms, us or ns)."""
-    scale = F.when(largest > 1e18, 1e-3).when(largest > 1e15, 1.0).when(largest > 1e12, 1e3).otherwise(1e6)
-    return F.round(value * scale).cast("bigint")
+    """Microseconds of an epoch number whose unit its item's largest value tells (s, ms, us or ns).
+
+    In decimals: a double has no room for the last digits of nanoseconds."""
+    scale = F.when(largest > 1e18, F.lit("0.001")).when(largest > 1e15, F.lit("1")).when(largest > 1e12, F.lit("1000")).otherwise(F.lit("1000000"))
+    return F.round(value * scale.cast("decimal(11,3)")).cast("bigint")
 
 
 def absolute_times(df: DataFrame, item: list[str], column: str) -> DataFrame:
@@ -35,7 +37,8 @@ def absolute_times(df: DataFrame, item: list[str], column: str) -> DataFrame:
 
     Any number in an item's column makes the values that are no numbers null; a column of text alone is read as dates.
     """
-    number = F.expr(f"try_cast(`{column}` AS double)")
+    # Numbers in exponents and beyond the decimal's range are read as doubles first.
+    number = F.expr(f"coalesce(try_cast(`{column}` AS decimal(26,6)), try_cast(try_cast(`{column}` AS double) AS decimal(26,6)))")
     each = Window.partitionBy(*item)
     text = F.unix_micros(F.expr(f"try_cast(cast(`{column}` AS string) AS timestamp)"))
     timed = df.withColumns({"_number": number, "_largest": F.max(number).over(each)})
@@ -53,13 +56,26 @@ def since_upload(base: Column, seconds: Column) -> Column:
     return F.unix_micros(base) + F.round(seconds * 1e6).cast("bigint")
 
 
-def sample_time(columns: list[str]) -> tuple[Column, bool] | None:
-    """Time in microseconds by the sample's rule, and whether it is absolute: a name with ``timestamp`` is epoch ms."""
+def item_times(df: DataFrame, item: list[str], upload: str) -> DataFrame:
+    """``df`` with ``time_us``: of the first absolute column that is present; without one, of ``upload`` and a relative
+    column; no rows where there is neither."""
+    name = pick(df.columns, ABSOLUTE)
+    if name is not None:
+        return absolute_times(df, item, name)
+    offset = relative_seconds(df.columns)
+    if offset is None or upload not in df.columns:
+        return df.withColumn("time_us", F.lit(None).cast("bigint")).filter("false")
+    return df.withColumn("time_us", since_upload(F.col(upload), offset)).filter("time_us IS NOT NULL")
+
+
+def sample_time(columns: list[str]) -> tuple[Column, bool, str] | None:
+    """Time in microseconds by the sample's rule, whether it is absolute (a name with ``timestamp``: epoch ms), and the
+    column's name."""
     name = pick(columns, SAMPLE_TIMES)
     if name is None:
         return None
     absolute = "timestamp" in name.lower()
-    return F.round(F.expr(f"try_cast(`{name}` AS double)") * (1e3 if absolute else 1e6)).cast("bigint"), absolute
+    return F.round(F.expr(f"try_cast(`{name}` AS double)") * (1e3 if absolute else 1e6)).cast("bigint"), absolute, name
 
 
 def midnight(time_us: Column) -> Column:

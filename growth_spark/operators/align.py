@@ -6,10 +6,14 @@ an outer join on time of any number of items is a grouping of their rows by time
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import TIME_METRICS, bin_start, midnight
+from ..functions.time import TIME_METRICS, bin_start, item_times, midnight, sample_time
+from ..plans.tables import cut
+from ..sources.series import long, numeric_columns
 
 ITEM = ["data_id", "domain"]
 #: Least step, and most grid points, in microseconds and number.
@@ -32,8 +36,12 @@ def gaps(rows: DataFrame) -> DataFrame:
 
 def step(rows: DataFrame) -> DataFrame:
     """One row (step_us): the median of the items' median gaps, at least half a second, and no more than a million
-    points over the whole span. Null if no item has two points."""
-    medians = gaps(rows).groupBy(*ITEM).agg(F.percentile("gap", F.lit(0.5)).alias("m"))
+    points over the whole span. Null if no item has two points.
+
+    An item's median is read from its sorted gaps (a sort that spills), not from a table of them in memory."""
+    each = Window.partitionBy(*ITEM)
+    placed = gaps(rows).select(*ITEM, "gap", F.row_number().over(each.orderBy("gap")).alias("_k"), F.count("*").over(each).alias("_n"))
+    medians = placed.filter((2 * F.col("_k") >= F.col("_n")) & (2 * F.col("_k") <= F.col("_n") + 2)).groupBy(*ITEM).agg(F.avg("gap").alias("m"))
     middle = medians.agg(F.percentile("m", F.lit(0.5)).alias("m"))
     span = rows.agg((F.max("time_us") - F.min("time_us")).alias("span"))
     floor_ = F.greatest(F.col("m"), F.lit(float(LEAST_STEP)))
@@ -107,7 +115,7 @@ def align(rows: DataFrame, how: str = "outer", dense: bool = False) -> DataFrame
 
     Without any item of two points there is no resampling and each row keeps its own time.
     """
-    first = first_at_each_time(rows)
+    first = cut(first_at_each_time(rows), "first")
     steps = step(first)
     kept = restrict(first, how)
     one = grid(kept, steps)
@@ -127,9 +135,11 @@ def interpolate(rows: DataFrame, keys: list[str], limit: int, time: str = "bin_u
     if limit <= 0:
         raise ValueError("limit must be greater than 0")
     order = Window.partitionBy(*keys).orderBy(time)
-    back, ahead = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
+    back = order.rowsBetween(Window.unboundedPreceding, 0)
+    # The next value is the last one of the opposite order, so both frames grow by a row at a time.
+    ahead = Window.partitionBy(*keys).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, 0)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(time).alias("t"), F.col(value).alias("v")))
-    marked = rows.withColumns({"_before": F.last(known, ignorenulls=True).over(back), "_after": F.first(known, ignorenulls=True).over(ahead), "_known": F.count(value).over(back)})
+    marked = rows.withColumns({"_before": F.last(known, ignorenulls=True).over(back), "_after": F.last(known, ignorenulls=True).over(ahead), "_known": F.count(value).over(back)})
     place = F.row_number().over(Window.partitionBy(*keys, "_known").orderBy(time)) - 1
     share = (F.col(time) - F.col("_before.t")) / (F.col("_after.t") - F.col("_before.t"))
     linear = F.col("_before.v") + (F.col("_after.v") - F.col("_before.v")) * share
@@ -151,6 +161,45 @@ def align_labelled(rows: DataFrame, step_us: int, window_us: int, absolute: bool
     return interpolate(means, ["signal"], int(window_us // step_us))
 
 
+def item_rows(df: DataFrame, item: tuple[str, ...] = ("data_id", "domain"), upload: str = "upload_datetime") -> DataFrame:
+    """The long rows that ``align`` takes, of items with one column a metric: (data_id, domain, item_pos, seq, time_us,
+    metric, value).
+
+    Times come of the first absolute column that is present, whatever it holds; only without one, of the time of upload
+    and a relative column. Items without a valid time go. ``seq`` is the order of rows, ``item_pos`` that of the items.
+    """
+    timed = item_times(df, list(item), upload)
+    keys = [*item, "item_pos", "seq", "time_us"]
+    return long(timed, keys, [c for c in numeric_columns(timed) if c not in keys]).filter(~F.col("metric").isin(*TIME_METRICS))
+
+
+def labelled_rows(frames: dict[str, DataFrame]) -> tuple[DataFrame, bool] | None:
+    """Frames by label as the rows that ``align_labelled`` takes, and whether their times are absolute; None where no
+    frame has a time column.
+
+    A text column (other than the time), two rows of a frame at one time, and frames of both kinds of time are errors;
+    the second one is raised by the job that reads the rows.
+    """
+    found: list[DataFrame] = []
+    kinds: set[bool] = set()
+    for label, df in frames.items():
+        time = sample_time(df.columns)
+        if time is None:
+            continue
+        column, absolute, name = time
+        kinds.add(absolute)
+        signals = [c for c in df.columns if c not in (name, "Frame Number")]
+        if text := [c for c in signals if c not in numeric_columns(df)]:
+            raise TypeError(f"{label}: columns without numbers: {text}")
+        again = F.count("*").over(Window.partitionBy("time_us"))
+        single = F.when(again > 1, F.raise_error(F.concat(F.lit(f"{label}: more than one row at "), F.col("time_us").cast("string"))).cast("bigint")).otherwise(F.col("time_us"))
+        rows = df.withColumn("time_us", column).filter("time_us IS NOT NULL").withColumn("time_us", single)
+        found.append(long(rows, ["time_us"], signals).withColumn("label", F.lit(label)))
+    if len(kinds) > 1:
+        raise ValueError("frames with absolute and with relative times can't be aligned")
+    return (reduce(DataFrame.unionByName, found).select("label", "time_us", "metric", "value"), kinds.pop()) if found else None
+
+
 def changed(key: str, order: Window) -> Column:
     """Row whose key differs from the one before (nulls compare as values)."""
     return (F.row_number().over(order) == 1) | ~F.col(key).eqNullSafe(F.lag(key).over(order))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import pixel
@@ -12,30 +12,34 @@ from ..functions.geometry import pixel
 RADII, ANGLES, LOW, HIGH, BEST = 2000, 1440, 100.0, 1400.0, 30
 
 
-def circles(points: DataFrame, radii: int = RADII, angles: int = ANGLES, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """(data_id, cy, cx, radius, theta): every image's circles, unfolded from its own row without a join. Both ends of
-    either range are included, so the first and last angle are the same point."""
-    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    rows = points.withColumn("i", numbers(radii)).withColumn("j", numbers(angles))
-    radius = F.lit(low) + F.col("i") * ((high - low) / max(radii - 1, 1))
-    return rows.select("data_id", "cy", "cx", radius.alias("radius"), (F.col("j") * (2 * math.pi / max(angles - 1, 1))).alias("theta"))
-
-
 def centres(nodes: DataFrame) -> DataFrame:
     """(data_id, cy, cx): intensity centroid plus specular origin of the node of smallest id."""
     point = F.struct((F.col("intensity_centroid_0") + F.col("specular_origin_0")).alias("cy"), (F.col("intensity_centroid_1") + F.col("specular_origin_1")).alias("cx"))
     return nodes.groupBy("data_id").agg(F.min_by(point, "node_id").alias("c")).select("data_id", "c.cy", "c.cx")
 
 
-def scores(drawn: DataFrame, pixels: DataFrame) -> DataFrame:
-    """(data_id, radius, score): the 0.9 quantile of the pixels on each circle; points off the image don't count.
+def scores(images: DataFrame, points: DataFrame, radii: int = RADII, angles: int = ANGLES, low: float = LOW, high: float = HIGH) -> DataFrame:
+    """(data_id, radius, score): the 0.9 quantile of the pixels on each circle through its image's point (cy, cx).
 
-    Repeated pixels count each time.
+    ``images`` are (data_id, image: one array in row order, width). Every row draws one circle and looks its pixels up in
+    the image that it carries, so no point is shuffled. Both ends of either range are included, so the first and the last
+    angle are one point; points off the image and null pixels don't count, repeated pixels count each time. Circles
+    without any pixel give no row.
     """
-    drawn = drawn.select("data_id", "radius", pixel(F.col("radius") * F.cos("theta") + F.col("cx")).alias("x"), pixel(F.col("radius") * F.sin("theta") + F.col("cy") - F.col("radius")).alias("y"))
-    on = drawn.filter("x >= 0 AND y >= 0").groupBy("data_id", "radius", "x", "y").agg(F.count("*").alias("times"))
-    hit = on.join(pixels, ["data_id", "x", "y"])
-    return hit.groupBy("data_id", "radius").agg(F.percentile("intensity", F.lit(0.9), F.col("times")).alias("score"))
+    rows = images.join(points, "data_id").withColumn("_height", F.floor(F.size("image") / F.col("width"))).withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(radii - 1))))
+    rows = rows.withColumn("radius", F.lit(low) + F.col("_i") * ((high - low) / max(radii - 1, 1)))
+
+    def place(j: Column) -> Column:
+        theta = j * (2 * math.pi / max(angles - 1, 1))
+        return F.struct(pixel(F.col("radius") * F.cos(theta) + F.col("cx")).alias("x"), pixel(F.col("radius") * F.sin(theta) + F.col("cy") - F.col("radius")).alias("y"))
+
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(angles - 1)), place)
+    on = F.filter(drawn, lambda p: (p["x"] >= 0) & (p["y"] >= 0) & (p["x"] < F.col("width")) & (p["y"] < F.col("_height")))
+    values = F.filter(F.transform(on, lambda p: F.element_at("image", (p["y"] * F.col("width") + p["x"] + 1).cast("int")).cast("double")), lambda v: v.isNotNull())
+    met = rows.select("data_id", "radius", F.array_sort(values).alias("_v")).filter(F.size("_v") > 0)
+    at = (F.size("_v") - 1) * F.lit(0.9)
+    below, above = (F.element_at("_v", (f(at) + 1).cast("int")) for f in (F.floor, F.ceil))
+    return met.select("data_id", "radius", (below + (above - below) * (at - F.floor(at))).alias("score"))
 
 
 def best_radius(scored: DataFrame, points: DataFrame, best: int = BEST) -> DataFrame:

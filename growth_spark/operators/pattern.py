@@ -57,8 +57,9 @@ def normalised(rows: DataFrame) -> DataFrame:
     return rows.join(stats, ["feature", "node_id"]).withColumn("value", (F.col("value") - F.col("_m")) / (F.col("_s") + 1e-6)).drop("_m", "_s")
 
 
-def collection_features(nodes: DataFrame, streamline: bool = False, normalize: bool = False) -> DataFrame:
-    rows = features_long(nodes)
+def collection_features(nodes: DataFrame, streamline: bool = False, normalize: bool = False, features: tuple[str, ...] = FEATURES) -> DataFrame:
+    """All features of a collection's images: without those that some image lacks, and normalised, where asked for."""
+    rows = features_long(nodes, features)
     rows = streamlined(rows) if streamline else rows
     return normalised(rows) if normalize else rows
 
@@ -90,9 +91,38 @@ def collection(images: DataFrame, extra: DataFrame | None = None, sort_key: str
     return rows.orderBy(sort_key, "pos")
 
 
-def at(rows: DataFrame, start: int, stop: int) -> DataFrame:
-    """The images at positions start … stop - 1."""
-    return rows.filter((F.col("pos") >= start) & (F.col("pos") < stop))
+def at(rows: DataFrame, start: int, stop: int | None = None) -> DataFrame:
+    """The images at positions start … stop - 1, or the one at ``start``; negative positions count from the end.
+
+    A single position outside of the collection is an error, a range only loses what lies outside.
+    """
+    if start < 0 or stop is not None and stop < 0:
+        n = length(rows)
+        if start < 0 and stop is not None:
+            start = max(start + n, 0)
+        elif start < 0:
+            start += n
+        stop = stop + n if stop is not None and stop < 0 else stop
+    if stop is not None:
+        return rows.filter((F.col("pos") >= start) & (F.col("pos") < stop))
+    found = rows.filter(F.col("pos") == start)
+    if found.isEmpty():
+        raise IndexError(start)
+    return found
+
+
+def length(rows: DataFrame) -> int:
+    return rows.agg(F.coalesce(F.max("pos") + 1, F.lit(0))).first()[0]
+
+
+def largest_size(images: DataFrame) -> DataFrame:
+    """(collection_id, image_width, image_height): the greatest of each, apart from the other."""
+    return images.groupBy("collection_id").agg(F.max("image_width").alias("image_width"), F.max("image_height").alias("image_height"))
+
+
+def extra_keys(images: DataFrame, column: str = "extra") -> DataFrame:
+    """(collection_id, key): the different keys of the images' extra attributes (a map); null maps have none."""
+    return images.select("collection_id", F.explode(F.map_keys(column)).alias("key")).distinct()
 
 
 def relabelled(nodes: DataFrame, mapping: DataFrame) -> DataFrame:

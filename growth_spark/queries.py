@@ -100,6 +100,17 @@ for _how, _kept in {
     ORACLE_SQL[_name] = f"WITH {_first},\nr AS ({_kept}),{_BINNED},{_MERGED}"
 
 
+@query(ORACLE_SQL["align_merge"])
+def project_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The series of the samples of all projects, aligned together; users are spread over fifty samples and two projects."""
+    rows = event_rows(spark, sf_dir)
+    ids = table(spark, sf_dir, "events").select("user_id").distinct()
+    entry = ids.select(F.col("user_id").cast("string").alias("data_id"), (F.col("user_id") % 50).alias("physical_sample_id"), F.lit("s").alias("physical_sample_name"), F.lit("rheed_rotating").alias("char_source_type"), F.col("user_id").alias("seq"))
+    samples = entry.select("physical_sample_id").distinct().withColumn("name", F.lit("sample"))
+    bridge = samples.select((F.col("physical_sample_id") % 2).alias("project_id"), "physical_sample_id")
+    return rollup.project_series(bridge, samples, entry, rows).withColumn("value", F.round("value", 6))
+
+
 @query(f"WITH {_EVENTS} SELECT step AS step_us FROM step")
 def infer_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.step(align.first_at_each_time(event_rows(spark, sf_dir)))
@@ -122,8 +133,8 @@ def resample_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.resample(event_rows(spark, sf_dir).filter("metric != 'unit'"), steps, ("metric",), dense=True).withColumn("value", F.round("value", 6))
 
 
-@query("""
-WITH f AS (SELECT 'user ' || user_id || ' | ' || event_type AS signal, epoch_us(ts) AS t, value FROM events WHERE user_id < 20 AND event_type <> 'Frame Number'),
+_LABELLED = """
+WITH f AS (SELECT 'user ' || user_id || ' | ' || event_type AS signal, epoch_us(ts) AS t, value FROM events WHERE event_type <> 'Frame Number'),
 g AS (SELECT min(t) - min(t) % 86400000000 AS origin, 10800000000 AS step, max(t) AS hi, min(t) AS lo FROM f),
 k AS (SELECT signal, unnest(generate_series(origin + ((lo - origin) // step) * step, origin + ((hi - origin) // step) * step, step)) AS t FROM (SELECT DISTINCT signal FROM f), g),
 m AS (SELECT signal, origin + ((t - origin) // step) * step AS t, avg(value) AS v FROM f, g GROUP BY ALL),
@@ -132,22 +143,27 @@ d AS (SELECT signal, t, v, count(v) OVER w AS known, last_value(CASE WHEN v IS N
       FROM k LEFT JOIN m USING (signal, t)
       WINDOW w AS (PARTITION BY signal ORDER BY t ROWS UNBOUNDED PRECEDING), a AS (PARTITION BY signal ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 p AS (SELECT *, row_number() OVER (PARTITION BY signal, known ORDER BY t) - 1 AS place FROM d)
-SELECT signal, t AS bin_us, round(CASE WHEN v IS NOT NULL THEN v WHEN known > 0 AND place <= 4 THEN coalesce(v0 + (v1 - v0) * (t - t0)::DOUBLE / (t1 - t0)::DOUBLE, v0) END, 6) AS value FROM p
-""")
+SELECT signal, t AS bin_us, round(CASE WHEN v IS NOT NULL THEN v WHEN known > 0 AND place <= 4 THEN coalesce(v0 + (v1 - v0) * ((t - t0)::DOUBLE / (t1 - t0)::DOUBLE), v0) END, 9) AS value FROM p
+"""
+
+
+@query(_LABELLED)
 def align_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled users on a three-hour step, gaps of up to twelve hours filled: the twenty users that the SQL takes."""
-    return labelled(event_rows(spark, sf_dir).filter("item_pos < 20"))
+    """Labelled users on a three-hour step, gaps of up to twelve hours filled, on the grid of all their times."""
+    return labelled(event_rows(spark, sf_dir))
 
 
-@query()
+@query(_LABELLED)
 def align_labelled_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same of all users, on the grid of all their times."""
-    return labelled(event_rows(spark, sf_dir))
+    """The same from frames as items have them: rows by label with the time as epoch milliseconds."""
+    e = table(spark, sf_dir, "events")
+    rows = e.select(F.concat(F.lit("user "), "user_id").alias("label"), F.unix_micros(F.col("ts").cast("timestamp")).alias("time_us"), F.col("event_type").alias("metric"), "value")
+    return align.align_labelled(rows, 10_800_000_000, 43_200_000_000).withColumn("value", F.round("value", 9))
 
 
 def labelled(rows: DataFrame) -> DataFrame:
     named = rows.filter("metric != 'unit'").withColumn("label", F.concat(F.lit("user "), "data_id"))
-    return align.align_labelled(named, 10_800_000_000, 43_200_000_000).withColumn("value", F.round("value", 6))
+    return align.align_labelled(named, 10_800_000_000, 43_200_000_000).withColumn("value", F.round("value", 9))
 
 
 def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,11 +205,21 @@ def epoch_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     unit = F.col("user_id") % 4
     whole = F.when(unit == 0, us.cast("decimal(20,0)") * 1000).when(unit == 1, us).when(unit == 2, F.floor(us / 1000)).otherwise(F.floor(us / 1_000_000))
-    # Nanoseconds as text: a double has no room for their last digits, so they are cut to microseconds first.
-    text = F.when(unit == 0, F.concat(us.cast("string"), F.lit("000"))).otherwise(whole.cast("bigint").cast("string"))
-    rows = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("data_id"), "event_id", text.alias("timestamp"))
-    exact = times.absolute_times(rows, ["data_id"], "timestamp")
-    return exact.select("data_id", "event_id", F.when(F.length("timestamp") > 18, F.substring("timestamp", 1, 16).cast("bigint")).otherwise(F.col("time_us")).alias("time_us"))
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("data_id"), "event_id", whole.cast("decimal(20,0)").cast("string").alias("timestamp"))
+    return times.absolute_times(rows, ["data_id"], "timestamp").select("data_id", "event_id", "time_us")
+
+
+@query("""
+WITH e AS (SELECT user_id::VARCHAR AS data_id, event_id AS seq, epoch_us(ts) // 1000 * 1000 AS time_us, value, event_type FROM events)
+SELECT data_id, seq, time_us, 'Intensity' AS metric, value FROM e UNION ALL SELECT data_id, seq, time_us, 'Steady', (event_type <> 'error')::INT::DOUBLE FROM e
+""")
+def item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of items, with an absolute and a relative time, text and a flag among their columns, as long rows."""
+    e = table(spark, sf_dir, "events")
+    ms = F.expr("unix_micros(cast(ts as timestamp)) div 1000")
+    frame = e.select(F.col("user_id").cast("string").alias("data_id"), F.lit("events").alias("domain"), F.col("user_id").alias("item_pos"), F.col("event_id").alias("seq"), ms.alias("unix_timestamp_ms"), (F.col("event_id") % 60).cast("double").alias("Relative Time"), F.col("value").alias("Intensity"), (F.col("event_type") != "error").alias("Steady"), F.col("event_type").alias("note"))
+    rows = align.item_rows(frame)
+    return rows.filter(F.col("metric") != "unix_timestamp_ms").select("data_id", "seq", "time_us", "metric", "value")
 
 
 @query("SELECT event_id, epoch_us(ts) + CAST(round(value * 1000000) AS BIGINT) AS time_us FROM events WHERE value IS NOT NULL")
@@ -266,9 +292,9 @@ def search_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.search(entries(spark, sf_dir), keywords=["High", "urgent"], data_type="xps", status="success", growth_length=(50_000, 250_000), upload_datetime=(datetime.datetime(1996, 1, 1, tzinfo=datetime.UTC), None)).select("data_id")
 
 
-@query(f"WITH {_ENTRIES} SELECT data_id, owner FROM e WHERE project_id IN ('2', '4') AND physical_sample_id IN (SELECT o_custkey::VARCHAR FROM orders WHERE o_custkey IN (899, 769, 10, 11, 12, 13, 14)) AND owner = 'BUILDING'")
+@query(f"WITH {_ENTRIES} SELECT data_id, owner FROM e WHERE project_id IN ('0', '2', '4', '6', '8', '10', '12', '14', '16', '18', '20', '22') AND physical_sample_id::BIGINT BETWEEN 1 AND 100 AND owner = 'BUILDING'")
 def search_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = catalogue.search(entries(spark, sf_dir), project_ids=["2", "4"], physical_sample_ids=[899, 769, 10, 11, 12, 13, 14], owner="BUILDING", include_organization_data=False)
+    found = catalogue.search(entries(spark, sf_dir), project_ids=list(range(0, 24, 2)), physical_sample_ids=range(1, 101), owner="BUILDING", include_organization_data=False)
     return found.select("data_id", F.col("name").alias("owner"))
 
 
@@ -426,20 +452,53 @@ def features_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern.normalised(rows).select("data_id", "feature", "node_id", F.round("value", 5).alias("value"))
 
 
-@query("""WITH l AS (SELECT vec_id % 7 AS data_id, 'f' || i AS feature, label::BIGINT AS node_id, avg(embedding[i]::DOUBLE) AS value FROM (SELECT vec_id, label, embedding, unnest(generate_series(1, 4)) AS i FROM embeddings) GROUP BY ALL),
+@query("""WITH l AS (SELECT vec_id % 7 AS data_id, 'f' || i AS feature, label::BIGINT AS node_id, avg(embedding[i]::DOUBLE) AS value FROM (SELECT vec_id, label, embedding, unnest(generate_series(1, 64)) AS i FROM embeddings) GROUP BY ALL),
 k AS (SELECT feature, node_id FROM l GROUP BY ALL HAVING count(DISTINCT data_id) = 7)
 SELECT data_id, feature, node_id, round(value, 6) AS value FROM l SEMI JOIN k USING (feature, node_id)""")
 def features_streamlined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 7).alias("data_id"), F.col("label").cast("bigint").alias("node_id"), *[F.element_at("embedding", i).cast("double").alias(f"f{i}") for i in range(1, 5)])
-    return pattern.streamlined(pattern.features_long(e, ("f1", "f2", "f3", "f4"))).select("data_id", "feature", "node_id", F.round("value", 6).alias("value"))
+    e = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 7).alias("data_id"), F.col("label").cast("bigint").alias("node_id"), *[F.element_at("embedding", i).cast("double").alias(f"f{i}") for i in range(1, 65)])
+    return pattern.streamlined(pattern.features_long(e, tuple(f"f{i}" for i in range(1, 65)))).select("data_id", "feature", "node_id", F.round("value", 6).alias("value"))
 
 
-@query(f"""WITH {_NODES} SELECT data_id, round(avg(CASE WHEN node_id = 1 THEN area END), 6) AS area_1, round(avg(CASE WHEN node_id = 2 THEN area END), 6) AS area_2, any_value(o_orderstatus) AS o_orderstatus FROM n JOIN orders ON data_id = o_orderkey GROUP BY data_id""")
+_WIDE = ", ".join(f"round(avg(CASE WHEN node_id = {i} THEN area END), 6) AS area_{i}" for i in range(1, 8))
+
+
+@query(f"""WITH {_NODES} SELECT data_id, {_WIDE}, any_value(o_orderstatus) AS o_orderstatus FROM n JOIN orders ON data_id = o_orderkey GROUP BY data_id""")
 def features_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column for each of the seven nodes that an order can have."""
     rows = pattern.features_long(nodes(spark, sf_dir), ("area",))
     extra = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("data_id"), "o_orderstatus")
-    wide = pattern.with_extra(pattern.wide(rows, ["area_1", "area_2"]), extra)
-    return wide.withColumns({c: F.round(c, 6) for c in ("area_1", "area_2")})
+    names = [f"area_{i}" for i in range(1, 8)]
+    return pattern.with_extra(pattern.wide(rows, names), extra).withColumns({c: F.round(c, 6) for c in names})
+
+
+_FEATURES = "[" + ", ".join(f"'{f}'" for f in pattern.FEATURES) + "]"
+
+
+@query(f"""WITH l AS (SELECT vec_id % 7 AS data_id, {_FEATURES}[i] AS feature, label::BIGINT AS node_id, avg(embedding[i]::DOUBLE) AS value FROM (SELECT vec_id, label, embedding, unnest(generate_series(1, 16)) AS i FROM embeddings) GROUP BY ALL),
+k AS (SELECT feature, node_id, avg(value) AS m, stddev_samp(value) AS d FROM l GROUP BY ALL HAVING count(DISTINCT data_id) = 7)
+SELECT data_id, feature, node_id, round((value - m) / (d + 1e-6), 5) AS value FROM l JOIN k USING (feature, node_id)""")
+def collection_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sixteen features of seven images, without those that some image lacks, normalised."""
+    e = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 7).alias("data_id"), F.col("label").cast("bigint").alias("node_id"), *[F.element_at("embedding", i + 1).cast("double").alias(f) for i, f in enumerate(pattern.FEATURES)])
+    return pattern.collection_features(e, True, True).select("data_id", "feature", "node_id", F.round("value", 5).alias("value"))
+
+
+@query("SELECT p_size % 10 AS collection_id, max(p_size) AS image_width, max(p_partkey % 1000) AS image_height FROM part GROUP BY ALL")
+def collection_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return pattern.largest_size(p.select((F.col("p_size") % 10).alias("collection_id"), F.col("p_size").alias("image_width"), (F.col("p_partkey") % 1000).alias("image_height")))
+
+
+@query("SELECT DISTINCT o_custkey AS collection_id, unnest([o_orderpriority, o_orderstatus]) AS key FROM orders")
+def collection_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return pattern.extra_keys(o.select(F.col("o_custkey").alias("collection_id"), F.create_map("o_orderpriority", F.lit("a"), "o_orderstatus", F.lit("b")).alias("extra")))
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'a') OR contains(p_name, 'B')")
+def name_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalogue.containing(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", "a", "B")
 
 
 @query(f"WITH {_NODES} SELECT data_id, CASE WHEN node_id = 0 THEN 0 ELSE coalesce(CASE WHEN node_id % 2 = 0 THEN node_id + 100 END, node_id) END AS node_id, round(area, 6) AS area FROM n")
@@ -509,7 +568,7 @@ SELECT data_id, round(radius, 6) AS radius, round(score, 6) AS score FROM s""")
 def laue_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("data_id"), F.col("embedding").alias("image"))
     points = e.select("data_id", F.lit(3.0).alias("cy"), F.lit(3.0).alias("cx"))
-    scored = laue.scores(laue.circles(points, 20, 16, 1.03, 6.2), graphs.pixels(e, 8))
+    scored = laue.scores(e.withColumn("width", F.lit(8)), points, 20, 16, 1.03, 6.2)
     return scored.select("data_id", F.round("radius", 6).alias("radius"), F.round("score", 6).alias("score"))
 
 
@@ -538,7 +597,9 @@ def correlation_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("feature", F.round("correlation", 5).alias("correlation"))
 
 
-@query("SELECT feature, count(*) AS n FROM (SELECT vec_id, unnest(generate_series(1, 64)) AS i FROM embeddings) JOIN (SELECT i AS k, 'f' || lpad(i::VARCHAR, 2, '0') AS feature FROM generate_series(1, 64) AS g(i)) ON i = k GROUP BY feature")
+@query("""WITH v AS (SELECT vec_id, i, embedding[i] AS v FROM (SELECT vec_id, embedding, unnest(generate_series(1, 64)) AS i FROM embeddings)),
+l AS (SELECT 'f' || lpad(i::VARCHAR, 2, '0') AS feature, vec_id, v FROM v UNION ALL SELECT 'g' || lpad(i::VARCHAR, 2, '0'), vec_id, v FROM v),
+k AS (SELECT feature, list(v ORDER BY vec_id) AS own, count(*) AS n FROM l GROUP BY feature) SELECT min(feature) AS feature, any_value(n) AS n FROM k GROUP BY own""")
 def duplicate_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every feature is there twice (as f.. and as g..); one of each pair stays."""
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row"), F.posexplode("embedding").alias("i", "value"))
@@ -603,12 +664,19 @@ def linked_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linking.linked(framed.drop("at"))
 
 
-@query()
+@query("""WITH k AS (SELECT 1.0 + i * (5.0 / 59) AS radius, j * (2 * pi() / 89) AS theta FROM generate_series(0, 59) AS a(i), generate_series(0, 89) AS b(j)),
+p AS (SELECT radius, round_even(radius * cos(theta) + 3.0, 0)::INT AS x, round_even(radius * sin(theta) + 3.0 - radius, 0)::INT AS y FROM k),
+s AS (SELECT vec_id AS data_id, radius, round(quantile_cont(embedding[y * 8 + x + 1]::DOUBLE, 0.9), 6) AS score FROM embeddings, p WHERE x BETWEEN 0 AND 7 AND y BETWEEN 0 AND 7 GROUP BY vec_id, radius),
+t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY data_id ORDER BY score DESC, radius DESC) <= 30)
+SELECT data_id, round(avg(radius), 6) AS radius, round(3.0 - avg(radius), 6) + 0.0 AS cy, 3.0::DOUBLE AS cx FROM t GROUP BY data_id""")
 def laue_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixty radii of ninety angles, the best thirty of them: as much as images of eight by eight pixels tell apart."""
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("data_id"), F.col("embedding").alias("image"))
     around = e.select("data_id", F.lit(0).alias("node_id"), *[F.lit(1.5).alias(c) for c in ("intensity_centroid_0", "intensity_centroid_1", "specular_origin_0", "specular_origin_1")])
     points = laue.centres(around)
-    return laue.best_radius(laue.scores(laue.circles(points, 60, 90, 1.0, 6.0), graphs.pixels(e, 8)), points)
+    scored = laue.scores(e.withColumn("width", F.lit(8)), points, 60, 90, 1.0, 6.0)
+    found = laue.best_radius(scored.withColumn("score", F.round("score", 6)), points)
+    return found.select("data_id", F.round("radius", 6).alias("radius"), (F.round("cy", 6) + 0.0).alias("cy"), "cx")
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
@@ -632,8 +700,8 @@ def bagged_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def bagged_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings").select("vec_id", (F.col("label") / 9).alias("target"), *[F.element_at("embedding", i).cast("double").alias(f"f{i}") for i in range(1, 9)])
-    names = [f"f{i}" for i in range(1, 9)]
+    e = table(spark, sf_dir, "embeddings").select("vec_id", (F.col("label") / 9).alias("target"), *[F.element_at("embedding", i).cast("double").alias(f"f{i}") for i in range(1, 65)])
+    names = [f"f{i}" for i in range(1, 65)]
     coefficients, intercept = ml.bagged_linear(ml.vectors(e, names), "target", bags=3)
     return stats.r_squared(ml.applied(e, names, coefficients, intercept), "target", "prediction")
 
@@ -641,7 +709,7 @@ def bagged_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def components_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Principal components before the classifier."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", (F.col("label") < 5).cast("int").alias("low"), *[F.element_at("embedding", i).cast("double").alias(f"f{i}") for i in range(1, 17)])
-    rows = ml.vectors(e, [f"f{i}" for i in range(1, 17)], components=4)
+    e = table(spark, sf_dir, "embeddings").select("vec_id", (F.col("label") < 5).cast("int").alias("low"), *[F.element_at("embedding", i).cast("double").alias(f"f{i}") for i in range(1, 65)])
+    rows = ml.vectors(e, [f"f{i}" for i in range(1, 65)], components=4)
     coefficients, intercept = ml.bagged_logistic(rows, "low", bags=2)
     return spark.createDataFrame([(i, float(c)) for i, c in enumerate([*coefficients, intercept])], "component int, weight double")

@@ -176,6 +176,14 @@ def search(
     return df
 
 
+def containing(df: DataFrame, column: str, *words: str) -> DataFrame:
+    """Rows whose ``column`` holds any of ``words`` as they are written; rows without a value hold none."""
+    found = F.lit(False)
+    for word in words:
+        found = found | F.coalesce(F.contains(F.col(f"`{column}`"), F.lit(word)), F.lit(False))
+    return df.filter(found)
+
+
 def unknown_types(df: DataFrame) -> DataFrame:
     """Rows of types that no reader knows keep their catalogue entry."""
     return df.filter(~F.col("char_source_type").isin(*KNOWN_TYPES) | F.col("char_source_type").isNull())

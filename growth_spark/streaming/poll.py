@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import asyncio
+import inspect
 import json
 import threading
 import time
@@ -91,7 +93,9 @@ class Poll:
                 df = self._last_rows(df, number)
             key = self.distinct_by(df) if self.distinct_by else None
             if self.distinct_by is None or key != self.last:
-                self.on_result(df, number)
+                answer = self.on_result(df, number)
+                if inspect.isawaitable(answer):
+                    asyncio.run(_awaited(answer))
                 if self.distinct_by:
                     self.last = key
                     if self.state:
@@ -123,6 +127,10 @@ class Poll:
             time.sleep(0.05)
 
 
+async def _awaited(answer):
+    return await answer
+
+
 class _Nothing:
     def __eq__(self, other: object) -> bool:
         return False

@@ -114,9 +114,9 @@ def test_laue_radius_of_a_drawn_circle(spark):
     for t in np.linspace(0, 2 * np.pi, 4000):
         y, x = round(20 * np.sin(t) + 25), round(20 * np.cos(t) + 30)
         image[y, x] = 100
-    pixels = spark.createDataFrame([("a", y, x, float(image[y, x])) for y in range(60) for x in range(60)], "data_id string, y int, x int, intensity double")
+    images = spark.createDataFrame([("a", image.ravel().tolist(), 60)], "data_id string, image array<double>, width int")
     points = spark.createDataFrame([("a", 45.0, 30.0)], "data_id string, cy double, cx double")
-    scored = laue.scores(laue.circles(points, 41, 360, 10.0, 30.0), pixels)
+    scored = laue.scores(images, points, 41, 360, 10.0, 30.0)
     by = {round(r["radius"], 1): r["score"] for r in scored.collect()}
     assert by[20.0] == 100
     found = laue.best_radius(scored.filter("radius < 20.2"), points, best=1).first()
@@ -126,3 +126,15 @@ def test_laue_radius_of_a_drawn_circle(spark):
 def test_duplicate_features_keep_the_first_name(spark):
     df = spark.createDataFrame([(r, f, v) for r in range(3) for f, v in (("b", r * 1.0), ("a", r * 1.0), ("c", 2.0))], "row int, feature string, value double")
     assert {r["feature"] for r in stats.without_duplicate_features(df).collect()} == {"a", "c"}
+
+
+def test_positions_sizes_and_keys_of_a_collection(spark):
+    images = spark.createDataFrame([("c", i, f"d{i}", 10 + i, 30 - i, {"a": 1, f"k{i % 2}": 2} if i else None) for i in range(5)], "collection_id string, pos int, data_id string, image_width int, image_height int, extra map<string,int>")
+    ids = lambda *x: [r["pos"] for r in pattern.at(images, *x).orderBy("pos").collect()]
+    assert ids(1, 3) == [1, 2] and ids(2) == [2] and ids(-1) == [4] and ids(-2, 5) == [3, 4] and ids(0, -3) == [0, 1] and ids(-9, 2) == [0, 1] and ids(3, 9) == [3, 4]
+    for wrong in (5, -6):
+        with pytest.raises(IndexError):
+            pattern.at(images, wrong)
+    assert pattern.length(images) == 5 and pattern.length(images.limit(0)) == 0
+    assert tuple(pattern.largest_size(images).first()) == ("c", 14, 30)
+    assert sorted(r["key"] for r in pattern.extra_keys(images).collect()) == ["a", "k0", "k1"]
