@@ -167,45 +167,47 @@ def deal(texts: DataFrame, window: int) -> DataFrame:
     """Candidate segments with their bytes, by bucket (DEALT); those of crowded anchors window by window."""
 
     def body(batches: Iterator[dict]) -> Iterator[dict]:
-        known: dict[bytes, tuple[int, int, int]] = {}
         lot: list[tuple] = []
         held = 0
         for batch in batches:
             for doc, mark, text, ranges in zip(batch["doc"].to_pylist(), batch["mark"].to_pylist(), batch["bytes"], batch["open"], strict=True):
                 data = text.as_py()
                 for x in ranges.as_py():
-                    s, n, place = x["s"], x["n"], x["place"]
-                    if not x["crowded"]:
-                        lot.append((OPEN, x["a"], doc, mark, s, n, place, data[s : s + n + window - 1]))
-                        held += n + window
-                        continue
-                    hashes = window_hash(prefix_hash(byte_codes(data[s : s + n + window - 1])), window).view(np.int64).tolist()
-                    for i, h in enumerate(hashes):
-                        lot.append((CROWDED, h, doc, mark, s + i, 1, 0, data[s + i : s + i + window]))
-                    held += n * 2 * window
+                    s, n = x["s"], x["n"]
+                    lot.append((CROWDED if x["crowded"] else OPEN, x["a"], doc, mark, s, n, x["place"], data[s : s + n + window - 1]))
+                    held += n + window
                 if held >= HELD:
-                    yield from out(lot, known)
-                    lot, known, held = [], {}, 0
-        yield from out(lot, known)
-
-    def out(lot: list[tuple], known: dict) -> Iterator[dict]:
-        """Of equal segments the first one goes on, and all others that are not later than it."""
-        for _, bucket, doc, mark, s, _, _, data in lot:
+                    yield from out(lot)
+                    lot, held = [], 0
+        yield from out(lot)
+
+    def out(lot: list[tuple]) -> Iterator[dict]:
+        """Equal segments first, then the windows of the crowded ones that are left."""
+        done, left = apart(lot)
+        windows: list[tuple] = []
+        for kind, _, doc, mark, s, n, _, data in left:
+            if kind == CROWDED:
+                hashes = window_hash(prefix_hash(byte_codes(data)), window).view(np.int64).tolist()
+                windows += [(CROWDED, h, doc, mark, s + i, 1, 0, data[i : i + window]) for i, h in enumerate(hashes)]
+        more, single = apart(windows)
+        joined = runs(*(np.array(c, np.int64) for c in zip(*((r[2], r[3], r[4], r[5]) for r in done + more), strict=True))) if done or more else ()
+        rows = [(DONE, d * 31 + x & 0x7FFFFFFFFFFFFFFF, d, m, x, k, 0, b"") for d, m, x, k in zip(*(c.tolist() for c in joined), strict=True)]
+        rows += [r for r in left if r[0] == OPEN] + single
+        for lo in range(0, len(rows), 4096):
+            yield dict(zip(DEALT, map(list, zip(*rows[lo : lo + 4096], strict=True)), strict=True))
+
+    def apart(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+        """Rows that are later than one of the same bucket and bytes, and the others."""
+        known: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+        for _, bucket, doc, mark, s, _, _, data in rows:
             at = (doc, mark, s)
             if (have := known.get((bucket, data))) is None or at < have:
                 known[bucket, data] = at
-        spread = 0
-        for lo in range(0, len(lot), 4096):
-            made: dict = {c: [] for c in DEALT}
-            for row in lot[lo : lo + 4096]:
-                kind, bucket, doc, mark, s, n, place, data = row
-                d, m, p = known[bucket, data]
-                if doc != d or (mark == m and s > p):
-                    spread += 1
-                    row = (DONE, (doc * 31 + s + spread) & 0x7FFFFFFFFFFFFFFF, doc, mark, s, n, 0, b"")
-                for c, v in zip(DEALT, row, strict=True):
-                    made[c].append(v)
-            yield made
+        done, left = [], []
+        for row in rows:
+            d, m, p = known[row[1], row[7]]
+            (done if row[2] != d or (row[3] == m and row[4] > p) else left).append(row)
+        return done, left
 
     return map_batches(texts, body, SCHEMA)
 
