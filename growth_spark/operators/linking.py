@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..plans import tables
 
 
 def assign(cost: np.ndarray) -> list[tuple[int, int]]:
@@ -65,55 +69,95 @@ def groups_of(pairs: list[tuple[int, int]]) -> Iterator[tuple[list[int], list[in
         yield sorted(own), sorted(theirs)
 
 
-def link_frames(points: pd.DataFrame, reach: float, memory: int = 1) -> np.ndarray:
-    """Track number of each point (columns frame, x, y), least total squared displacement within ``reach``.
+Known = dict[int, tuple[int, np.ndarray]]
+
+
+def follow(known: Known, frame: int, points: np.ndarray, xy: np.ndarray, reach: float, memory: int = 1) -> tuple[np.ndarray, Known]:
+    """The id of the point at which the track of each point of an image starts, and the tracks known after it.
 
-    A track is looked for in the next image and, if it is missing there, in ``memory`` more. Leaving a point without a
-    partner costs the squared reach.
+    ``known`` holds where each track of the images before was seen last: (frame, position) by the id of its first point.
+    Tracks go on with least total squared displacement within ``reach``. A track is looked for in the next image and, if it
+    is missing there, in ``memory`` more. Leaving a point without a partner costs the squared reach.
     """
-    track = np.full(len(points), -1)
-    frames, xy = points["frame"].to_numpy(), points[["x", "y"]].to_numpy(float)
-    known: dict[int, tuple[int, np.ndarray]] = {}
-    for frame in np.unique(frames):
-        here = np.flatnonzero(frames == frame)
-        known = {t: k for t, k in known.items() if frame - k[0] <= memory + 1}
-        ids = sorted(known)
-        pairs = []
-        cost: dict[tuple[int, int], float] = {}
-        if ids:
-            old = np.array([known[t][1] for t in ids])
-            d2 = ((xy[here][:, None, :] - old[None]) ** 2).sum(2)
-            for a, b in zip(*np.nonzero(d2 <= reach**2), strict=True):
-                pairs.append((int(a), int(b)))
-                cost[int(a), int(b)] = float(d2[a, b])
-        for own, theirs in groups_of(pairs):
-            square = np.full((len(own), len(theirs) + len(own)), np.inf)
-            for i, a in enumerate(own):
-                for j, b in enumerate(theirs):
-                    square[i, j] = cost.get((a, b), 1e18)
-                square[i, len(theirs) :] = 1e18
-                square[i, len(theirs) + i] = reach**2
+    known = {t: k for t, k in known.items() if frame - k[0] <= memory + 1}
+    starts = points.copy()
+    if known:
+        ids = list(known)
+        d2 = ((xy[:, None, :] - np.array([at for _, at in known.values()])[None]) ** 2).sum(2)
+        near = np.argwhere(d2 <= reach**2).tolist()
+        for own, theirs in groups_of(near):
+            if len(own) == len(theirs) == 1:
+                starts[own[0]] = ids[theirs[0]]
+                continue
+            square = np.full((len(own), len(theirs) + len(own)), 1e18)
+            within = d2[np.ix_(own, theirs)]
+            square[:, : len(theirs)] = np.where(within <= reach**2, within, 1e18)
+            square[np.arange(len(own)), len(theirs) + np.arange(len(own))] = reach**2
             for i, j in assign(square):
                 if j < len(theirs):
-                    track[here[own[i]]] = ids[theirs[j]]
-        for k in here:
-            if track[k] < 0:
-                track[k] = 1 + max(-1, max(known, default=-1), track.max())
-            known[int(track[k])] = (int(frame), xy[k])
-    return track
+                    starts[own[i]] = ids[theirs[j]]
+    known.update(zip(starts.tolist(), ((frame, at) for at in xy), strict=True))
+    return starts, known
 
 
-def linked(nodes: DataFrame, share: float = 0.2) -> DataFrame:
-    """(collection_id, data_id, node_id, linked_id) of nodes (collection_id, data_id, node_id, seq, frame, x, y, reach).
+def tracked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(point, start) of points (root, frame, point, x, y, reach) that come sorted by root and frame.
 
-    Collections are linked in parallel, the images of one in order. Node 0 is reserved: linked ids start at 1.
-    ``reach`` is the largest image's diagonal times the search range, computed by the caller for each collection.
+    Only the tracks of the last images and an image that may go on in the next batch are held.
     """
+    rest, root, known = None, None, {}
+    for batch in itertools.chain(batches, [None]):
+        rows = pd.concat([r for r in (rest, batch) if r is not None]) if rest is not None or batch is not None else None
+        if rows is None or rows.empty:
+            continue
+        roots, frames, points, reach = (rows[c].to_numpy() for c in ("root", "frame", "point", "reach"))
+        xy = rows[["x", "y"]].to_numpy(float)
+        ends = (np.flatnonzero((np.diff(roots) != 0) | (np.diff(frames) != 0)) + 1).tolist()
+        ends = ends if batch is not None else [*ends, len(rows)]
+        starts = points.copy()
+        for a, b in itertools.pairwise([0, *ends]):
+            if roots[a] != root:
+                root, known = roots[a], {}
+            starts[a:b], known = follow(known, int(frames[a]), points[a:b], xy[a:b], float(reach[a]))
+        done = ends[-1] if ends else 0
+        rest = rows.iloc[done:]
+        yield pd.DataFrame({"point": points[:done], "start": starts[:done]})
+
+
+def candidates(points: DataFrame, memory: int = 1) -> DataFrame:
+    """(a, b): points of one collection within reach of each other, at most ``memory`` images between theirs.
+
+    Joined by frame and by cells twice as wide as the reach, of which a point's surroundings meet at most four.
+    """
+    side = F.when(F.col("reach") > 0, 2 * F.col("reach")).otherwise(1.0)
+    cell = lambda at: F.floor(at / side)
+    met = lambda c: F.explode(F.array_distinct(F.array(cell(F.col(c) - F.col("reach")), cell(F.col(c) + F.col("reach")))))
+    known = points.filter("x IS NOT NULL AND y IS NOT NULL")
+    later = known.select(F.col("collection_id").alias("_c"), "frame", cell(F.col("x")).alias("cx"), cell(F.col("y")).alias("cy"), F.col("point").alias("b"), F.col("x").alias("xb"), F.col("y").alias("yb"))
+    steps = F.explode(F.sequence(F.lit(1), F.lit(memory + 1)))
+    earlier = known.withColumn("gap", steps).withColumn("frame", F.col("frame") + F.col("gap")).withColumn("cx", met("x")).withColumn("cy", met("y"))
+    both = earlier.alias("e").join(later.alias("l"), F.col("collection_id").eqNullSafe(F.col("_c")) & (F.col("e.frame") == F.col("l.frame")) & (F.col("e.cx") == F.col("l.cx")) & (F.col("e.cy") == F.col("l.cy")))
+    return both.filter((F.col("x") - F.col("xb")) ** 2 + (F.col("y") - F.col("yb")) ** 2 <= F.col("reach") ** 2).select(F.col("point").alias("a"), "b")
+
+
+def linked(nodes: DataFrame) -> DataFrame:
+    """(collection_id, data_id, node_id, linked_id) of nodes (collection_id, data_id, node_id, seq, frame, x, y, reach).
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["frame", "seq"]).reset_index(drop=True)
-        rows["linked_id"] = link_frames(rows, float(rows["reach"].iloc[0])) + 1
-        return rows[["collection_id", "data_id", "node_id", "linked_id"]]
-
-    kinds = dict(nodes.dtypes)
-    return nodes.groupBy("collection_id").applyInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in ("collection_id", "data_id", "node_id")) + ", linked_id bigint")
+    ``reach`` is the largest image's diagonal times the search range, computed by the caller, one for each collection.
+    Connected groups of candidates are followed in parallel, the images of one in order and two at a time, so neither a
+    large collection nor a long track is gathered. Linked ids number the tracks of a collection by their first image and
+    ``seq``, from 1, as node 0 is reserved. Points without a position are tracks of their own.
+    """
+    columns = ["collection_id", "data_id", "node_id", "seq", "frame", F.col("x").cast("double"), F.col("y").cast("double"), F.col("reach").cast("double")]
+    points = tables.cut(nodes.select(*columns).withColumn("point", F.monotonically_increasing_id()), "points")
+    roots = tables.components(candidates(points), "links")
+    ready = points.join(roots.withColumnRenamed("node", "point"), "point").select("root", "frame", "seq", "point", "x", "y", "reach")
+    starts = ready.repartition("root").sortWithinPartitions("root", "frame", "seq", "point").drop("seq").mapInPandas(tracked, "point bigint, start bigint")
+    known = tables.cut(points.join(starts, "point", "left").withColumn("start", F.coalesce("start", "point")), "tracks")
+
+    first = known.filter("start = point")
+    own = first.select("collection_id", "frame", "start", F.row_number().over(Window.partitionBy("collection_id", "frame").orderBy("seq", "point")).alias("own"))
+    before = F.sum("n").over(Window.partitionBy("collection_id").orderBy("frame")) - F.col("n")
+    counts = first.groupBy("collection_id", "frame").agg(F.count("*").alias("n")).select(F.col("collection_id").alias("_c"), F.col("frame").alias("_f"), before.alias("before"))
+    numbers = own.join(counts, F.col("collection_id").eqNullSafe(F.col("_c")) & F.col("frame").eqNullSafe(F.col("_f"))).select("start", (F.col("own") + F.col("before")).alias("linked_id"))
+    return known.join(numbers, "start").select("collection_id", "data_id", "node_id", "linked_id")

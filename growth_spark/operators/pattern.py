@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import boxes_overlap, edge_metrics, horizontal_overlap
+from ..plans import tables
 
 # The features of a node.
 FEATURES = ("spot_area", "streak_area", "relative_centroid_0", "relative_centroid_1", "intensity_centroid_0", "intensity_centroid_1", "specular_origin_0", "specular_origin_1", "fwhm_0", "fwhm_1", "area", "eccentricity", "center_distance", "axis_major_length", "axis_minor_length", "roughness_metric")
@@ -78,7 +79,7 @@ def collection(images: DataFrame, extra: DataFrame | None = None, sort_key: str
 
     A missing sort key and extra rows of another number than the images are errors.
     """
-    rows = images.withColumn("pattern_id", F.row_number().over(Window.orderBy("pos")) - 1) if "pattern_id" not in images.columns else images
+    rows = tables.numbered(images, ["pos"], "pattern_id") if "pattern_id" not in images.columns else images
     if extra is not None:
         both = images.select("pos").join(extra.select("pos"), "pos", "full_outer").count()
         if both != images.count() or both != extra.count():

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans import tables
+
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Counts by label and prediction, in long form."""
@@ -20,7 +22,7 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def correlation_ranking(rows: DataFrame, target: str = "target") -> DataFrame:
     """Features (feature, value, target) by absolute correlation with the target."""
     ranked = rows.groupBy("feature").agg(F.abs(F.corr("value", target)).alias("correlation"))
-    return ranked.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("correlation"), "feature")))
+    return tables.numbered(ranked, [F.desc_nulls_last("correlation"), "feature"], "rank", 1)
 
 
 def without_duplicate_features(rows: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import chunks, geometry, masks
@@ -166,13 +166,18 @@ def labelled(rows: DataFrame) -> DataFrame:
     return align.align_labelled(named, 10_800_000_000, 43_200_000_000).withColumn("value", F.round("value", 9))
 
 
+def part_of(number: str) -> Column:
+    """A payload's part: it holds at most 4096 consecutive numbers, so no row grows with an item."""
+    return F.floor(F.col(number) / 4096).alias("part")
+
+
 def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as payloads: blocks by type, each with its series."""
+    """Events as payloads: blocks by type, each with its series; a long series takes several rows."""
     e = table(spark, sf_dir, "events")
     point = F.struct((F.unix_micros(F.col("ts").cast("timestamp")) / 1000).cast("bigint").alias("unix_timestamp_ms"), F.col("event_id").alias("frame_number"), F.col("value").alias("specular_intensity"), F.lit(None).cast("double").alias("tar_metric"))
-    blocks = e.groupBy("user_id", "event_type").agg(F.collect_list(point).alias("series"))
+    blocks = e.groupBy("user_id", part_of("event_id"), "event_type").agg(F.collect_list(point).alias("series"))
     block = F.struct(F.length("event_type").cast("double").alias("angle"), F.col("series"))
-    return blocks.groupBy(F.col("user_id").cast("string").alias("data_id")).agg(F.collect_list(block).alias("series_by_angle"))
+    return blocks.groupBy(F.col("user_id").cast("string").alias("data_id"), "part").agg(F.collect_list(block).alias("series_by_angle")).drop("part")
 
 
 @query("""
@@ -185,7 +190,7 @@ def rheed_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT user_id::VARCHAR AS data_id, event_id AS "Frame Number", value AS "Edge Perimeter", value * 2 AS "Edge Perimeter Z Score" FROM events""")
 def optical_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     point = F.struct(F.col("event_id").alias("frame_number"), F.col("value").alias("perimeter_px"), (F.col("value") * 2).alias("perimeter_px_z_score"))
-    payload = table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("data_id")).agg(F.struct(F.collect_list(point).alias("series")).alias("series"))
+    payload = table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("data_id"), part_of("event_id")).agg(F.struct(F.collect_list(point).alias("series")).alias("series")).drop("part")
     return series.optical(payload)
 
 
@@ -194,7 +199,7 @@ def metrology_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both spellings of the median period fill one column."""
     even = F.col("event_id") % 2 == 0
     point = F.struct(F.col("event_id").alias("frame_number"), F.when(even, F.col("value")).alias("median_period"), F.when(~even, F.col("value") + 1).alias("median_period_seconds"))
-    return series.metrology(table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("data_id")).agg(F.collect_list(point).alias("series")))
+    return series.metrology(table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("data_id"), part_of("event_id")).agg(F.collect_list(point).alias("series")).drop("part"))
 
 
 @query("""
@@ -242,7 +247,7 @@ def changed_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT user_id::VARCHAR AS data_id, 'img-' || event_id AS image_uuid, value AS timestamp_seconds FROM events WHERE event_type <> 'error'")
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = F.struct(F.when(F.col("event_type") != "error", F.concat(F.lit("img-"), F.col("event_id"))).alias("image_uuid"), F.col("value").alias("timestamp_seconds"))
-    return series.snapshots(table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("data_id")).agg(F.collect_list(frame).alias("frames")))
+    return series.snapshots(table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("data_id"), part_of("event_id")).agg(F.collect_list(frame).alias("frames")).drop("part"))
 
 
 # ---- catalogue ------------------------------------------------------------------------------------------------------
@@ -658,10 +663,10 @@ def symmetrised(spark: SparkSession, sf_dir: str) -> DataFrame:
 def linked_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items of each customer's orders linked from order to order."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    points = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("collection_id"), F.col("l_orderkey").alias("data_id"), F.col("l_linenumber").cast("bigint").alias("node_id"), F.struct("o_orderdate", "o_orderkey", "l_linenumber").alias("at"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 2000).alias("y"))
-    codes = Window.partitionBy("collection_id").orderBy("at.o_orderdate", "at.o_orderkey")
-    framed = points.withColumn("frame", F.dense_rank().over(codes) - 1).withColumn("seq", F.row_number().over(codes)).withColumn("reach", geometry.search_radius(F.lit(50), F.lit(50), 0.1))
-    return linking.linked(framed.drop("at"))
+    codes = F.dense_rank().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")) - 1
+    framed = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("o_orderkey", F.col("o_custkey").alias("collection_id"), codes.alias("frame"))
+    points = lines.join(framed, F.col("l_orderkey") == F.col("o_orderkey")).select("collection_id", F.col("l_orderkey").alias("data_id"), F.col("l_linenumber").cast("bigint").alias("node_id"), F.col("l_linenumber").alias("seq"), "frame", F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 2000).alias("y"))
+    return linking.linked(points.withColumn("reach", geometry.search_radius(F.lit(50), F.lit(50), 0.1)))
 
 
 @query("""WITH k AS (SELECT 1.0 + i * (5.0 / 59) AS radius, j * (2 * pi() / 89) AS theta FROM generate_series(0, 59) AS a(i), generate_series(0, 89) AS b(j)),

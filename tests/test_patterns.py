@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from growth_spark.functions import masks
 from growth_spark.operators import laue, linking, pattern, stats, symmetry
+from growth_spark.plans import tables
 
 NODE = "data_id string, seq bigint, node_id bigint, centroid_0 double, centroid_1 double, relative_centroid_1 double, intensity_centroid_1 double, specular_origin_1 double, bbox_minr int, bbox_minc int, bbox_maxr int, bbox_maxc int"
 
@@ -99,14 +100,57 @@ def test_assignment_is_optimal():
         assert sum(cost[i, j] for i, j in linking.assign(cost)) == pytest.approx(best)
 
 
+def link_frames(rows, reach):
+    """Track numbers of a whole collection followed at once, in order of their first points."""
+    rows = rows.sort_values("frame", kind="stable").reset_index(drop=True)
+    starts, known = [], {}
+    for frame, image in rows.groupby("frame"):
+        found, known = linking.follow(known, frame, image.index.to_numpy(), image[["x", "y"]].to_numpy(float), reach)
+        starts += found.tolist()
+    return [sorted(set(starts)).index(s) for s in starts]
+
+
 def test_links_have_a_memory_of_one_image():
     rows = pd.DataFrame([(0, 0.0, 0.0), (1, 0.1, 0.0), (2, 9.0, 9.0), (3, 0.2, 0.0), (6, 0.2, 0.0)], columns=["frame", "x", "y"])
-    assert linking.link_frames(rows, 1.0).tolist() == [0, 0, 1, 0, 2]
+    assert link_frames(rows, 1.0) == [0, 0, 1, 0, 2]
 
 
-def test_links_take_the_least_total(spark):
+def test_links_take_the_least_total():
     rows = pd.DataFrame([(0, 0.0, 0.0), (0, 1.0, 0.0), (1, 0.8, 0.0), (1, 1.6, 0.0)], columns=["frame", "x", "y"])
-    assert linking.link_frames(rows, 1.0).tolist() == [0, 1, 0, 1]
+    assert link_frames(rows, 1.0) == [0, 1, 0, 1]
+
+
+def test_links_by_groups_equal_those_of_whole_collections(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for collection, n in (("big", 40), ("small", 4), (None, 5)):
+        for frame in range(n):
+            rows += [(collection, f"{collection}-{frame}", i, i, frame, *map(float, rng.random(2) * 12), 1.5) for i in range(int(rng.integers(0, 12)))]
+    rows.append(("big", "lost", 0, 0, 41, None, None, 1.5))
+    kind = "collection_id string, data_id string, node_id bigint, seq int, frame int, x double, y double, reach double"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # images go on from batch to batch
+    found = {(r["collection_id"], r["data_id"], r["node_id"]): r["linked_id"] for r in linking.linked(spark.createDataFrame(rows, kind)).collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(found) == len(rows)
+    frame = pd.DataFrame(rows, columns=["collection", "data", "node", "seq", "frame", "x", "y", "reach"])
+    for collection, own in frame.groupby("collection", dropna=False):
+        own = own.sort_values(["frame", "seq"])
+        ids = link_frames(own, 1.5)
+        key = None if pd.isna(collection) else collection
+        assert [found[key, d, n] for d, n in zip(own["data"], own["node"], strict=True)] == [i + 1 for i in ids]
+    assert linking.linked(spark.createDataFrame([], kind)).collect() == []
+
+
+def test_rows_are_numbered_across_partitions(spark):
+    rows = tables.numbered(spark.range(1000).repartition(7).select((F.col("id") % 500).alias("v"), "id"), [F.desc("v"), "id"], "at", 1)
+    assert [(r["v"], r["id"]) for r in rows.orderBy("at").collect()] == sorted(((i % 500, i) for i in range(1000)), key=lambda r: (-r[0], r[1]))
+    assert sorted(r["at"] for r in rows.collect()) == list(range(1, 1001))
+
+
+def test_components_of_a_long_chain(spark):
+    chain = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.createDataFrame([(900, 901), (901, 900), (950, 950)], "a bigint, b bigint"))
+    found = {r["node"]: r["root"] for r in tables.components(chain, "chain").collect()}
+    assert found == {**dict.fromkeys(range(201), 0), 900: 900, 901: 900, 950: 950}
 
 
 def test_laue_radius_of_a_drawn_circle(spark):
