@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLOCK, document, documents, map_batches, mix, prefix_hash, window_hash
+from .common import BLOCK, document, map_batches, mix, prefix_hash, window_hash
 
 #: Segments that a task compares with each other before it sends them on.
 FLUSH = 500_000
@@ -140,17 +140,21 @@ def candidates(texts: DataFrame, units: Units, window: int, gram: int, flush: in
     return rows.select("doc", "mark", F.shiftright("at", 28).alias("s"), bits(18, 10).alias("n"), bits(8, 10).alias("place"), F.col("p").bitwiseXOR(F.shiftleft("salt", 57)).alias("a"), "salt")
 
 
+def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The texts as they are dealt out by document, alike in both joins below: within one plan they are shuffled once."""
+    return docs.select(F.col(key).alias("key"), *(c.alias(n) for n, c in document(key, text).items()))
+
+
 def with_ranges(docs: DataFrame, rows: DataFrame, key: str, text: str, fields: tuple[str, ...] = ("s", "n")) -> DataFrame:
-    """Texts that have rows, with these: (doc, mark, bytes, open)."""
+    """Texts that have rows, with these: (doc, mark, key, bytes, open)."""
     lists = rows.groupBy("doc", "mark").agg(F.collect_set(F.struct(*fields)).alias("open"))
-    return documents(docs, key, text).join(lists, ["doc", "mark"])
+    return keyed(docs, key, text).join(lists, ["doc", "mark"])
 
 
 def with_spans(docs: DataFrame, repeats: DataFrame, key: str, text: str) -> DataFrame:
     """All texts with their repeated windows: (key, null where it was, bytes, spans: array of (s, n), null if none)."""
     lists = repeats.groupBy("doc", "mark").agg(F.collect_set(F.struct("s", "n")).alias("spans"))
-    rows = docs.select(F.col(key).alias("key"), *(c.alias(n) for n, c in document(key, text).items()))
-    return rows.join(lists, ["doc", "mark"], "left").select("key", "bytes", "spans")
+    return keyed(docs, key, text).join(lists, ["doc", "mark"], "left").select("key", "bytes", "spans")
 
 
 def runs(doc: np.ndarray, mark: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:

@@ -88,10 +88,9 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", w
         texts = texts.withColumn("open", F.array(F.struct(F.lit(0).cast("bigint").alias("s"), F.lit(1 << 40).cast("bigint").alias("n"))))
     # A task sends one document's rows for a window at most, so one shuffle brings a window's rows together safely.
     first = F.min("doc").over(Window.partitionBy("h1", "h2"))
+    # They are not written: so the plan that joins them to the texts has these in it twice, and shuffles them once.
     judged = full_windows(texts, window, flush).withColumn("first", first).filter("kind = 1 OR doc > first")
-    found = scratch.save(judged.select("doc", "mark", "s", "n"), "windows")
-    scratch.drop(*(f"level{x}" for x in levels(window, shortest)[:-1]))
-    return found
+    return judged.select("doc", "mark", "s", "n")
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
