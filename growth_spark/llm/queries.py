@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, language, near_dedup, personal_data, quality, sentencepiece_wfst, substring_dedup, suffix_dedup, token_counts
+from . import bit_clusters, conversation_repair, decontaminate, html_text, language, near_dedup, personal_data, quality, scaled_sketch, sentencepiece_wfst, substring_dedup, suffix_dedup, token_counts
 
 
 def tokenizer(name: str) -> str:
@@ -94,6 +94,18 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, sha256(joined(F.col("base"))).alias("base_sha256"), joined(F.array_sort(keyed)).alias("spans"))
 
 
+def op11_bit_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_clusters.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op12_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.edited(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -107,10 +119,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sentencepiece,
         op9_suffix_dedup,
         op10_personal_data,
+        op11_bit_clusters,
+        op12_scaled_sketch,
+        op13_conversation_repair,
     )
 }
 
+def clusters_sql(rounds: int = bit_clusters.ROUNDS) -> str:
+    """Each round's vectors by centroid and its new centroids, written out; floor(sum / n) by the remainder."""
+    nearest = "SELECT r, c, d FROM (SELECT r, c, d, row_number() OVER (PARTITION BY r ORDER BY d, c) AS k FROM (SELECT e.r, k.c, (list_dot_product(e.v, e.v) - 2 * list_dot_product(e.v, k.v) + list_dot_product(k.v, k.v))::BIGINT AS d FROM e, {centroids} AS k)) WHERE k = 1"
+    steps = ""
+    for i in range(rounds):
+        steps += f"""a{i} AS ({nearest.format(centroids=f"c{i}")}),
+s{i} AS (SELECT c, list(m ORDER BY i) AS v FROM (SELECT c, i, ((s - ((s % n) + n) % n) // n)::DOUBLE AS m FROM (SELECT c, i, sum(e.v[i])::BIGINT AS s, count(*) AS n FROM a{i} JOIN e USING (r), range(1, 65) AS t(i) GROUP BY c, i)) GROUP BY c),
+c{i + 1} AS (SELECT c, coalesce(s{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN s{i} USING (c)),
+"""
+    return f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v FROM e QUALIFY c < {bit_clusters.K}),
+{steps}z AS ({nearest.format(centroids=f"c{rounds}")})
+SELECT vec_id, c::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(list_transform(k.v, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM z JOIN e USING (r) JOIN c{rounds} AS k USING (c)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_bit_clusters": clusters_sql(),
     "op4_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 x AS (SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d WHERE len(w) >= 50)),
@@ -171,5 +205,34 @@ e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id, doc_id AS root FROM d UNION SELECT e.b, r.root FROM r JOIN e ON r.doc_id = e.a WHERE r.root < e.b)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(min(r.root), d.doc_id) AS component_id, least(min(r.root), d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY d.doc_id, n.n
+""",
+    # crc32 bit by bit over the key's ASCII bytes; the cheapest audits by a recursion over rows; states 0 none, 1 system, 2 user, 3 assistant.
+    "op13_conversation_repair": r"""
+WITH RECURSIVE keys AS (SELECT DISTINCT coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+crc AS (SELECT key, 0 AS i, 4294967295::BIGINT AS h FROM keys
+        UNION ALL SELECT key, i + 1, list_reduce(list_prepend(xor(h, ascii(substring(key, i + 1, 1))::BIGINT), range(8)), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) FROM crc WHERE i < length(key)),
+d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(h, 4294967295) % 20 AS rule FROM conversations JOIN crc ON key = coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AND i = length(key)),
+m AS (SELECT conv_id, turn, CASE WHEN rule = 4 THEN 'user' ELSE role END AS role, CASE rule WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN rule = 3 THEN 2 ELSE 1 END)) AS copy FROM d WHERE rule <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p FROM m),
+f AS (SELECT *, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 'duplicate' WHEN regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN '' ELSE 'truncated' END AS fault,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY p) AS before FROM o),
+moves AS (SELECT * FROM (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)) AS t(ini, q, r)),
+gap AS (SELECT * FROM (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (1, 2, 5, 'I'), (3, 2, 5, 'I'), (2, 3, 5, 'I'), (0, 3, 10, 'II'), (1, 3, 10, 'II')) AS t(q, r, price, add)),
+edit AS (SELECT conv_id, p, q, r, 'K' AS letter, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS price FROM f JOIN moves USING (ini) WHERE fault NOT IN ('blank', 'duplicate')
+         UNION ALL SELECT conv_id, p, q, r, 'R', CASE fault WHEN 'truncated' THEN 6 ELSE 1 END FROM f, moves WHERE fault NOT IN ('blank', 'duplicate') AND moves.ini <> 's'
+         UNION ALL SELECT conv_id, p, q, q, 'D', 2 FROM f, range(4) AS t(q)),
+step AS (SELECT conv_id, p, gap.q, edit.r, gap.price + edit.price AS price, add || letter AS add FROM gap JOIN edit ON gap.r = edit.q),
+dp AS (SELECT DISTINCT conv_id, 0::BIGINT AS p, 0 AS q, lpad('0', 12, '0') AS best FROM o
+       UNION ALL SELECT dp.conv_id, step.p, step.r, min(lpad((left(best, 12)::BIGINT + price)::VARCHAR, 12, '0') || substring(best, 13) || add) FROM dp JOIN step ON dp.conv_id IS NOT DISTINCT FROM step.conv_id AND step.p = dp.p + 1 AND step.q = dp.q GROUP BY dp.conv_id, step.p, step.r),
+n AS (SELECT conv_id, max(p) AS n FROM o GROUP BY conv_id),
+e AS (SELECT dp.conv_id, min(lpad((left(best, 12)::BIGINT + price)::VARCHAR, 12, '0') || substring(best, 13) || add) AS best FROM dp JOIN n ON dp.conv_id IS NOT DISTINCT FROM n.conv_id AND p = n JOIN gap USING (q) WHERE gap.r IN (0, 3) GROUP BY dp.conv_id),
+l AS (SELECT conv_id, k, substring(best, 12 + k, 1) AS letter FROM (SELECT conv_id, best, unnest(range(1, length(best) - 11)) AS k FROM e)),
+w AS (SELECT *, sum((letter <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY k) AS p FROM l),
+y AS (SELECT w.conv_id, k, letter, f.role, CASE letter WHEN 'I' THEN '' ELSE text END AS text, letter = 'K' AND ini = 's' AS system FROM w LEFT JOIN f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.p = f.p WHERE letter <> 'D'),
+z AS (SELECT *, sum((NOT system)::INT) OVER (PARTITION BY conv_id ORDER BY k) AS spot FROM y),
+g AS (SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN spot % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY k)) AS digest FROM z GROUP BY conv_id),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (p > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(left(best, 12)::BIGINT, 0) AS cost, coalesce(substring(best, 13), '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS i LEFT JOIN c ON i.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN e ON i.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN g ON i.conv_id IS NOT DISTINCT FROM g.conv_id
 """,
 }
