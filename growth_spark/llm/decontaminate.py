@@ -104,7 +104,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", it
                     out["n_words"] += map(len, lots)
                     for hits, found in grams.scan(lots):
                         out["hits"].append(hits.tolist())
-                        out["items"].append(sorted(found))
+                        out["items"].append(sorted(found, key=lambda x: (x is None, x)))
                 yield out
 
         return map_batches(rows, body, f"{ids} {kind}, n_words bigint, hits array<bigint>, items array<{kinds[1]}>"), shared

@@ -46,7 +46,28 @@ LAYOUT = ("with", "without", "no", "has", "is")
 PLAIN = frozenset("html body div span section font center".split())
 CONTENT = frozenset(("article", "main"))
 CONTENT_NAMES = frozenset("article content main post entry story".split())
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|display\s*:\s*none", re.I)
+# Words that say nothing of what a named part holds; a name of a word above and others than these tells of
+# something else (related-work, share-price), and is no mark.
+NEUTRAL = frozenset("area articles bar block blocks box btn button buttons card cards col column container content count counts group header heading holder icon icons inner inside item items label large left line link links list main module outer page panel post posts right row section slot small stories story text title toggle tools top unit units wrap wrapper".split())
+# Elements that hold an author's text, whatever they are called.
+OWN_TEXT = frozenset(("blockquote", "pre"))
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
+
+
+def hidden(attributes: str) -> bool:
+    """Whether an attribute is named ``hidden``, or a style says that nothing is displayed."""
+    low = attributes.lower()
+    if "hidden" not in low and "display" not in low:
+        return False
+    return any(name.lower() == "hidden" or name.lower() == "style" and _NONE.search(value) for name, value in _ATTRIBUTE.findall(attributes))
+
+
+def marked(token: list[str], marks: frozenset[str]) -> bool:
+    """Whether the words of one name hold a mark, and beside marks only words that say nothing."""
+    return not marks.isdisjoint(token) and all(w in marks or w in NEUTRAL or w.isdigit() for w in token)
+
+
 #: Elements that end an open paragraph or list item of the same kind (their end tags may be missing).
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -58,14 +79,16 @@ class Node:
     __slots__ = ("bad", "depth", "features", "inside", "name")
 
     def __init__(self, name: str, attributes: str, parent: "Node | None") -> None:
-        names: list[str] = []
+        called: list[list[str]] = []
         if attributes and "=" in attributes:
             words = (w.split("-") for m in _NAMES.findall(attributes) for w in (m[0] or m[1] or m[2]).lower().replace("_", "-").split())
-            names = [x for w in words if w[0] not in LAYOUT for x in w if x]
+            called = [[x for x in w if x] for w in words if w[0] not in LAYOUT]
+        names = [x for w in called for x in w]
         self.name = name
         self.inside = bool(parent and parent.inside) or name in CONTENT or not CONTENT_NAMES.isdisjoint(names)
-        chrome = name in NEVER or name == "footer" or (name == "header" and not self.inside) or not BAD.isdisjoint(names)
-        chrome = chrome or bool(attributes and _HIDDEN.search(attributes)) or not (self.inside or BAD_OUTSIDE.isdisjoint(names))
+        chrome = name in NEVER or name == "footer" or (name == "header" and not self.inside)
+        chrome = chrome or bool(called) and name not in OWN_TEXT and any(marked(w, BAD) for w in called)
+        chrome = chrome or bool(attributes) and hidden(attributes) or not (self.inside or BAD_OUTSIDE.isdisjoint(names))
         self.bad = bool(parent and parent.bad) or (chrome and name not in ("html", "body") and not (name in CONTENT))
         self.depth = parent.depth + (name not in INLINE) if parent else 0
         own = ([] if name in PLAIN or name in INLINE and name != "a" else [f"e:{name}"]) + [f"c:{x}" for x in names if not x.isdigit()]
@@ -82,7 +105,17 @@ def tokens(page: str) -> Iterator[tuple[str, Node, str]]:
     """("tag", node, "") for tags that begin or end a block, ("br", …) for line breaks, ("text", node, text) for text."""
     root = Node("", "", None)
     stack = [root]
+    blocks: list[int] = []  # where blocks stand in the stack
+    opened: Counter = Counter()
     at = 0
+
+    def close(k: int) -> None:
+        for node in stack[k:]:
+            opened[node.name] -= 1
+        del stack[k:]
+        while blocks and blocks[-1] >= k:
+            blocks.pop()
+
     while at < len(page):
         m = _TOKEN.search(page, at)
         if m is None:
@@ -95,10 +128,12 @@ def tokens(page: str) -> Iterator[tuple[str, Node, str]]:
         if not name:
             continue
         if m.group(1):
-            if any(n.name == name for n in stack):
-                while stack[-1].name != name:
-                    stack.pop()
-                node = stack.pop()
+            if opened[name] > 0:
+                k = len(stack) - 1
+                while stack[k].name != name:
+                    k -= 1
+                node = stack[k]
+                close(k)
                 yield ("in" if name in INLINE else "tag"), node, ""
             continue
         if name in VOID:
@@ -106,13 +141,8 @@ def tokens(page: str) -> Iterator[tuple[str, Node, str]]:
             continue
         if name not in INLINE:
             # A block ends a paragraph that is open, with the inline elements left open in it.
-            ends = CLOSES.get(name, set()) | {"p"}
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name in ends:
-                    del stack[k:]
-                    break
-                if stack[k].name not in INLINE:
-                    break
+            if blocks and (stack[blocks[-1]].name == "p" or stack[blocks[-1]].name in CLOSES.get(name, ())):
+                close(blocks[-1])
         node = Node(name, m.group(3), stack[-1])
         yield ("in" if name in INLINE else "tag"), node, ""
         if name in RAW:
@@ -120,6 +150,9 @@ def tokens(page: str) -> Iterator[tuple[str, Node, str]]:
             yield "text", node if node.bad else Node("script", "", stack[-1]), page[at : end.start() if end else len(page)]
             at = end.end() if end else len(page)
         elif not m.group(3).rstrip().endswith("/") or name not in ("svg",):
+            if name not in INLINE:
+                blocks.append(len(stack))
+            opened[name] += 1
             stack.append(node)
 
 

@@ -1,6 +1,6 @@
 """Language identification by compression.
 
-Each learned language has a zstandard dictionary of raw content: equal shares of a bounded sample of its labelled texts.
+Each learned language has a zstandard dictionary of raw content: whole texts of a bounded sample of its labelled ones.
 A text is reduced to lower-case letters with single blanks, cut into frames, and every frame of it is compressed with
 every dictionary; the language whose frames are smallest in sum wins. A text is rejected if it has no letter or if the
 winner's margin over the next language is narrow, in bytes or as a share of the size.
@@ -11,15 +11,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches
 
-#: Labelled texts that a dictionary is made of at most, its bytes at most, and languages at most.
-ROWS, DICTIONARY, LANGUAGES = 400, 384 << 10, 64
-#: Bytes of one text that a dictionary takes at most, and bytes of the pieces that they are taken in.
-EXCERPT, PIECE = 4 * DICTIONARY // ROWS, 96
+#: Labelled texts that a dictionary is made of at most, its bytes at most (one longer text is a dictionary alone), and bytes
+#: of all dictionaries: many languages get smaller ones.
+ROWS, DICTIONARY, ALL = 400, 512 << 10, 32 << 20
 #: Bytes that are compressed in one frame: short enough that the dictionary, not the text itself, is what helps.
 FRAME = 512
 LEVEL = 6
@@ -37,55 +36,36 @@ def letters(text: str) -> str:
     return found if found.isascii() or _LETTER.search(found) else ""
 
 
-def excerpt(data: bytes, size: int) -> bytes:
-    """``size`` bytes of ``data`` at most, in pieces spread evenly from its first to its last byte."""
-    if len(data) <= size:
-        return data
-    n = max(size // PIECE, 1)
-    starts = (k * (len(data) - PIECE + 1) // max(n - 1, 1) for k in range(n))
-    return b" ".join(data[s : s + PIECE - 1] for s in starts).decode("utf-8", "ignore").encode()
-
-
-def level_out(parts: list[bytes], size: int) -> bytes:
-    """All ``parts`` cut to one greatest length, as long as ``size`` bytes hold them."""
-    left, share = size, size
-    for k, n in enumerate(sorted(map(len, parts))):
-        share = left // (len(parts) - k)
-        if n + 1 > share:
-            break
-        left -= n + 1
-        share = size
-    return b" ".join(excerpt(p, max(share - 1, PIECE)) for p in parts)[:size]
-
-
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = ROWS) -> dict[str, bytes]:
-    """Raw dictionary content per language, from at most ``rows`` different labelled texts of each.
+    """Raw dictionary content per language, from at most ``rows`` different labelled texts of each, all of them whole.
 
     The sample is the first texts in a hash order: each row tells from its own hash and its language's number of texts
-    whether it can be one of them, so nothing is ranked or gathered by language; at most some ``1.25 * rows`` excerpts of
-    ``EXCERPT`` bytes a language reach the driver. Copies count once. Rows with null text or label are not learned from;
-    more than ``LANGUAGES`` labels are an error.
+    whether it can be one of them, so no more than some 1.25 * ``rows`` of a language are ranked. Of these, in that order,
+    as many as ``DICTIONARY`` bytes hold make the dictionary; texts that are longer than it come last, and the first one
+    stays whatever its length. Copies count once. Rows with null text or label are
+    not learned from; any number of labels will do.
     """
     hashed = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit("sample"), F.col(text)).alias("at")).filter("lang IS NOT NULL AND text IS NOT NULL AND text != ''")
-    sizes = {r["lang"]: r["n"] for r in hashed.groupBy("lang").agg(F.approx_count_distinct("at").alias("n")).limit(LANGUAGES + 1).collect()}
-    if len(sizes) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    sizes = {r["lang"]: r["n"] for r in hashed.groupBy("lang").agg(F.approx_count_distinct("at").alias("n")).collect()}
     if not sizes:
         return {}
+    size = min(DICTIONARY, ALL // len(sizes))
     # The hash below which a share of all texts lies, that share being a quarter more than the rows that are wanted.
     below = {name: int(1.25 * rows / n * (1 << 64)) - (1 << 63) if 1.25 * rows < n else (1 << 63) - 1 for name, n in sizes.items()}
     limits = F.create_map(*[F.lit(x) for pair in below.items() for x in pair])
 
     def body(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
-            yield {"lang": batch["lang"], "at": batch["at"], "text": [excerpt(letters(t).encode(), EXCERPT) for t in batch["text"].to_pylist()]}
+            yield {"lang": batch["lang"], "at": batch["at"], "text": [letters(t).encode() for t in batch["text"].to_pylist()]}
 
-    sampled = map_batches(hashed.filter(F.col("at") <= limits[F.col("lang")]), body, "lang string, at bigint, text binary")
-    found = sorted((r["lang"], r["at"], bytes(r["text"])) for r in sampled.groupBy("lang", "at").agg(F.max("text").alias("text")).filter(F.length("text") > 0).collect())
+    sampled = map_batches(hashed.filter(F.col("at") <= limits[F.col("lang")]), body, "lang string, at bigint, text binary").filter(F.length("text") > 0)
+    order = Window.partitionBy("lang").orderBy(F.length("text") > size, "at")
+    filled = F.sum(F.length("text") + 1).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = sampled.dropDuplicates(["lang", "at"]).withColumn("k", F.row_number().over(order)).withColumn("filled", filled)
     content: dict[str, list[bytes]] = {}
-    for name, _, part in found:
-        content.setdefault(name, []).append(part)
-    return {name: level_out(parts[:rows], DICTIONARY) for name, parts in content.items()}
+    for r in ranked.filter((F.col("k") == 1) | (F.col("k") <= rows) & (F.col("filled") <= size)).orderBy("lang", "k").collect():
+        content.setdefault(r["lang"], []).append(bytes(r["text"]))
+    return {name: b" ".join(parts) for name, parts in content.items()}
 
 
 class Compressors:

@@ -6,7 +6,7 @@ and get votes from labelers: regular expressions, gazetteers and the context of
 the whole corpus (a bounded number of patterns, whatever its size) feed expectation-maximisation, which estimates for each
 kind how reliable each labeler is and how probable each pattern. These soft labels train the final span classifier, a
 logistic regression a kind on features of the span and its context, whose weights go back to every document in a second
-pass. A candidate for which no labeler votes is neither learned from as a span nor reported as one.
+pass, where they alone decide: a candidate may be a span without any vote, or none in spite of one.
 """
 
 from __future__ import annotations
@@ -93,8 +93,8 @@ GIVEN_NAMES = frozenset("""
 TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Señor", "Señora", "Monsieur", "Madame")
 STREETS = ("Street", "St", "Avenue", "Ave", "Road", "Rd", "Lane", "Ln", "Boulevard", "Blvd", "Drive", "Dr", "Court", "Ct", "Place", "Square", "Way", "Terrace", "Parkway", "Highway")
 _SECRET = re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+={0,2}")
-# These begin with a set of characters, which is found fast; what stands before them is looked at afterwards.
-_LOCAL_PHONE = re.compile(r"[(0-9][0-9]{1,3}\)?[ .-]?(?:[0-9]{2,3}[ .-])+?[0-9]{2,4}(?![0-9A-Za-z])")
+# These begin with a set of characters, which is found fast; what stands before them is looked at afterwards (``placed``).
+_LOCAL_PHONE = re.compile(r"[(0-9][0-9]{1,3}\)?[ .-]?(?:[0-9]{2,4}[ .-]){1,4}?[0-9]{2,4}(?![0-9A-Za-z]|[.-][0-9])")
 _PERSON = re.compile(r"[A-Z][a-z]++\.? (?:[A-Z]\. )?[A-Z][a-z]++(?: [A-Z][a-z]++)?(?!\w)")
 _ADDRESS = re.compile(rf"[0-9]{{1,5}}[A-Za-z]? (?:[A-Z][a-z]+ ){{1,3}}(?:{'|'.join(STREETS)})\b\.?")
 _HEX = re.compile(r"[0-9a-fA-F]+\Z")
@@ -102,21 +102,33 @@ _BEFORE = re.compile(r"([^\W\d]+)[\"']?\s*([=:])?\s*[\"'(]?\Z")
 _SHAPE = re.compile(r"\(?[0-9]{3}[) .-] ?[0-9]{3}[ .-][0-9]{4}\Z")
 _DATE = re.compile(r"(?:[12][0-9]{3}[.-][01]?[0-9][.-][0-3]?[0-9]|[0-3]?[0-9][.-][01]?[0-9][.-](?:[12][0-9])?[0-9]{2})\Z")
 _RUNS = re.compile(r"[A-Za-z]+|[0-9]+")
+# What must not stand before a span.
+_NOT_BEFORE = {"local_phone": re.compile(r"[0-9A-Za-z+.(-]\Z"), "person": re.compile(r"[\w@]\Z"), "address": re.compile(r"[\w.]\Z")}
 Candidate = tuple[str, int, int, tuple[int, ...], tuple[int, ...]]
 
 
+def placed(kind: str, pattern: re.Pattern, text: str) -> Iterator[re.Match]:
+    """Matches that begin where they may. One that doesn't is no match, so the search goes on behind its first character."""
+    barred, at = _NOT_BEFORE.get(kind), 0
+    while m := pattern.search(text, at):
+        s = m.start()
+        if barred and s and barred.search(text[s - 1]):
+            at = s + 1
+        elif kind == "person" and "." in (first := m.group().split(" ", 1)[0]) and first[:-1] not in TITLES:
+            at = s + 1  # the end of a sentence and the beginning of the next
+        else:
+            yield m
+            at = m.end()
+
+
 def candidates(text: str, taken: list[Span]) -> Iterator[Candidate]:
     """Spans that are no base spans: kind, start, end, labelers' votes (1, 0 abstains, -1) and features (0 or 1)."""
     base = sorted((s, e) for _, s, e in taken)
     starts = [s for s, _ in base]
     ends = list(accumulate((e for _, e in base), max))
     for kind, pattern, judge in (("local_phone", _LOCAL_PHONE, phone_votes), ("secret", _SECRET, secret_votes), ("person", _PERSON, person_votes), ("address", _ADDRESS, address_votes)):
-        for m in pattern.finditer(text):
+        for m in placed(kind, pattern, text):
             s, e = m.span()
-            if s and (text[s - 1].isalnum() or text[s - 1] in "+.-_@("):
-                continue
-            if kind == "person" and "." in (first := m.group().split(" ", 1)[0]) and first[:-1] not in TITLES:
-                continue  # the end of a sentence and the beginning of the next
             at = bisect_left(starts, e)
             if at and ends[at - 1] > s:
                 continue
@@ -265,7 +277,7 @@ def all_spans(text: str, weights: Weights | None) -> tuple[list[Span], list[Span
     base = base_spans(text)
     if not weights:
         return base, []
-    found = [(s, -e, kind) for kind, s, e, votes, features in candidates(text, base) if kind in weights and 1 in votes and float(np.dot(weights[kind][:-1], features)) + weights[kind][-1] > 0]
+    found = [(s, -e, kind) for kind, s, e, votes, features in candidates(text, base) if kind in weights and float(np.dot(weights[kind][:-1], features)) + weights[kind][-1] > 0]
     more: list[Span] = []
     free = 0
     for s, e, kind in sorted(found):

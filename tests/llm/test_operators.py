@@ -138,15 +138,9 @@ def test_language_of_held_out_documents(spark, docs, odd, empty):
     assert language.keep_known(odd).columns == odd.columns
 
 
-def test_language_margins_letters_and_excerpts():
+def test_language_margins_and_letters():
     assert language.narrow([100, 100, 160]) and language.narrow([1000, 1004]) and not language.narrow([100, 102]) and not language.narrow([7])
     assert language.letters("½ ² ① 12") == "" and language.letters("हिन्दी x1Y") == "हिन्दी x y" and language.letters("\u0301 1") == ""
-    data = " ".join(f"w{i}" for i in range(5000)).encode()
-    part = language.excerpt(data, 3840)
-    assert len(part) <= 3840 and part.startswith(data[:90]) and part.endswith(data[-90:])
-    parts = [b"a" * 50, b"b" * 5000, b"c" * 5000]
-    out = language.level_out(parts, 3000)
-    assert len(out) <= 3000 and out.count(b"a") == 50 and abs(out.count(b"b") - out.count(b"c")) < 100
 
 
 def test_texts_of_two_languages_alike_are_rejected(spark):
