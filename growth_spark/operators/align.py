@@ -11,7 +11,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import exact
 from ..functions.time import TIME_METRICS, bin_start, item_times, midnight, sample_time
+from ..plans.segments import MOST, cuts, in_blocks, medians
 from ..plans.tables import cut
 from ..sources.series import long, numeric_columns
 
@@ -27,25 +29,33 @@ def first_at_each_time(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_first", F.min("seq").over(each)).filter(F.col("seq") == F.col("_first")).drop("_first")
 
 
-def gaps(rows: DataFrame) -> DataFrame:
-    """Microseconds from each time of an item to the one before."""
-    order = Window.partitionBy(*ITEM).orderBy("time_us")
+def gaps(rows: DataFrame, most: int = MOST) -> DataFrame:
+    """Microseconds from each time of an item to the one before. Items of more than ``most`` rows are cut into blocks of time:
+    gaps within blocks, and those from a block to the next, of one row a block."""
     times = rows.select(*ITEM, "time_us").distinct()
-    return times.withColumn("gap", F.col("time_us") - F.lag("time_us").over(order)).filter("gap IS NOT NULL")
-
-
-def step(rows: DataFrame) -> DataFrame:
+    at = cuts(rows, ITEM, "time_us", most)
+    if not at:
+        order = Window.partitionBy(*ITEM).orderBy("time_us")
+        return times.withColumn("gap", F.col("time_us") - F.lag("time_us").over(order)).filter("gap IS NOT NULL")
+    blocks = in_blocks(times, "time_us", at)
+    order = Window.partitionBy(*ITEM, "_block").orderBy("time_us")
+    within = blocks.withColumn("gap", F.col("time_us") - F.lag("time_us").over(order))
+    ends = blocks.groupBy(*ITEM, "_block").agg(F.min("time_us").alias("time_us"), F.max("time_us").alias("_last"))
+    between = ends.withColumn("gap", F.col("time_us") - F.lag("_last").over(Window.partitionBy(*ITEM).orderBy("_block")))
+    return within.select(*ITEM, "time_us", "gap").unionByName(between.select(*ITEM, "time_us", "gap")).filter("gap IS NOT NULL")
+
+
+def step(rows: DataFrame, most: int = MOST) -> DataFrame:
     """One row (step_us): the median of the items' median gaps, at least half a second, and no more than a million
     points over the whole span. Null if no item has two points.
 
-    An item's median is read from its sorted gaps (a sort that spills), not from a table of them in memory."""
-    each = Window.partitionBy(*ITEM)
-    placed = gaps(rows).select(*ITEM, "gap", F.row_number().over(each.orderBy("gap")).alias("_k"), F.count("*").over(each).alias("_n"))
-    medians = placed.filter((2 * F.col("_k") >= F.col("_n")) & (2 * F.col("_k") <= F.col("_n") + 2)).groupBy(*ITEM).agg(F.avg("gap").alias("m"))
-    middle = medians.agg(F.percentile("m", F.lit(0.5)).alias("m"))
+    Both medians are exact; neither an item nor the table of all items' medians is gathered in one task beyond ``most``
+    rows."""
+    middle = medians(medians(gaps(rows, most), ITEM, "gap", most), [], "m", most)
+    found = middle.agg(F.max("m").alias("m"))  # one row, also without any gap
     span = rows.agg((F.max("time_us") - F.min("time_us")).alias("span"))
     floor_ = F.greatest(F.col("m"), F.lit(float(LEAST_STEP)))
-    return middle.join(F.broadcast(span)).select(F.when(F.col("m").isNotNull(), F.greatest(floor_, F.col("span") / MOST_POINTS)).cast("bigint").alias("step_us"))
+    return found.join(F.broadcast(span)).select(F.when(F.col("m").isNotNull(), F.greatest(floor_, F.col("span") / MOST_POINTS)).cast("bigint").alias("step_us"))
 
 
 def restrict(rows: DataFrame, how: str = "outer") -> DataFrame:
@@ -97,10 +107,11 @@ def merge_compatible(means: DataFrame) -> DataFrame:
     """Metrics of one domain on whose values all items agree in every bin become one column of the item ``shared``.
 
     The number of items that have the metric counts those without any value too. Each bin keeps the value of the first
-    item that has one there.
+    item that has one there. Values are compared as they are: ``means`` must not depend on the order of rows (``exact``).
     """
     key = ["domain", "metric"]
-    items = means.groupBy(*key).agg(F.count_distinct("data_id").alias("items"))
+    # Two items at least, and no bin with two values; items are counted by item first, so that no metric meets in one task.
+    items = means.select("data_id", *key).distinct().groupBy(*key).agg(F.count("*").alias("items"))
     clash = means.filter("value IS NOT NULL").groupBy(*key, "bin_us").agg((F.min("value") < F.max("value")).alias("clash")).groupBy(*key).agg(F.max("clash").alias("clash"))
     verdict = items.join(clash, key, "left").withColumn("merge", (F.col("items") >= 2) & ~F.coalesce("clash", F.lit(False)))
     judged = means.join(verdict.select(*key, "merge"), key)
@@ -113,7 +124,8 @@ def merge_compatible(means: DataFrame) -> DataFrame:
 def align(rows: DataFrame, how: str = "outer", dense: bool = False) -> DataFrame:
     """Items aligned on an inferred step and compatible metrics merged: (data_id, domain, metric, bin_us, value).
 
-    Without any item of two points there is no resampling and each row keeps its own time.
+    Without any item of two points there is no resampling and each row keeps its own time. Means are exact, so that items
+    with equal rows agree whatever the number of partitions.
     """
     first = cut(first_at_each_time(rows), "first")
     steps = step(first)
@@ -122,29 +134,48 @@ def align(rows: DataFrame, how: str = "outer", dense: bool = False) -> DataFrame
     signals = without_time_metrics(kept)
     own = F.col("time_us")
     binned = signals.join(F.broadcast(one)).withColumn("bin_us", F.coalesce(bin_start(own, F.col("origin_us"), F.col("step_us")), own))
-    means = binned.groupBy("data_id", "domain", "item_pos", "metric", "bin_us").agg(F.avg("value").alias("value"))
+    keys = ["data_id", "domain", "item_pos", "metric"]
+    means = exact.means(binned, [*keys, "bin_us"], exact.exponents(first))
     if dense:
-        keys = ["data_id", "domain", "item_pos", "metric"]
         means = on_grid(signals.select(*keys).distinct(), one).join(means, [*keys, "bin_us"], "left")
-    return merge_compatible(means)
+    return merge_compatible(cut(means, "means"))
 
 
-def interpolate(rows: DataFrame, keys: list[str], limit: int, time: str = "bin_us", value: str = "value") -> DataFrame:
+def interpolate(rows: DataFrame, keys: list[str], limit: int, time: str = "bin_us", value: str = "value", most: int = MOST) -> DataFrame:
     """Nulls on a dense grid filled linearly in time: the first ``limit`` of any gap; behind the last value it is held
-    for ``limit`` bins; leading nulls stay."""
+    for ``limit`` bins; leading nulls stay.
+
+    Signals of more than ``most`` bins are cut into blocks of time that are filled in parallel; the last known value before
+    a block, its place, and the next one behind it come from one summary row a block.
+    """
     if limit <= 0:
         raise ValueError("limit must be greater than 0")
-    order = Window.partitionBy(*keys).orderBy(time)
+    at = cuts(rows, keys, time, most)
+    own = [*keys, "_block"] if at else keys
+    order = Window.partitionBy(*own).orderBy(time)
     back = order.rowsBetween(Window.unboundedPreceding, 0)
     # The next value is the last one of the opposite order, so both frames grow by a row at a time.
-    ahead = Window.partitionBy(*keys).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, 0)
-    known = F.when(F.col(value).isNotNull(), F.struct(F.col(time).alias("t"), F.col(value).alias("v")))
-    marked = rows.withColumns({"_before": F.last(known, ignorenulls=True).over(back), "_after": F.last(known, ignorenulls=True).over(ahead), "_known": F.count(value).over(back)})
-    place = F.row_number().over(Window.partitionBy(*keys, "_known").orderBy(time)) - 1
+    ahead = Window.partitionBy(*own).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, 0)
+    placed = (in_blocks(rows, time, at) if at else rows).withColumn("_place", F.row_number().over(order).cast("bigint"))
+    known = F.when(F.col(value).isNotNull(), F.struct(F.col(time).alias("t"), F.col(value).alias("v"), F.col("_place").alias("k")))
+    marked = placed.withColumn("_known", known).withColumns({"_before": F.last("_known", ignorenulls=True).over(back), "_after": F.last("_known", ignorenulls=True).over(ahead)})
+    if at:
+        blocks = placed.withColumn("_known", known).groupBy(*own).agg(F.count("*").alias("_n"), F.max("_known").alias("_last"), F.min("_known").alias("_first"))
+        line = Window.partitionBy(*keys).orderBy("_block")
+        start = F.sum("_n").over(line) - F.col("_n")
+        moved = F.when(F.col("_last").isNotNull(), F.struct(F.col("_last.t").alias("t"), F.col("_last.v").alias("v"), (F.col("_last.k") + F.col("_start")).alias("k")))
+        earlier, later = line.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+        summary = blocks.withColumn("_start", start).withColumn("_last", moved)
+        summary = summary.select(*(F.col(k).alias(f"_own_{k}") for k in own), "_start", F.last("_last", ignorenulls=True).over(earlier).alias("_earlier"), F.last("_first", ignorenulls=True).over(later).alias("_later"))
+        same = [F.col(k).eqNullSafe(F.col(f"_own_{k}")) for k in own]
+        here = F.when(F.col("_before").isNotNull(), F.struct(F.col("_before.t").alias("t"), F.col("_before.v").alias("v"), (F.col("_before.k") + F.col("_start")).alias("k")))
+        marked = marked.join(summary, same).withColumns({"_before": F.coalesce(here, F.col("_earlier")), "_after": F.coalesce("_after", "_later"), "_place": F.col("_place") + F.col("_start")})
+        marked = marked.drop("_start", "_earlier", "_later", "_block", *(f"_own_{k}" for k in own))
     share = (F.col(time) - F.col("_before.t")) / (F.col("_after.t") - F.col("_before.t"))
     linear = F.col("_before.v") + (F.col("_after.v") - F.col("_before.v")) * share
-    filled = F.when(F.col(value).isNotNull(), F.col(value)).when(F.col("_known") > 0, F.when(F.col("_place") <= limit, F.coalesce(linear, F.col("_before.v"))))
-    return marked.withColumn("_place", place).withColumn(value, filled).drop("_before", "_after", "_known", "_place")
+    near = F.col("_place") - F.col("_before.k") <= limit
+    filled = F.when(F.col(value).isNotNull(), F.col(value)).when(F.col("_before").isNotNull() & near, F.coalesce(linear, F.col("_before.v")))
+    return marked.withColumn(value, filled).drop("_before", "_after", "_known", "_place")
 
 
 def label_columns(rows: DataFrame) -> DataFrame:

@@ -100,6 +100,41 @@ for _how, _kept in {
     ORACLE_SQL[_name] = f"WITH {_first},\nr AS ({_kept}),{_BINNED},{_MERGED}"
 
 
+def fraction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as long rows with metrics of ordinary fractions: on two of them all users agree, on one all but one user."""
+    e = table(spark, sf_dir, "events")
+    odd = F.when(F.col("user_id") == 1, 0.7000001).otherwise(0.7)
+    metrics = [F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value")) for name, value in (("third", F.lit(0.34)), ("tenth", F.lit(0.1)), ("seventh", odd), ("own", F.col("value")))]
+    rows = e.select(F.col("user_id").cast("string").alias("data_id"), F.lit("events").alias("domain"), F.col("user_id").alias("item_pos"), F.col("event_id").alias("seq"), F.unix_micros(F.col("ts").cast("timestamp")).alias("time_us"), F.explode(F.array(*metrics)).alias("m"))
+    return rows.select("data_id", "domain", "item_pos", "seq", "time_us", "m.metric", "m.value")
+
+
+@query(f"""
+WITH {_EVENTS},
+r AS (SELECT * FROM f),
+g AS (SELECT min(t) - min(t) % 86400000000 AS origin, (SELECT step FROM step) AS step FROM r),
+b AS (SELECT user_id, metric, origin + ((t - origin) // step) * step AS bin_us, value FROM (
+        SELECT user_id, 'own' AS metric, t, value FROM r UNION ALL SELECT user_id, 'third', t, 0.34 FROM r UNION ALL SELECT user_id, 'tenth', t, 0.1 FROM r
+        UNION ALL SELECT user_id, 'seventh', t, CASE WHEN user_id = 1 THEN 0.7000001 ELSE 0.7 END FROM r), g),
+m AS (SELECT user_id, metric, bin_us, round(avg(value), 12) AS value FROM b GROUP BY ALL),{_MERGED}""")
+def align_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users whose metrics agree, or nearly do, in values that no double holds; counts of rows in a bin differ by user."""
+    return align.align(fraction_rows(spark, sf_dir)).withColumn("value", F.round("value", 6))
+
+
+@query(f"""
+WITH {_EVENTS},
+g AS (SELECT min(t) - min(t) % 86400000000 AS origin, (SELECT step FROM step) AS step, min(t) AS lo, max(t) AS hi FROM f),
+k AS (SELECT user_id, metric, unnest(generate_series(origin + ((lo - origin) // step) * step, origin + ((hi - origin) // step) * step, step)) AS bin_us FROM (SELECT DISTINCT user_id, event_type AS metric FROM f UNION SELECT DISTINCT user_id, 'unit' FROM f), g),
+b AS (SELECT user_id, metric, origin + ((t - origin) // step) * step AS bin_us, value FROM (
+        SELECT user_id, event_type AS metric, t, value FROM f UNION ALL SELECT user_id, 'unit', t, 1.0 FROM f), g),
+a AS (SELECT user_id, metric, bin_us, avg(value) AS value FROM b GROUP BY ALL),
+m AS (SELECT user_id, metric, bin_us, value FROM k LEFT JOIN a USING (user_id, metric, bin_us)),{_MERGED}""")
+def align_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All users on every bin of the common grid, empty ones as nulls; a merged metric has each bin once."""
+    return align.align(event_rows(spark, sf_dir), dense=True).withColumn("value", F.round("value", 6))
+
+
 @query(ORACLE_SQL["align_merge"])
 def project_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The series of the samples of all projects, aligned together; users are spread over fifty samples and two projects."""
