@@ -17,7 +17,7 @@ from .operators import align, laue, linking, ml, pattern, stats, symmetry
 from .plans import rollup
 from .plans.tables import folder
 from .sources import catalogue, files, graphs, series, spectra
-from .streaming import frames
+from .streaming import chunk_store, frames, items
 from .streaming.poll import Poll
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -729,6 +729,58 @@ def poll_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/out").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+def followed(spark: SparkSession, sf_dir: str, name: str, make: Callable[[DataFrame], DataFrame], parts: int = 4) -> DataFrame:
+    """What ``make`` gives of a stream of all events, which come in ``parts`` lots by time; the query starts anew for each, from
+    its checkpoint."""
+    path = folder(spark, name)
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("time_us"), "event_type", "value")
+    lo, hi = e.agg(F.min("time_us"), F.max("time_us")).first()
+    place = F.least(F.floor((F.col("time_us") - F.lit(lo)) * parts / F.lit(max((hi or 0) - (lo or 0), 1))), F.lit(parts - 1))
+    schema = f"{', '.join(f'{c} {kind}' for c, kind in e.dtypes)}, slice int"
+
+    def sink(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/out/batch={number}")
+
+    for k in range(parts):
+        e.filter(place == k).write.parquet(f"{path}/in/slice={k}")
+        made = make(items.session(spark).readStream.schema(schema).parquet(f"{path}/in").drop("slice"))
+        made.writeStream.foreachBatch(sink).option("checkpointLocation", f"{path}/checkpoint").outputMode("update").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(made.schema).parquet(f"{path}/out")
+
+
+@query("SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 5")
+def poll_last_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's last five events, kept as state by user over the batches of a stream; the last poll of each user."""
+    found = followed(spark, sf_dir, "last", lambda s: items.follow(s, ["user_id"], ["time_us", "event_id"], 5))
+    last = found.groupBy("user_id").agg(F.max("poll").alias("poll"))
+    return found.join(last, ["user_id", "poll"]).select("user_id", "event_id", "event_type", "value")
+
+
+@query("SELECT user_id, event_id, event_type FROM events QUALIFY event_type IS DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id)")
+def poll_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose type is not that of the user's event before, over the batches of a stream."""
+    return followed(spark, sf_dir, "changes", lambda s: items.changes(s, ["user_id"], ["time_us", "event_id"], ["event_type"])).select("user_id", "event_id", "event_type")
+
+
+@query("""
+WITH p AS (SELECT user_id::VARCHAR AS data_id, (event_id % 50)::INT AS chunk_idx, (event_id // 50) % 3 AS push, event_id, epoch_us(ts) // 1000 AS ms FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY data_id, chunk_idx, push ORDER BY event_id DESC) AS k FROM p),
+l AS (SELECT * FROM o WHERE k = 1 QUALIFY push = max(push) OVER (PARTITION BY data_id, chunk_idx))
+SELECT data_id, chunk_idx, 'frames.zarr/frames/c/' || chunk_idx || '/0/0' AS key, '2,3,4' AS dims, 24 AS n_bytes, event_id % 256 AS first_pixel, ms AS start_unix_ms_utc, ms + 250 AS end_unix_ms_utc FROM l""")
+def chunk_store_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of all users pushed in three versions, frames and all; of each chunk the last version stands."""
+    e = table(spark, sf_dir, "events")
+    push = e.select(F.col("user_id").cast("string").alias("data_id"), (F.col("event_id") % 50).cast("int").alias("chunk_idx"), (F.floor(F.col("event_id") / 50) % 3).alias("push"), "event_id", F.expr("unix_micros(cast(ts as timestamp)) div 1000").alias("start_unix_ms_utc"))
+    one = push.groupBy("data_id", "chunk_idx", "push").agg(F.max_by(F.struct("event_id", "start_unix_ms_utc"), "event_id").alias("x"))
+    pixel = F.lpad(F.hex(F.col("x.event_id") % 256), 2, "0")
+    rows = one.select("data_id", "chunk_idx", "push", F.lit("2,3,4").alias("dims"), F.unhex(F.repeat(pixel, F.lit(24))).alias("frames"), F.col("x.start_unix_ms_utc").alias("start_unix_ms_utc"), F.lit(8.0).alias("fps"))
+    store = chunk_store.ChunkStore(spark, folder(spark, "chunks"))
+    for k in range(3):
+        store.push(rows.filter(F.col("push") == k).drop("push"))
+    found = store.read()
+    return found.select("data_id", "chunk_idx", "key", "dims", F.octet_length("frames").alias("n_bytes"), F.conv(F.hex(F.substring("frames", 1, 1)), 16, 10).cast("bigint").alias("first_pixel"), "start_unix_ms_utc", "end_unix_ms_utc")
+
+
 @query()
 def bagged_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of documents by their length and source, from bootstrap samples; each is scored by models fitted without its fold."""
