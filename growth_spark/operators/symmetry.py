@@ -70,6 +70,7 @@ def mirror(nodes: DataFrame) -> DataFrame:
         "bbox_maxc": mirrored_edge(F.col("bbox_minc"), p),
         "node_id": F.col("node_id") + F.when(F.col("_side") < 0, 1000).otherwise(2000),
     }
+    flipped = {c: value for c, value in flipped.items() if c in nodes.columns}
     moved = rows.filter("_side != 0")
     if "runs" in nodes.columns:
         # The mask turns about the origin of the first mirrored node of its side.

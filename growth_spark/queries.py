@@ -719,6 +719,25 @@ def laue_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("data_id", F.round("radius", 6).alias("radius"), (F.round("cy", 6) + 0.0).alias("cy"), "cx")
 
 
+@query("""WITH k AS (SELECT 1.0 + i * (5.0 / 59) AS radius, j * (2 * pi() / 89) AS theta FROM generate_series(0, 59) AS a(i), generate_series(0, 89) AS b(j)),
+c AS (SELECT vec_id, embedding, 3.0 + (vec_id % 3) * 0.25 AS cy, 3.0 + (vec_id % 2) * 0.5 AS cx FROM embeddings),
+p AS (SELECT DISTINCT cy, cx, radius, theta, round_even(radius * cos(theta) + cx, 0)::INT AS x, round_even(radius * sin(theta) + cy - radius, 0)::INT AS y FROM k, (SELECT DISTINCT cy, cx FROM c)),
+s AS (SELECT vec_id AS data_id, cy, cx, radius, round(quantile_cont(embedding[y * 8 + x + 1]::DOUBLE, 0.9), 6) AS score FROM c JOIN p USING (cy, cx) WHERE x BETWEEN 0 AND 7 AND y BETWEEN 0 AND 7 GROUP BY vec_id, cy, cx, radius),
+t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY data_id ORDER BY score DESC, radius DESC) <= 30)
+SELECT data_id, round(avg(radius), 6) AS radius, round(cy - avg(radius), 6) + 0.0 AS cy, cx::DOUBLE AS cx FROM t GROUP BY data_id, cy, cx""")
+def laue_zero_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From patterns of three nodes to the zone's circle: two nodes lie either side of the plane and meet their mirror images."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("data_id"), F.col("embedding").alias("image"), F.lit(8).alias("width"))
+    spot = F.col("data_id") % 2 * 0.5
+    kinds = F.array(*(F.struct(F.lit(i).cast("bigint").alias("seq"), F.lit(c).alias("centroid_1"), F.lit(r).alias("row")) for i, c, r in ((0, 0.0, 10), (1, -2.0, 20), (2, 2.0, 20))))
+    n = e.select("data_id", F.explode(kinds).alias("k"), spot.alias("spot"))
+    centre = F.lit(3.0) + F.col("spot")
+    box = {"bbox_minr": F.col("k.row") - 1, "bbox_maxr": F.col("k.row") + 1, "bbox_minc": F.col("k.centroid_1") + centre - 1, "bbox_maxc": F.col("k.centroid_1") + centre + 1}
+    points = n.select("data_id", "k.seq", F.col("k.seq").alias("node_id"), F.col("k.row").cast("double").alias("centroid_0"), (F.col("k.centroid_1") + centre).alias("centroid_1"), (1.0 + F.col("data_id") % 3 * 0.25).alias("intensity_centroid_0"), F.lit(0.0).alias("intensity_centroid_1"), F.lit(2.0).alias("specular_origin_0"), centre.alias("specular_origin_1"), *(c.cast("double").alias(k) for k, c in box.items()))
+    found = laue.zero_radius(points, e, 60, 90, 1.0, 6.0, digits=6)
+    return found.select("data_id", F.round("radius", 6).alias("radius"), (F.round("cy", 6) + 0.0).alias("cy"), "cx")
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def poll_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events followed as a stream; what is emitted is written batch by batch and read back."""

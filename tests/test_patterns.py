@@ -167,6 +167,49 @@ def test_laue_radius_of_a_drawn_circle(spark):
     assert found["radius"] == pytest.approx(20) and found["cy"] == 45 - found["radius"]
 
 
+def plain_scores(image, cy, cx, radii, angles, low, high):
+    """Pixel by pixel with numpy's own quantile."""
+    out = {}
+    for r in np.linspace(low, high, radii):
+        theta = np.linspace(0, 2 * np.pi, angles)
+        x, y = np.rint(r * np.cos(theta) + cx).astype(int), np.rint(r * np.sin(theta) + cy - r).astype(int)
+        on = (x >= 0) & (y >= 0) & (x < image.shape[1]) & (y < image.shape[0])
+        values = image[y[on], x[on]]
+        values = values[~np.isnan(values)]
+        if len(values):
+            out[round(float(r), 9)] = float(np.quantile(values, 0.9))
+    return out
+
+
+def test_laue_scores_against_a_plain_version(spark):
+    rng = np.random.default_rng(2)
+    image = rng.random((90, 70))
+    image[rng.random((90, 70)) < 0.1] = np.nan
+    missing = [None if v != v else float(v) for v in image.ravel()]
+    images = spark.createDataFrame([("a", missing, 70), ("none", None, 70), ("empty", [], 70), ("apart", missing, 70)], "data_id string, image array<double>, width int")
+    points = spark.createDataFrame([("a", 33.3, 20.7), ("none", 1.0, 1.0), ("empty", 1.0, 1.0), ("apart", 1e6, 1e6), ("nowhere", 1.0, 1.0)], "data_id string, cy double, cx double")
+    found = laue.scores(images, points, 300, 181, 3.1, 61.7).collect()
+    assert {r["data_id"] for r in found} == {"a"}
+    want = plain_scores(image, 33.3, 20.7, 300, 181, 3.1, 61.7)
+    assert {round(r["radius"], 9): r["score"] for r in found} == pytest.approx(want)
+
+
+def test_laue_radius_from_nodes_at_full_size(spark):
+    """2000 radii of 1440 angles on an image of 900 by 800 pixels, the point from the symmetrised nodes."""
+    image = np.zeros((900, 800), np.float32)
+    t = np.linspace(0, 2 * np.pi, 20_000)
+    for r in (299.5, 300.0, 300.5):
+        y, x = np.rint(r * np.sin(t) + 700 - r).astype(int), np.rint(r * np.cos(t) + 390).astype(int)
+        image[y, x] = 50
+    images = spark.createDataFrame([(name, image.ravel().tolist(), 800) for name in "ab"], "data_id string, image array<float>, width int")
+    schema = NODE + ", intensity_centroid_0 double, specular_origin_0 double"
+    nodes = [(*node(name, 0, 300, 390, 390), 100.0, 600.0) for name in "ab"] + [(*node("a", 1, 310, 200, 390), 5.0, 600.0), (*node("c", 0, 3, 4, 5), 1.0, 1.0)]
+    found = {r["data_id"]: r for r in laue.zero_radius(spark.createDataFrame(nodes, schema), images).collect()}
+    assert set(found) == {"a", "b"}
+    for r in found.values():
+        assert abs(r["radius"] - 300) < 3 and r["cy"] == 700 - r["radius"] and r["cx"] == 390
+
+
 def test_duplicate_features_keep_the_first_name(spark):
     df = spark.createDataFrame([(r, f, v) for r in range(3) for f, v in (("b", r * 1.0), ("a", r * 1.0), ("c", 2.0))], "row int, feature string, value double")
     assert {r["feature"] for r in stats.without_duplicate_features(df).collect()} == {"a", "c"}
