@@ -41,7 +41,7 @@ INFINITE = float("inf")
 #: States of a position: no path arrives, the first position, and after a fallback or user-defined arc.
 NO, START = -1, (1 << 20) - 1
 #: Positions that are composed at once, and bytes of texts taken at a time.
-LOT, TEXTS = 1 << 18, 4 << 20
+LOT, TEXTS = 1 << 16, 1 << 20
 RUNS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|[\s_]|\w").findall
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
