@@ -1,14 +1,15 @@
 """Means of doubles that are the same for any order and partitioning of the rows.
 
 A sum of doubles depends on the order of its terms. Here each finite value is cut into whole multiples of powers of two,
-``BITS`` bits a part, which is without error; sums of parts are sums of integers, so partial sums may meet in any order. The
-parts of a sum are carried over and divided as integers, so equal sums of as many values give equal doubles.
+``BITS`` bits a part, which is without error; sums of parts are sums of integers, so partial sums may meet in any order. One group's sum is put together and
+divided as an integer, so equal sums of as many values give equal doubles.
 """
 
 from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +19,14 @@ BITS = 24
 LEAST = -1074
 
 
-def exponents(df: DataFrame, value: str = "value") -> list[int]:
-    """Exponents of the parts, highest first, that together hold every finite value of ``df`` without error: one pass for
-    the greatest and the smallest magnitude."""
-    size = F.abs(F.col(value).cast("double"))
-    known = F.when(~F.isnan(size) & (size < math.inf) & (size > 0), size)
-    high, low = df.agg(F.max(known), F.min(known)).first()
+def exponents(df: DataFrame, *values: str) -> list[int]:
+    """Exponents of the parts, highest first, that together hold every finite value of these columns without error: one pass
+    for the greatest and the smallest magnitude."""
+    sizes = [F.abs(F.col(v).cast("double")) for v in values or ("value",)]
+    known = [F.when(~F.isnan(s) & (s < math.inf) & (s > 0), s) for s in sizes]
+    ends = df.agg(*(f(k) for k in known for f in (F.max, F.min))).first()
+    there = [x for x in ends if x is not None]
+    high, low = max(there, default=None), min(there, default=None)
     if high is None:
         return [0]
     top, last = math.frexp(high)[1], max(math.frexp(low)[1] - 53, LEAST)
@@ -40,61 +43,43 @@ def _parts(value: Column, exps: list[int]) -> list[Column]:
     return out
 
 
-#: Parts below the lowest one that a quotient is carried on to.
-MORE = 3
+def _quotient(exps: list[int]):
+    """Function of columns (n, parts' sums): the double nearest to their sum divided by ``n``. Integers divide exactly rounded,
+    so the mean of equal values is that value, however many they are."""
+    unit = exps[-1]
+    shifts = [e - unit for e in exps]
 
+    def nearest(n: int, parts: tuple) -> float:
+        total = sum(int(p) << s for p, s in zip(parts, shifts, strict=True))
+        try:
+            return total / (n << -unit) if unit < 0 else (total << unit) / n
+        except OverflowError:
+            return math.copysign(math.inf, total)
 
-def _quotient(sums: list[Column], exps: list[int], n: Column) -> Column:
-    """A sum divided by ``n``, as the double nearest to it (but for ties far below the last bit), from its parts' sums.
+    @F.pandas_udf("double")
+    def divided(n: pd.Series, *parts: pd.Series) -> pd.Series:
+        return pd.Series([nearest(int(k), p) if k else math.nan for k, *p in zip(n, *parts, strict=True)], dtype="float64")
 
-    The division is that of integers, part by part, so the mean of equal values is that value, however many they are."""
-    above = exps[0] + BITS
-    lower = [max(exps[-1] - BITS * (k + 1), LEAST - BITS * MORE) for k in range(MORE)]
-    up = [*reversed(exps), above]
-    # Neighbours are BITS apart, but for the lowest one where it meets the end of the doubles.
-    units = F.array(*(F.lit(1 << (b - a)).cast("bigint") for a, b in zip(up, up[1:], strict=False)))
+    return divided
 
-    def carried(sign: int) -> Column:
-        """Digits, lowest first, and what is carried over the highest."""
-        each = F.zip_with(F.array(*((s * F.lit(sign)) for s in reversed(sums))), units, lambda x, m: F.struct(x.alias("s"), m.alias("m")))
-        start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("digits"))
 
-        def add(a: Column, x: Column) -> Column:
-            t = a["carry"] + x["s"]
-            digit = F.pmod(t, x["m"])
-            return F.struct(((t - digit) / x["m"]).cast("bigint").alias("carry"), F.array_append(a["digits"], digit).alias("digits"))
-
-        return F.aggregate(each, start, add)
-
-    def divided(a: Column) -> Column:
-        """Long division from the carry down, then the quotient's digits added from the lowest up."""
-        digits = F.concat(F.array(a["carry"]), F.reverse(a["digits"]), F.array_repeat(F.lit(0).cast("bigint"), MORE))
-        scale = F.concat(F.array(F.lit(1).cast("bigint")), F.reverse(units), F.array_repeat(F.lit(1 << BITS).cast("bigint"), MORE))
-        pairs = F.zip_with(digits, scale, lambda d, m: F.struct(d.alias("d"), m.alias("m")))
-        start = F.struct(F.lit(0).cast("bigint").alias("rest"), F.array().cast("array<bigint>").alias("q"))
-
-        def divide(acc: Column, x: Column) -> Column:
-            t = acc["rest"] * x["m"] + x["d"]
-            rest = F.pmod(t, n)
-            return F.struct(rest.alias("rest"), F.array_append(acc["q"], ((t - rest) / n).cast("bigint")).alias("q"))
+def sums(value: str, exps: list[int], name: str) -> list[Column]:
+    """Aggregates that ``mean`` of the same name reads; nulls don't count."""
+    x = F.col(value).cast("double")
+    odd = F.isnan(x) | (F.abs(x) == math.inf)
+    parts = [F.sum(p).alias(f"{name}_part{k}") for k, p in enumerate(_parts(F.when(~odd, x), exps))]
+    return [*parts, F.sum(F.when(odd, x)).alias(f"{name}_odd"), F.count(x).alias(f"{name}_n")]
 
-        q = F.aggregate(pairs, start, divide)["q"]
-        weights = F.array(*(F.lit(math.ldexp(1.0, e) if e < 1024 else math.inf) for e in [above, *exps, *lower]))
-        terms = F.reverse(F.zip_with(q, weights, lambda x, w: F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double") * w)))
-        return F.aggregate(terms, F.lit(0.0), lambda t, x: t + x)
 
-    plus = carried(1)
-    return F.when(plus["carry"] >= 0, divided(plus)).otherwise(-divided(carried(-1)))
+def mean(exps: list[int], name: str) -> Column:
+    """The mean from ``sums``: null where all are null, NaN or infinite where the plain sum is."""
+    quotient = _quotient(exps)(f"{name}_n", *(F.coalesce(f"{name}_part{k}", F.lit(0).cast("bigint")) for k in range(len(exps))))
+    return F.when(F.col(f"{name}_n") > 0, F.coalesce(f"{name}_odd", quotient))
 
 
 def means(df: DataFrame, keys: list[str], exps: list[int], value: str = "value") -> DataFrame:
-    """(keys, value): the mean of each group's values; null where all are null, NaN or infinite where the plain sum is.
+    """(keys, value): the mean of each group's values, from one aggregation with partial sums.
 
-    One aggregation with partial sums; ``exps`` come from ``exponents`` of ``df`` or of rows that hold its values.
+    ``exps`` come from ``exponents`` of ``df`` or of rows that hold its values.
     """
-    x = F.col(value).cast("double")
-    odd = F.isnan(x) | (F.abs(x) == math.inf)
-    parts = [F.sum(p).alias(f"_part{k}") for k, p in enumerate(_parts(F.when(~odd, x), exps))]
-    sums = df.groupBy(*keys).agg(*parts, F.sum(F.when(odd, x)).alias("_odd"), F.count(x).alias("_n"))
-    mean = _quotient([F.coalesce(f"_part{k}", F.lit(0).cast("bigint")) for k in range(len(exps))], exps, F.col("_n"))
-    return sums.select(*keys, F.when(F.col("_n") > 0, F.coalesce("_odd", mean)).alias(value))
+    return df.groupBy(*keys).agg(*sums(value, exps, "_x")).select(*keys, mean(exps, "_x").alias(value))

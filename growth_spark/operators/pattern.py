@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import boxes_overlap, edge_metrics, horizontal_overlap
@@ -23,18 +23,44 @@ def edges(nodes: DataFrame) -> DataFrame:
     return pairs.select("data_id", F.col("node_id_x").alias("start_node"), F.col("node_id_y").alias("end_node"), *(c.alias(n) for c, n in zip((weight, across, down, overlap), EDGE, strict=True))).dropDuplicates(["data_id", "start_node", "end_node"])
 
 
-def overlapping(boxes: DataFrame, cell: int | None = None) -> DataFrame:
+#: Boxes of an image up to which each is compared with all of its image.
+FEW = 64
+
+
+def overlapping(boxes: DataFrame, cell: float = 1, few: int = FEW) -> DataFrame:
     """(data_id, a, b) of boxes (data_id, seq, minr, minc, maxr, maxc) that share a point, each with itself too.
 
-    With ``cell``, boxes meet only in the grid cells they touch; use it for images of very many boxes.
+    Boxes of an image with more than ``few`` lie in square cells of a grid as coarse as they are large (its sides are ``cell``
+    times powers of two), so a box touches four cells at most, whatever its size. It looks for others there and in the
+    coarser grids that are in use. A pair is found once: in the cell that holds the first corner of what the two share.
+    Boxes with a null side share nothing.
     """
-    if cell:
-        cells = F.explode(F.sequence(F.floor(F.col("minc") / cell), F.floor(F.col("maxc") / cell)))
-        boxes = boxes.withColumn("_cell", cells)
-    keys = ["data_id", *(["_cell"] if cell else [])]
-    a, b = (boxes.select(*keys, *[F.col(c).alias(f"{s}_{c}") for c in ("seq", "minr", "minc", "maxr", "maxc")]) for s in ("a", "b"))
-    found = a.join(b, keys).filter(boxes_overlap("a_", "b_")).select("data_id", F.col("a_seq").alias("a"), F.col("b_seq").alias("b"))
-    return found.distinct() if cell else found
+    own = ["minr", "minc", "maxr", "maxc"]
+    rows = boxes.select("data_id", "seq", *(F.col(c).cast("double").alias(c) for c in own)).filter(" AND ".join(f"{c} IS NOT NULL" for c in own))
+    crowded = rows.groupBy("data_id").agg((F.count("*") > few).alias("_many"))
+    longest = F.greatest(F.col("maxr") - F.col("minr"), F.col("maxc") - F.col("minc"), F.lit(float(cell)))
+    level = F.when(F.col("_many"), F.ceil(F.log2(longest / cell)).cast("int")).otherwise(-1)
+    levelled = rows.join(crowded, "data_id").withColumn("_level", level)
+
+    def cells(at: Column) -> Column:
+        side = F.lit(float(cell)) * F.pow(F.lit(2.0), at)
+        line = lambda lo, hi: F.sequence(F.floor(F.col(lo) / side), F.floor(F.col(hi) / side))
+        touched = F.flatten(F.transform(line("minr", "maxr"), lambda r: F.transform(line("minc", "maxc"), lambda c: F.struct(r.alias("r"), c.alias("c")))))
+        whole = F.array(F.struct(F.lit(0).cast("bigint").alias("r"), F.lit(0).cast("bigint").alias("c")))
+        return F.when(at < 0, whole).otherwise(touched)
+
+    used = levelled.agg(F.collect_set("_level").alias("_used"))  # one row, some ten levels
+    looked = levelled.join(F.broadcast(used)).withColumn("_at", F.explode(F.filter("_used", lambda x: F.when(F.col("_level") < 0, x == -1).otherwise(x >= F.col("_level")))))
+    side = lambda df, s: df.withColumn("_cell", F.explode(cells(F.col("_at")))).select("data_id", "_at", "_cell", *(F.col(c).alias(f"{s}_{c}") for c in ("seq", *own)), F.col("_level").alias(f"{s}_level"))
+    met = side(looked, "a").join(side(levelled.withColumn("_at", F.col("_level")), "b"), ["data_id", "_at", "_cell"]).filter(boxes_overlap("a_", "b_"))
+    width = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_at"))
+    corner = [F.floor(F.greatest(f"a_{c}", f"b_{c}") / width) for c in ("minr", "minc")]
+    once = met.filter((F.col("_at") < 0) | (F.col("_cell.r") == corner[0]) & (F.col("_cell.c") == corner[1]))
+    pair = F.struct(F.col("a_seq").alias("a"), F.col("b_seq").alias("b"))
+    back = F.struct(F.col("b_seq").alias("a"), F.col("a_seq").alias("b"))
+    # Within a level both look for each other; across levels only the smaller box looks.
+    both = once.select("data_id", F.explode(F.when(F.col("a_level") == F.col("b_level"), F.array(pair)).otherwise(F.array(pair, back))).alias("_p"))
+    return both.select("data_id", "_p.a", "_p.b")
 
 
 def features_long(nodes: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import boxes_overlap, mirrored, mirrored_edge
+from ..functions import exact
+from ..functions.geometry import mirrored, mirrored_edge
 from ..plans.tables import cut
-from .pattern import edges
+from .pattern import FEW, edges, overlapping
 
 # How merged nodes are summed up.
 MEANS = ("centroid_0", "centroid_1", "intensity_centroid_0", "intensity_centroid_1", "relative_centroid_0", "relative_centroid_1", "relative_intensity_centroid_0", "relative_intensity_centroid_1", "bbox_minc", "bbox_minr", "bbox_maxc", "bbox_maxr", "area", "specular_origin_0", "specular_origin_1", "center_distance", "fwhm_0", "fwhm_1", "eccentricity", "axis_major_length", "axis_minor_length", "bbox_intensity", "spot_area", "streak_area", "roughness_metric", "distances")
@@ -28,21 +29,26 @@ def _united(runs: Column) -> Column:
     return F.aggregate(F.array_sort(runs), F.array().cast("array<struct<start:bigint,end:bigint>>"), joined)
 
 
-def _summed(df: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
+def _summed(df: DataFrame, keys: list[str], exps: list[int], seq: str = "seq") -> DataFrame:
+    """Means, firsts and united masks of each group. Means of boxes are exact, since boxes are compared afterwards."""
     firsts = [F.min_by(c, seq).alias(c) for c in _columns(df, FIRSTS)]
     masks = [_united(F.flatten(F.collect_list("runs"))).alias("runs")] if "runs" in df.columns else []
     own = [] if "node_id" in keys else [F.min("node_id").alias("node_id")]
-    return df.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in _columns(df, MEANS)], *own, *firsts, *masks, *([F.min(seq).alias("seq")] if seq not in keys else []))
+    box = [x for c in BOX for x in exact.sums(c, exps, f"_{c}")]
+    plain = [F.avg(c).alias(c) for c in _columns(df, MEANS) if c not in BOX]
+    grouped = df.groupBy(*keys).agg(*plain, *box, *own, *firsts, *masks, *([F.min(seq).alias("seq")] if seq not in keys else []))
+    return grouped.select(*(c for c in grouped.columns if not any(c.startswith(f"_{b}_") for b in BOX)), *(exact.mean(exps, f"_{c}").alias(c) for c in BOX))
 
 
-def merge_pass(nodes: DataFrame) -> DataFrame:
+def merge_pass(nodes: DataFrame, few: int = FEW) -> DataFrame:
     """Each node becomes the sum of all whose boxes it overlaps; equal smallest ids then become one; ids above 1000 are
-    numbered on from the largest below, the largest first."""
-    a = nodes.select("data_id", F.col("seq").alias("at"), *[F.col(c).alias(f"a_{c[5:]}") for c in BOX])
-    b = nodes.select("*", *[F.col(c).alias(f"b_{c[5:]}") for c in BOX])
-    met = a.join(b, "data_id").filter(boxes_overlap("a_", "b_"))
-    first = _summed(met, ["data_id", "at"]).drop("seq").withColumnRenamed("at", "seq")
-    second = _summed(first, ["data_id", "node_id"])
+    numbered on from the largest below, the largest first. Pairs are found by boxes alone; the rest of a node follows them."""
+    exps = exact.exponents(nodes, *BOX)
+    pairs = overlapping(nodes.select("data_id", "seq", *[F.col(c).alias(c[5:]) for c in BOX]), 4, few)
+    met = pairs.withColumnsRenamed({"a": "at", "b": "seq"}).join(nodes, ["data_id", "seq"])
+    first = _summed(met, ["data_id", "at"], exps).drop("seq").withColumnRenamed("at", "seq")
+    # Means of means have more digits below, but none above.
+    second = _summed(first, ["data_id", "node_id"], [*exps, *(exps[-1] - exact.BITS * (k + 1) for k in range(3) if exps[-1] - exact.BITS * (k + 1) > exact.LEAST)])
     each = Window.partitionBy("data_id")
     base = F.max(F.when(F.col("node_id") < 1000, F.col("node_id"))).over(each)
     high = F.col("node_id") > 1000
@@ -95,6 +101,7 @@ def symmetrised(nodes: DataFrame, passes: int = MOST_PASSES) -> tuple[DataFrame,
         new = cut(merge_pass(rows).select(*keep), "pass")
         before, after = (x.groupBy("data_id").agg(F.count("*").alias(n)) for x, n in ((rows, "n0"), (new, "n1")))
         still = before.join(after, "data_id").filter("n0 = n1").select("data_id")
+        still = cut(still, "still")
         settled = new.join(still, "data_id", "left_semi")
         done = settled if done is None else done.unionByName(settled)
         rows = cut(new.join(still, "data_id", "left_anti"), "rest")

@@ -685,13 +685,34 @@ def chunks_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- without SQL: iteration, assignment, streams, models --------------------------------------------------------------
 
 
-@query()
+def symmetrised_sql(passes: int = 8) -> str:
+    """Passes written out for all images; of each image the first pass that leaves the number of its nodes counts."""
+    sums = "avg(c0) AS c0, avg(c1) AS c1, avg(minr) AS minr, avg(minc) AS minc, avg(maxr) AS maxr, avg(maxc) AS maxc"
+    steps, counts = "", "SELECT data_id, 0 AS k, count(*) AS n FROM p0 GROUP BY data_id"
+    for k in range(1, passes + 1):
+        last = f"p{k - 1}"
+        steps += f"""f{k} AS (SELECT data_id, spot AS seq, min(node_id) AS node_id, {sums} FROM (SELECT a.seq AS spot, b.* FROM {last} a JOIN {last} b ON a.data_id = b.data_id AND a.minr <= b.maxr AND b.minr <= a.maxr AND a.minc <= b.maxc AND b.minc <= a.maxc) GROUP BY data_id, spot),
+g{k} AS (SELECT data_id, node_id, min(seq) AS seq, {sums} FROM f{k} GROUP BY data_id, node_id),
+p{k} AS (SELECT data_id, CASE WHEN node_id > 1000 THEN coalesce(max(node_id) FILTER (node_id < 1000) OVER (PARTITION BY data_id), -1) + row_number() OVER (PARTITION BY data_id, node_id > 1000 ORDER BY node_id DESC) ELSE node_id END AS node_id, seq, c0, c1, minr, minc, maxr, maxc FROM g{k}),
+"""
+        counts += f" UNION ALL SELECT data_id, {k}, count(*) FROM p{k} GROUP BY data_id"
+    rows = " UNION ALL ".join(f"SELECT {k} AS k, * FROM p{k}" for k in range(1, passes + 1))
+    return f"""WITH {_NODES},
+s AS (SELECT *, node_id AS seq, sign(c1 - 25.5) AS side, max(node_id) OVER (PARTITION BY data_id) + 1 AS n FROM n),
+p0 AS (SELECT data_id, node_id, seq, c0, c1, minr::DOUBLE AS minr, minc::DOUBLE AS minc, maxr::DOUBLE AS maxr, maxc::DOUBLE AS maxc FROM s
+       UNION ALL SELECT data_id, node_id + CASE WHEN side < 0 THEN 1000 ELSE 2000 END, seq + n * CASE WHEN side < 0 THEN 1 ELSE 2 END, c0, 51 - c1, minr, trunc(51 - maxc), maxr, trunc(51 - minc) FROM s WHERE side <> 0),
+{steps}c AS ({counts}),
+settled AS (SELECT data_id, min(k) AS k FROM (SELECT data_id, k, n, lag(n) OVER (PARTITION BY data_id ORDER BY k) AS before FROM c) WHERE n = before GROUP BY data_id)
+SELECT data_id, node_id, round(c0, 9) AS centroid_0, round(c1, 9) AS centroid_1 FROM ({rows}) JOIN settled USING (data_id, k)"""
+
+
+@query(symmetrised_sql())
 def symmetrised(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All images' patterns mirrored about the middle of their boxes and merged until they settle."""
     rows = nodes(spark, sf_dir)
     rows = rows.withColumns({"specular_origin_1": F.lit(25.5), "intensity_centroid_1": F.col("centroid_1") - 25.5, "relative_centroid_1": F.col("centroid_1") - 25.5})
     found, _ = symmetry.symmetrised(rows)
-    return found.select("data_id", "node_id", F.round("centroid_0", 6).alias("centroid_0"), F.round("centroid_1", 6).alias("centroid_1"))
+    return found.select("data_id", "node_id", F.round("centroid_0", 9).alias("centroid_0"), F.round("centroid_1", 9).alias("centroid_1"))
 
 
 @query()

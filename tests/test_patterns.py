@@ -59,6 +59,33 @@ def test_overlap_with_and_without_cells(spark):
     assert {(r["a"], r["b"]) for r in pattern.overlapping(df, cell=5).collect()} == plain
     expected = {(a[1], b[1]) for a, b in itertools.product(data, data) if a[2] <= b[4] and b[2] <= a[4] and a[3] <= b[5] and b[3] <= a[5]}
     assert plain == expected
+    for cell, few in ((1, 0), (4, 0), (100, 0), (0.5, 59), (3, 60)):
+        rows = pattern.overlapping(df, cell, few).collect()
+        assert {(r["a"], r["b"]) for r in rows} == expected and len(rows) == len(expected)
+
+
+def test_overlap_of_boxes_of_all_sizes_is_found_once(spark):
+    rng = np.random.default_rng(4)
+    data = []
+    for image in "abc":
+        for i in range(300 if image == "a" else 20):
+            r, c = rng.uniform(-500, 500, 2)
+            h, w = 2.0 ** rng.uniform(-3, 9, 2)
+            data.append((image, i, r, c, r + h, c + w))
+    data += [("d", i, 1.0, 1.0, 1.0, 1.0) for i in range(80)] + [("d", 90, None, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame([tuple(x if x is None or isinstance(x, (str, int)) else float(x) for x in r) for r in data], "data_id string, seq bigint, minr double, minc double, maxr double, maxc double")
+    found = [tuple(r) for r in pattern.overlapping(df).collect()]
+    whole = [r for r in data if None not in r]
+    expected = {(a[0], a[1], b[1]) for a, b in itertools.product(whole, whole) if a[0] == b[0] and a[2] <= b[4] and b[2] <= a[4] and a[3] <= b[5] and b[3] <= a[5]}
+    assert set(found) == expected and len(found) == len(expected)
+
+
+def test_a_pass_over_cells_is_the_pass_over_all_pairs(spark):
+    rng = np.random.default_rng(9)
+    data = [node("a", i, *(int(x) for x in rng.integers(0, 90, 2)), 45) for i in range(150)]
+    df = spark.createDataFrame(data, NODE)
+    one, other = (sorted(map(tuple, symmetry.merge_pass(df, few).select("node_id", *symmetry.BOX).collect())) for few in (0, 1000))
+    assert one == other and len(one) < 150
 
 
 def test_normalised_columns(spark):
