@@ -12,8 +12,14 @@ _OWN: dict[str, str] = {}
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the session's checkpoint folder (in a temporary one only where none is set)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _OWN.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="spark-"))
+    """A new folder in the session's checkpoint folder. Only where none is set and Spark runs in one process, a temporary one
+    serves; elsewhere executors would not see it, and that is an error."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = _OWN.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="spark-"))
     return f"{root.rstrip('/')}/growth-{name}-{uuid.uuid4().hex}"
 
 

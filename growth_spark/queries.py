@@ -16,7 +16,7 @@ from .functions import time as times
 from .operators import align, laue, linking, ml, pattern, stats, symmetry
 from .plans import rollup
 from .plans.tables import folder
-from .sources import catalogue, files, graphs, series, spectra
+from .sources import catalogue, files, graphs, keywords, series, spectra
 from .streaming import chunk_store, frames, items
 from .streaming.poll import Poll
 
@@ -332,6 +332,20 @@ def search_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.search(entries(spark, sf_dir), keywords=["High", "urgent"], data_type="xps", status="success", growth_length=(50_000, 250_000), upload_datetime=(datetime.datetime(1996, 1, 1, tzinfo=datetime.UTC), None)).select("data_id")
 
 
+@query(f"WITH {_ENTRIES} SELECT data_id FROM e WHERE contains(lower(project_name), 'nation_12') OR owner ILIKE '%machin%'")
+def search_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyword that stands in the name of a nested project, and one in the owner's."""
+    return catalogue.search(entries(spark, sf_dir), keywords=["Nation_12", "MACHIN"]).select("data_id")
+
+
+@query(f"WITH {_ENTRIES} SELECT data_id, physical_sample_name FROM e WHERE physical_sample_name LIKE '%#000000042%' OR contains(lower(project_name), 'nation_12')")
+def keyword_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search through an index of blocks by sample: one sample's name, and the name of a project."""
+    path = folder(spark, "keywords")
+    keywords.build(entries(spark, sf_dir), path, "physical_sample_name", 2000)
+    return keywords.search(spark, path, ["#000000042", "Nation_12"]).select("data_id", "physical_sample_name")
+
+
 @query(f"WITH {_ENTRIES} SELECT data_id, owner FROM e WHERE project_id IN ('0', '2', '4', '6', '8', '10', '12', '14', '16', '18', '20', '22') AND physical_sample_id::BIGINT BETWEEN 1 AND 100 AND owner = 'BUILDING'")
 def search_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = catalogue.search(entries(spark, sf_dir), project_ids=list(range(0, 24, 2)), physical_sample_ids=range(1, 101), owner="BUILDING", include_organization_data=False)

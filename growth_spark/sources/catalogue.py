@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .keywords import any_keyword
+
 # Display names, columns that are dropped, display order.
 CATALOGUE_NAMES = {
     "data_id": "Data ID",
@@ -58,9 +60,10 @@ PROJECT_NAMES = {
 }
 PROJECT_DROP = ("owner_id", "detail_note")
 PROJECT_ORDER = ("Project ID", "Project Name", "Physical Sample Count", "Project Notes", "Project Notes Last Updated", "Last Updated", "Owner")
+# Columns of the summary of an entry without a reader.
 SUMMARY = ("raw_name", "pipeline_status", "raw_file_type", "upload_datetime", "last_accessed_datetime", "char_source_type", "physical_sample_id", "project_ids")
+# Types of data that a reader knows.
 KNOWN_TYPES = ("rheed_image", "rheed_stationary", "rheed_rotating", "rheed_xscan", "xps", "photoluminescence", "pl", "raman", "recipe", "metrology", "optical")
-STATUSES = ("success", "pending", "error", "running", "stream_active", "stream_interrupted", "stream_finalizing", "stream_error")
 
 CATALOGUE_SCHEMA = (
     "data_id string, raw_name string, char_source_type string, pipeline_status string, raw_file_type string, source_name string, sample_name string, "
@@ -146,7 +149,8 @@ def search(
     """Catalogue rows that pass all given filters, which Spark pushes into the scan.
 
     Bounds are inclusive and open where None; a set bound drops rows without a value. Keywords (any of them, whatever
-    their case, in any text column) apply to what the other filters leave.
+    their case, in any field, nested ones too) apply to what the other filters leave. Without the organisation's data only
+    rows of ``owner`` are left, who must be named.
     """
     for column, wanted in (("data_id", data_ids), ("physical_sample_id", physical_sample_ids)):
         if wanted is not None:
@@ -163,17 +167,11 @@ def search(
             df = df.filter(F.col(column) >= F.lit(low))
         if high is not None:
             df = df.filter(F.col(column) <= F.lit(high))
-    if not include_organization_data and owner is not None:
+    if not include_organization_data:
+        if owner is None:
+            raise ValueError("without the organisation's data an owner must be given")
         df = df.filter(F.col("name") == owner)
-    if keywords is not None:
-        words = [k.lower() for k in _listed(keywords)]
-        found = F.lit(False)
-        for column, kind in df.dtypes:
-            if kind == "string":
-                for word in words:
-                    found = found | F.coalesce(F.contains(F.lower(F.col(column)), F.lit(word)), F.lit(False))
-        df = df.filter(found)
-    return df
+    return df if keywords is None else df.filter(any_keyword(df, _listed(keywords)))
 
 
 def containing(df: DataFrame, column: str, *words: str) -> DataFrame:

@@ -10,6 +10,7 @@ from growth_spark.functions import chunks
 from growth_spark.operators import ml, stats
 from growth_spark.sources import catalogue, files, graphs, series, spectra
 from growth_spark.streaming import frames
+from growth_spark.sources import keywords
 from growth_spark.streaming.poll import Poll
 
 
@@ -33,6 +34,35 @@ def test_search_bounds_and_keywords(spark):
     assert [r["data_id"] for r in catalogue.search(df, keywords="ga_").collect()] == ["1"]
 
 
+def test_keywords_in_any_field(spark):
+    df = entry(spark, data_id="1", projects=[("p", "Growth of GaN")], tags=["Blue", None]).unionByName(entry(spark, data_id="2", growth_length=4711, projects=None)).unionByName(entry(spark, data_id="3", projects=[("q", None)], workspaces=[]))
+    found = lambda *words: sorted(r["data_id"] for r in catalogue.search(df, keywords=list(words)).collect())
+    assert found("gan") == ["1"] and found("BLUE") == ["1"] and found("471") == ["2"] and found("Q") == ["3"]
+    assert found("gan", "471") == ["1", "2"] and found("nowhere") == [] and found("") == ["1", "2", "3"] and found() == []
+    nested = spark.createDataFrame([(1, {"k": [("x", "Deep")]}, b"deep"), (2, None, None)], "i int, m map<string,array<struct<a:string,b:string>>>, raw binary")
+    assert [r["i"] for r in nested.filter(keywords.any_keyword(nested, ["DEE"])).collect()] == [1]
+    with pytest.raises(ValueError):
+        catalogue.search(df, include_organization_data=False)
+
+
+def test_the_index_reads_only_blocks_that_may_hold_a_keyword(spark, tmp_path):
+    rows = [(i, f"sample {i:05d}", [f"Tag{i % 7}", "common"], None if i % 3 else f"note {i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "i int, name string, tags array<string>, note string")
+    path = str(tmp_path / "index")
+    keywords.build(df, path, "name", 100)
+    for words in (["00042"], ["TAG3"], ["note 33", "e 01999"], ["9"], ["zzz"], ["common"], ["sample 00042", "sample 01234"]):
+        want = sorted(r["i"] for r in df.filter(keywords.any_keyword(df, words)).collect())
+        assert sorted(r["i"] for r in keywords.search(spark, path, words).collect()) == want, words
+    blocks = keywords.blocks_of(spark, path, ["sample 00042"])
+    assert 1 <= len(blocks) <= 3 and keywords.blocks_of(spark, path, ["zzz"]) == [] and keywords.blocks_of(spark, path, ["00042", "ab"]) is None
+    read = keywords.search(spark, path, "sample 00042").inputFiles()
+    assert 1 <= len({f.split("_block=")[1].split("/")[0] for f in read}) <= 20
+    plan = keywords.search(spark, path, "sample 00042")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_block" in plan or "PartitionFilters: [isnotnull(_block" in plan
+    keywords.build(df.limit(0), path, "name")
+    assert keywords.search(spark, path, "sample").count() == 0
+
+
 def test_rheed_payload(spark):
     schema = "data_id string, series_by_angle array<struct<angle double, series array<struct<time_seconds double, tar_metric double, spot_count bigint>>>>"
     df = spark.createDataFrame([("a", [(0.0, [(1.0, None, 3)]), (90.0, [(float("nan"), None, 4)])])], schema)
