@@ -58,10 +58,15 @@ def build(df: DataFrame, path: str, order: str, rows: int = BLOCK_ROWS) -> None:
     spark = df.sparkSession
     spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/schema")
     held = _rows(spark, path)
-    each = held.select("_block", F.explode(texts(held.drop("_block"))).alias("t")).distinct()
-    starts = F.when(F.length("t") >= GRAM, F.sequence(F.lit(1), F.length("t") - GRAM + 1)).otherwise(F.array().cast("array<int>"))
-    grams = each.select("_block", F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring("t", i, F.lit(GRAM))))).alias("gram")).distinct()
-    grams.repartitionByRange("gram").sortWithinPartitions("gram", "_block").write.mode("overwrite").parquet(f"{path}/grams")
+
+    def grams(text: Column) -> Column:
+        starts = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - GRAM + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substring(text, i, F.lit(GRAM)))
+
+    # A block lies in one file, so most repeats go before the shuffle.
+    own = F.array_distinct(F.flatten(F.transform(texts(held.drop("_block")), grams)))
+    index = held.select("_block", F.explode(own).alias("gram")).distinct()
+    index.repartitionByRange("gram").sortWithinPartitions("gram", "_block").write.mode("overwrite").parquet(f"{path}/grams")
 
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:
