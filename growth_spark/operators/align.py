@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact
 from ..functions.time import TIME_METRICS, bin_start, item_times, midnight, sample_time
-from ..plans.segments import MOST, cuts, in_blocks, medians
+from ..plans.segments import MOST, cuts, in_blocks, largest, medians
 from ..plans.tables import cut
 from ..sources.series import long, numeric_columns
 
@@ -29,11 +29,11 @@ def first_at_each_time(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_first", F.min("seq").over(each)).filter(F.col("seq") == F.col("_first")).drop("_first")
 
 
-def gaps(rows: DataFrame, most: int = MOST) -> DataFrame:
+def gaps(rows: DataFrame, most: int = MOST, known: int | None = None) -> DataFrame:
     """Microseconds from each time of an item to the one before. Items of more than ``most`` rows are cut into blocks of time:
     gaps within blocks, and those from a block to the next, of one row a block."""
     times = rows.select(*ITEM, "time_us").distinct()
-    at = cuts(rows, ITEM, "time_us", most)
+    at = cuts(rows, ITEM, "time_us", most, known)
     if not at:
         order = Window.partitionBy(*ITEM).orderBy("time_us")
         return times.withColumn("gap", F.col("time_us") - F.lag("time_us").over(order)).filter("gap IS NOT NULL")
@@ -51,7 +51,8 @@ def step(rows: DataFrame, most: int = MOST) -> DataFrame:
 
     Both medians are exact; neither an item nor the table of all items' medians is gathered in one task beyond ``most``
     rows."""
-    middle = medians(medians(gaps(rows, most), ITEM, "gap", most), [], "m", most)
+    longest, items = largest(rows, ITEM)
+    middle = medians(medians(gaps(rows, most, longest), ITEM, "gap", most, longest), [], "m", most, items)
     found = middle.agg(F.max("m").alias("m"))  # one row, also without any gap
     span = rows.agg((F.max("time_us") - F.min("time_us")).alias("span"))
     floor_ = F.greatest(F.col("m"), F.lit(float(LEAST_STEP)))

@@ -18,13 +18,20 @@ MOST = 1 << 20
 BUCKETS = 1024
 
 
-def cuts(df: DataFrame, keys: list[str], time: str, most: int = MOST) -> list[float]:
-    """Times between blocks of about ``most`` rows of the groups that have more; none where no group has."""
+def largest(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the largest group, and the number of groups: one row from counts that are partial before the shuffle."""
+    found = df.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n"), F.count("*")).first()
+    return found[0] or 0, found[1]
+
+
+def cuts(df: DataFrame, keys: list[str], time: str, most: int = MOST, known: int | None = None) -> list[float]:
+    """Times between blocks of about ``most`` rows of the groups that have more; none where no group has. ``known`` is the
+    number of rows of the largest group, where the caller has it."""
+    if (largest(df, keys)[0] if known is None else known) <= most:
+        return []
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     large = sizes.filter(F.col("_n") > most)
     total = large.agg(F.sum("_n")).first()[0]
-    if not total:
-        return []
     same = [F.col(k).eqNullSafe(F.col(f"_own_{k}")) for k in keys]
     rows = df.join(large.select(*(F.col(k).alias(f"_own_{k}") for k in keys)), same, "left_semi").select(F.col(time).cast("double").alias("_t"))
     parts = -(-total // most)
@@ -44,14 +51,19 @@ def _picked(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     return middle.groupBy(*keys).agg(F.min(value).alias("_a"), F.max(value).alias("_b")).select(*keys, ((F.col("_a") + F.col("_b")) / 2).cast("double").alias("m"))
 
 
-def medians(df: DataFrame, keys: list[str], value: str, most: int = MOST) -> DataFrame:
-    """(keys, m): the exact median of each group's non-null values, of all values where ``keys`` are none.
+def medians(df: DataFrame, keys: list[str], value: str, most: int = MOST, known: int | None = None) -> DataFrame:
+    """(keys, m): the exact median of each group's non-null values, of all values where ``keys`` are none. ``known`` is a number
+    of rows that no group passes, where the caller has one; if it is small, sorting is all there is to do.
 
     Groups of up to ``most`` values are sorted. Of larger ones the interval that holds the middle is narrowed in rounds: counts
     by bucket (partial before the shuffle) tell the bucket of the middle, and its least and greatest value bound the next
     round, until at most ``most`` values or a single one is left. So no task gets more of a group than that.
     """
-    rows = cut(df.filter(F.col(value).isNotNull()).select(*keys, value), "values")
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
+    if known is not None and known <= most:
+        counted = rows.withColumns({"_n": F.count("*").over(Window.partitionBy(*keys)), "_before": F.lit(0).cast("bigint")})
+        return _picked(counted, keys, value).filter("m IS NOT NULL")
+    rows = cut(rows, "values")
     bounds = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi")).filter("_n > 0")
     bounds = cut(bounds.withColumns({"_before": F.lit(0).cast("bigint"), "_left": F.col("_n")}), "bounds")
     open_ = (F.col("_left") > most) & (F.col("_lo") < F.col("_hi"))
