@@ -1,3 +1,4 @@
+import random
 from datetime import UTC, datetime
 
 import pytest
@@ -168,3 +169,27 @@ def test_medians_and_interpolation_of_a_long_signal(spark):
     dense = rows.select(F.lit("s").alias("signal"), F.col("seq").alias("bin_us"), F.when(F.col("seq") % 100 == 0, F.col("seq").cast("double")).alias("value"))
     filled = align.interpolate(dense, ["signal"], 99)
     assert filled.filter("bin_us < 199900 AND abs(value - bin_us) < 0.000001").count() == 199_900  # linear in time: seconds, not hours
+
+
+def test_a_large_dense_grid_is_not_broadcast(spark):
+    """Null bins take no room in a file, so the size of the means' file says nothing of their number."""
+    df = rows(spark, [r for k in range(40) for r in item(f"i{k}", k, [(0, 1.0), (1, 2.0), (2000, 3.0 + k)])])
+    made = align.align(df, dense=True)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan and "leftHint" not in plan
+    values = {(r["data_id"], r["bin_us"]): r["value"] for r in made.collect()}
+    bins = sorted({b for _, b in values})
+    assert len(bins) == len(values) / 40 and values["i3", bins[-1]] == 6.0 and sum(v is not None for v in values.values()) == 40 * 2
+
+
+@pytest.mark.parametrize("limit", [1, 4, 2000])
+def test_grids_unfolded_from_means_are_interpolated_dense_ones(spark, limit):
+    rng = random.Random(3)
+    means = [(name, t * 10, None if rng.random() < empty else rng.random()) for name, empty in (("a", 0.2), ("none", 1.0), (None, 0.5), ("late", 0.1)) for t in sorted(rng.sample(range(600 if name == "late" else 0, 900), 90))]
+    df = spark.createDataFrame(means, "signal string, bin_us bigint, value double").repartition(4)
+    one = spark.createDataFrame([(0, 0, 8990, 10)], "origin_us bigint, first_us bigint, last_us bigint, step_us bigint")
+    known = {(s, b): v for s, b, v in means}
+    dense = spark.createDataFrame([(s, b, known.get((s, b))) for s in {m[0] for m in means} for b in range(0, 9000, 10)], df.schema)
+    want = sorted(map(tuple, align.interpolate(dense, ["signal"], limit).collect()), key=repr)
+    for most in (1 << 20, 16):
+        assert sorted(map(tuple, align.on_grid(df, df, one, ["signal"], limit, most).collect()), key=repr) == want
