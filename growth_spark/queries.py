@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions import chunks, geometry, masks
+from .functions import chunks, geometry, masks, text
 from .functions import time as times
 from .operators import align, laue, linking, ml, pattern, stats, symmetry
 from .plans import rollup
@@ -359,7 +359,7 @@ def samples_display(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").cast("string").alias("id"),
         F.col("c_name").alias("name"),
         F.struct(F.col("c_mktsegment").alias("substrate"), F.lit("s").alias("sample_name"), F.lit(1).alias("other")).alias("target_material"),
-        F.struct(F.format_string("%s", F.round("c_acctbal", 2)).alias("content"), F.lit("NaT").alias("last_updated")).alias("detail_notes"),
+        F.struct(text.two_places(F.col("c_acctbal")).alias("content"), F.lit("NaT").alias("last_updated")).alias("detail_notes"),
         F.array(F.struct(F.col("c_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"))).alias("projects"),
         F.lit(1).alias("version"),
     )

@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from growth_spark import queries
 from growth_spark.functions import chunks
 from growth_spark.operators import ml, stats
 from growth_spark.sources import catalogue, files, graphs, series, spectra
@@ -220,3 +221,17 @@ def test_poll_gives_the_last_rows_of_each_item(spark):
     assert out == [one[:3], one, one, [("a", 3), ("a", 9), ("b", 1), ("b", 2)]]
     with pytest.raises(ValueError):
         Poll(print, last_n=2)
+
+
+def test_notes_of_samples_are_the_sql_texts(spark, tmp_path):
+    import duckdb
+
+    values = [0.0, -0.0, -0.001, 0.004, 2.675, 1.005, -1.005, 0.29, 0.285, -999.99, 9999.5, 12345678.5, -1234567890.25, 9e14, 1e16, -1.5e300, float("inf"), float("-inf"), float("nan"), None, 0.125, 4516.955]
+    spark.createDataFrame([(i, f"c{i}", 0, v, "m") for i, v in enumerate(values)], "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(0, "n", 0)], "n_nationkey int, n_name string, n_regionkey int").coalesce(1).write.parquet(f"{tmp_path}/nation.parquet")
+    con = duckdb.connect()
+    for name in ("customer", "nation"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = sorted(con.execute(f'SELECT "Physical Sample ID", "Sample Notes" FROM ({queries.ORACLE_SQL["samples_display"]})').fetchall())
+    found = queries.QUERIES["samples_display"](spark, str(tmp_path)).select("Physical Sample ID", "Sample Notes").collect()
+    assert sorted(map(tuple, found)) == want
