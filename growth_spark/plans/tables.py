@@ -30,6 +30,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a partition, where a task sorts or hashes all of its rows.
+EACH = 1 << 19
+
+
+def dealt(df: DataFrame, keys: list[str], rows: int, each: int = EACH) -> DataFrame:
+    """``df`` dealt out by ``keys`` to partitions of about ``each`` rows, where the session's number of partitions would make them
+    larger; so a task's memory does not grow with the table. ``rows`` is about the number of rows."""
+    n = -(-rows // each)
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*keys)
+
+
 def components(pairs: DataFrame, name: str) -> DataFrame:
     """(node, root) of every node in ``pairs`` (a, b): the smallest node that it reaches.
 

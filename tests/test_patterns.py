@@ -252,3 +252,15 @@ def test_positions_sizes_and_keys_of_a_collection(spark):
     assert pattern.length(images) == 5 and pattern.length(images.limit(0)) == 0
     assert tuple(pattern.largest_size(images).first()) == ("c", 14, 30)
     assert sorted(r["key"] for r in pattern.extra_keys(images).collect()) == ["a", "k0", "k1"]
+
+
+def test_tasks_of_masks_and_edges_do_not_grow_with_the_table(spark):
+    """Partitions are as many as the rows ask for, and pairs are not hashed again behind the join."""
+    runs = spark.range(400).select(F.col("id").alias("data_id"), F.lit(3).alias("start"), F.lit(12).alias("end"), F.lit(8).alias("mask_height"), F.lit(8).alias("mask_width"), F.lit(4).alias("origin"))
+    small = masks.reflect(runs, ["data_id"], "origin", each=50)
+    assert small.rdd.getNumPartitions() == 16 and sorted(small.collect()) == sorted(masks.reflect(runs, ["data_id"], "origin").collect())
+    nodes = spark.range(400).select(F.floor(F.col("id") / 4).alias("data_id"), (F.col("id") % 4 % 3).alias("node_id"), *[F.lit(1.0).alias(c) for c in ("centroid_0", "centroid_1")], F.lit(1).alias("bbox_minc"), F.lit(4).alias("bbox_maxc"))
+    found = pattern.edges(nodes, each=50)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate") and "Repartition" in plan
+    assert found.rdd.getNumPartitions() == 8 and sorted((r["data_id"], r["start_node"], r["end_node"]) for r in found.collect()) == [(d, a, b) for d in range(100) for a, b in ((0, 1), (0, 2), (1, 2))]
