@@ -7,11 +7,12 @@ it ended and nothing of an item passes the driver. Rows of an item in one batch
 
 from __future__ import annotations
 
+import itertools
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -19,6 +20,8 @@ if TYPE_CHECKING:
     import pandas as pd
 
 POLL = "poll"
+#: Rows of an item that are taken in at a time.
+PART = 4096
 
 
 def session(spark: SparkSession) -> SparkSession:
@@ -30,18 +33,19 @@ def session(spark: SparkSession) -> SparkSession:
     return own
 
 
-def _plain(rows: pd.DataFrame) -> list[tuple]:
-    """Rows as Python's values, which the state takes; missing values as None."""
-    import pandas as pd
+def _missing(x: object) -> bool:
+    return x is None or (isinstance(x, float) and x != x)
+
+
+def _plain(values: Iterable) -> tuple:
+    """Values as the state and keys take them; missing ones as None."""
+    return tuple(None if _missing(x) else x for x in values)
 
-    def value(x: object) -> object:
-        if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
-            return None
-        if isinstance(x, pd.Timestamp):
-            return x.to_pydatetime()
-        return x.item() if hasattr(x, "item") else x
 
-    return [tuple(map(value, r)) for r in rows.itertuples(index=False, name=None)]
+def _place(columns: list[str], order: list[str]) -> Callable[[tuple], tuple]:
+    """The key by which rows are sorted; missing values come last."""
+    at = [columns.index(c) for c in order]
+    return lambda row: tuple((True, 0) if _missing(row[i]) else (False, row[i]) for i in at)
 
 
 class LastRows(StatefulProcessor):
@@ -54,27 +58,30 @@ class LastRows(StatefulProcessor):
         self.kept = handle.getListState("kept", self.schema)
         self.said = handle.getValueState("said", "emitted string, polls bigint, done boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        import pandas as pd
-
-        emitted, polls, done = self.said.get() if self.said.exists() else (None, 0, False)
-        ring = pd.DataFrame(list(self.kept.get()) if self.kept.exists() else [], columns=self.schema.names)
-        for part in rows:  # never more than the last rows and one part at a time
-            both = part if ring.empty else pd.concat([ring.astype(object), part.astype(object)], ignore_index=True)
-            ring = both.sort_values(self.order, kind="stable").tail(self.last_n)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        emitted, polls, done = self.said.get() or (None, 0, False)
+        ring, place = list(map(tuple, self.kept.get())) if polls else [], _place(self.schema.names, self.order)
+        while part := list(itertools.islice(rows, PART)):  # never more than the last rows and one part at a time
+            ring = sorted([*ring, *map(tuple, part)], key=place)[-self.last_n :]
         if done:
             return
         polls += 1
-        found = None if self.distinct_by is None else json.dumps(self.distinct_by(ring), default=str)
+        frame = None
+        if self.distinct_by or self.until:
+            import pandas as pd
+
+            frame = pd.DataFrame(ring, columns=self.schema.names)
+        found = None if self.distinct_by is None else json.dumps(self.distinct_by(frame), default=str)
         passes = self.distinct_by is None or found != emitted
         if passes:
             emitted = found
-            done = bool(self.until and self.until(ring))
+            done = bool(self.until and self.until(frame))
         done = done or (self.max_polls is not None and polls >= self.max_polls)
-        self.kept.put(_plain(ring))
+        self.kept.put([_plain(r) for r in ring])
         self.said.update((emitted, polls, done))
         if passes:
-            yield ring.assign(**{POLL: polls})
+            named = Row(*self.schema.names, POLL)
+            yield from (named(*r, polls) for r in ring)
 
     def close(self) -> None:
         pass
@@ -83,22 +90,22 @@ class LastRows(StatefulProcessor):
 class Changes(StatefulProcessor):
     """An item's rows whose key is not that of the row emitted or passed over last."""
 
-    def __init__(self, order: list[str], by: list[str]) -> None:
-        self.order, self.by = order, by
+    def __init__(self, columns: list[str], order: list[str], by: list[str]) -> None:
+        self.columns, self.order, self.by = columns, order, by
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "key string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        import pandas as pd
-
-        last = self.last.get()[0] if self.last.exists() else None
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
-        keys = pd.Series([json.dumps(k, default=str) for k in _plain(batch[self.by])], index=batch.index)
-        before = keys.shift(1)
-        before.iloc[0] = last
-        self.last.update((keys.iloc[-1],))
-        yield batch[keys != before]
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        state = self.last.get()
+        before = last = state[0] if state else None
+        at = [self.columns.index(c) for c in self.by]
+        for row in sorted(rows, key=_place(self.columns, self.order)):
+            last = json.dumps(_plain(row[i] for i in at), default=str)
+            if last != before:
+                yield row
+            before = last
+        self.last.update((last,))
 
     def close(self) -> None:
         pass
@@ -116,10 +123,10 @@ def follow(stream: DataFrame, item: list[str], order: list[str], last_n: int, *,
     if max_polls is not None and max_polls < 1:
         raise ValueError("max_polls must be at least 1")
     out = StructType([*stream.schema.fields, StructField(POLL, LongType())])
-    return stream.groupBy(*item).transformWithStateInPandas(LastRows(stream.schema, order, last_n, distinct_by, until, max_polls), out, "Update", "None")
+    return stream.groupBy(*item).transformWithState(LastRows(stream.schema, order, last_n, distinct_by, until, max_polls), out, "Update", "None")
 
 
 def changes(stream: DataFrame, item: list[str], order: list[str], by: list[str]) -> DataFrame:
     """Rows whose key ``by`` is not that of the row before of their item, over all batches. Within a batch rows go by
     ``order``; batches go as they come."""
-    return stream.groupBy(*item).transformWithStateInPandas(Changes(order, by), stream.schema, "Update", "None")
+    return stream.groupBy(*item).transformWithState(Changes(stream.schema.names, order, by), stream.schema, "Update", "None")
