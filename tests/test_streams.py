@@ -151,3 +151,22 @@ def test_a_stream_numbers_its_chunks_and_ends_at_the_first_fault(spark, tmp_path
     with pytest.raises(Exception, match="two or three dimensions"):
         go()
     assert len(kept(store)) == 5
+
+
+def test_an_item_needs_no_data_frame():
+    """Rows come and go as rows: a frame for each item and poll takes longer than all else."""
+    from pyspark.sql import Row
+
+    class State:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    found = items.Changes(["t", "k"], ["t"], ["k"])
+    found.last = State()
+    assert [r.t for r in found.handleInputRows(None, iter([Row(t=3, k="b"), Row(t=1, k="a"), Row(t=None, k=None), Row(t=2, k="a")]), None)] == [1, 3, None]
+    assert [r.t for r in found.handleInputRows(None, iter([Row(t=5, k=None), Row(t=6, k="b")]), None)] == [6]
