@@ -83,3 +83,14 @@ def means(df: DataFrame, keys: list[str], exps: list[int], value: str = "value")
     ``exps`` come from ``exponents`` of ``df`` or of rows that hold its values.
     """
     return df.groupBy(*keys).agg(*sums(value, exps, "_x")).select(*keys, mean(exps, "_x").alias(value))
+
+
+def rounded(x: Column, places: int) -> Column:
+    """A double rounded as SQL engines do: scaled, halves of the scaled double away from zero, scaled back. Spark's own rounding
+    judges the shortest decimal that stands for the double, which near a half may be another."""
+    scale = float(10**places)
+    size = F.abs(x) * scale
+    whole = F.floor(size)
+    near = F.signum(x) * (whole + F.when(size - whole >= 0.5, 1).otherwise(0)).cast("double") / scale
+    # From 2**52 on a double has no fraction; so have those that are no number.
+    return F.when(size < 2.0**52, near).otherwise(x)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions import chunks, geometry, masks, text
+from .functions import chunks, exact, geometry, masks, text
 from .functions import time as times
 from .operators import align, laue, linking, ml, pattern, stats, symmetry
 from .plans import rollup
@@ -726,7 +726,7 @@ def symmetrised(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = nodes(spark, sf_dir)
     rows = rows.withColumns({"specular_origin_1": F.lit(25.5), "intensity_centroid_1": F.col("centroid_1") - 25.5, "relative_centroid_1": F.col("centroid_1") - 25.5})
     found, _ = symmetry.symmetrised(rows)
-    return found.select("data_id", "node_id", F.round("centroid_0", 9).alias("centroid_0"), F.round("centroid_1", 9).alias("centroid_1"))
+    return found.select("data_id", "node_id", *(exact.rounded(F.col(c), 9).alias(c) for c in ("centroid_0", "centroid_1")))
 
 
 @query()

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from growth_spark import queries
 from growth_spark.functions import masks
 from growth_spark.operators import laue, linking, pattern, stats, symmetry
 from growth_spark.plans import tables
@@ -264,3 +265,15 @@ def test_tasks_of_masks_and_edges_do_not_grow_with_the_table(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Aggregate") and "Repartition" in plan
     assert found.rdd.getNumPartitions() == 8 and sorted((r["data_id"], r["start_node"], r["end_node"]) for r in found.collect()) == [(d, a, b) for d in range(100) for a, b in ((0, 1), (0, 2), (1, 2))]
+
+
+def test_symmetrised_rounds_as_its_sql(spark, tmp_path):
+    """Centres whose ninth digit is a half, or next to one, in the double or in its shortest decimal only."""
+    duckdb = pytest.importorskip("duckdb")
+    values = [25942.427187499998, 8569.5909375, 68140.5739375, 89715.232187499999, 29457.375312499998, 1.0, 0.0]
+    lines = pd.DataFrame({"l_orderkey": range(len(values)), "l_linenumber": 1, "l_partkey": 1, "l_quantity": 5.0, "l_extendedprice": values, "l_discount": 0.1, "l_tax": 0.1})
+    lines.to_parquet(tmp_path / "lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet')")
+    found = queries.QUERIES["symmetrised"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found)) == sorted(con.execute(queries.ORACLE_SQL["symmetrised"]).fetchall())
