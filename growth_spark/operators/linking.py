@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..plans import tables
 
+#: Points of a collection, and of one of its images, up to which one task follows the collection as it is.
+WHOLE, IMAGE = 1 << 16, 256
+RESULT = ["collection_id", "data_id", "node_id"]
+
 
 def assign(cost: np.ndarray) -> list[tuple[int, int]]:
     """Pairs (row, column) of least total cost, one for each row; at least as many columns as rows.
@@ -140,16 +147,74 @@ def candidates(points: DataFrame, memory: int = 1) -> DataFrame:
     return both.filter((F.col("x") - F.col("xb")) ** 2 + (F.col("y") - F.col("yb")) ** 2 <= F.col("reach") ** 2).select(F.col("point").alias("a"), "b")
 
 
-def linked(nodes: DataFrame) -> DataFrame:
+def followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Points (root, frame, placed, point, x, y, reach) of whole collections, sorted by root, frame and place in the image, with the
+    numbers of their tracks instead.
+
+    Tracks are numbered as they begin. Only those of the last images and an image that may go on in the next batch are held.
+    """
+    rest, root, known, numbers, count = None, None, {}, {}, 0
+    for batch in itertools.chain(batches, [None]):
+        rows = pa.concat_tables([t for t in (rest, None if batch is None else pa.Table.from_batches([batch])) if t is not None] or [pa.table({})])
+        if not rows.num_rows:
+            continue
+        roots, frames, placed, points, x, y, reach = (rows[c].to_numpy() for c in ("root", "frame", "placed", "point", "x", "y", "reach"))
+        xy = np.stack([x, y], axis=1)
+        ends = (np.flatnonzero((np.diff(roots) != 0) | (np.diff(frames) != 0)) + 1).tolist()
+        ends = ends if batch is not None else [*ends, len(roots)]
+        done = ends[-1] if ends else 0
+        found = np.empty(done, np.int64)
+        for a, b in itertools.pairwise([0, *ends]):
+            if roots[a] != root:
+                root, known, numbers, count = roots[a], {}, {}, 0
+            starts, there = points[a:b].copy(), placed[a:b]
+            if there.any():
+                starts[there], known = follow(known, int(frames[a]), points[a:b][there], xy[a:b][there], float(reach[a]))
+            for k, (point, start) in enumerate(zip(points[a:b].tolist(), starts.tolist(), strict=True), a):
+                if point == start:
+                    count += 1
+                    numbers[start] = count
+                found[k] = numbers[start]
+            numbers = {t: numbers[t] for t in known}
+        rest = rows.slice(done)
+        yield from rows.slice(0, done).select(RESULT).append_column("linked_id", pa.array(found)).to_batches()
+
+
+def linked_whole(points: DataFrame, rows: int) -> DataFrame:
+    """``linked`` of collections that are small enough to be followed each in one task: dealt out once, and nothing is joined."""
+    placed = F.col("frame").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull()
+    order = ["frame", "seq", "point"]
+    # Any number that tells a collection from the next one serves: that of its first point, whatever the collection's own id is.
+    root = F.first("point").over(Window.partitionBy("collection_id").orderBy(*order))
+    dealt = tables.dealt(points, ["collection_id"], rows).withColumns({"root": root, "placed": placed}).sortWithinPartitions("collection_id", *order)
+    ready = dealt.select(*RESULT, "root", F.coalesce(F.col("frame").cast("bigint"), F.lit(-(1 << 63))).alias("frame"), "placed", "point", "x", "y", F.coalesce("reach", F.lit(math.nan)).alias("reach"))
+    schema = StructType([*(points.schema[c] for c in RESULT), StructField("linked_id", LongType())])
+    return ready.mapInArrow(followed, schema)
+
+
+def linked(nodes: DataFrame, whole: int = WHOLE, image: int = IMAGE) -> DataFrame:
     """(collection_id, data_id, node_id, linked_id) of nodes (collection_id, data_id, node_id, seq, frame, x, y, reach).
 
     ``reach`` is the largest image's diagonal times the search range, computed by the caller, one for each collection.
-    Connected groups of candidates are followed in parallel, the images of one in order and two at a time, so neither a
-    large collection nor a long track is gathered. Linked ids number the tracks of a collection by their first image and
-    ``seq``, from 1, as node 0 is reserved. Points without a position are tracks of their own.
+    Linked ids number the tracks of a collection by their first image and ``seq``, from 1, as node 0 is reserved. Points without
+    a position are tracks of their own. A collection of up to ``whole`` points, and ``image`` in each image, is followed in one
+    task; a larger one by connected groups of candidates.
     """
     columns = ["collection_id", "data_id", "node_id", "seq", "frame", F.col("x").cast("double"), F.col("y").cast("double"), F.col("reach").cast("double")]
     points = tables.cut(nodes.select(*columns).withColumn("point", F.monotonically_increasing_id()), "points")
+    sizes = points.groupBy("collection_id", "frame").agg(F.count("*").alias("n")).groupBy(F.col("collection_id").alias("_large")).agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+    large = tables.cut(sizes.filter((F.col("n") > whole) | (F.col("most") > image)).select("_large"), "large")
+    rows = points.count()
+    if large.isEmpty():
+        return linked_whole(points, rows)
+    own = F.col("collection_id").eqNullSafe(F.col("_large"))
+    by_groups = linked_by_groups(tables.cut(points.join(large, own, "left_semi"), "points"))
+    return linked_whole(points.join(large, own, "left_anti"), rows).unionByName(by_groups)
+
+
+def linked_by_groups(points: DataFrame) -> DataFrame:
+    """``linked`` of points of collections of any size: connected groups of candidates are followed in parallel, the images of
+    one in order and two at a time, so neither a large collection nor a long track is gathered."""
     roots = tables.components(candidates(points), "links")
     ready = points.join(roots.withColumnRenamed("node", "point"), "point").select("root", "frame", "seq", "point", "x", "y", "reach")
     starts = ready.repartition("root").sortWithinPartitions("root", "frame", "seq", "point").drop("seq").mapInPandas(tracked, "point bigint, start bigint")

@@ -1,4 +1,5 @@
 import itertools
+import math
 
 import numpy as np
 import pandas as pd
@@ -277,3 +278,15 @@ def test_symmetrised_rounds_as_its_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet')")
     found = queries.QUERIES["symmetrised"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, found)) == sorted(con.execute(queries.ORACLE_SQL["symmetrised"]).fetchall())
+
+
+def test_small_collections_are_linked_without_joins(spark, monkeypatch):
+    """The numbers are those of the way by groups of candidates; rows without an image, a place or a collection have theirs."""
+    rng = np.random.default_rng(5)
+    rows = [(c, f"{c}-{f}", i, i % 3, f, *map(float, rng.random(2) * 8), 1.5) for c in ("a", "b", None) for f in range(12) for i in range(int(rng.integers(1, 7)))]
+    rows += [(c, f"{c}-{f}", 9, 1, f, *at, 1.5) for c in ("a", None) for f, at in ((3, (None, 1.0)), (4, (math.nan, 1.0)), (None, (2.0, 2.0)))] + [("c", "c-0", 0, 0, 0, 1.0, 1.0, None), ("c", "c-1", 0, 0, 1, 1.0, 1.0, None)]
+    nodes = spark.createDataFrame(rows, "collection_id string, data_id string, node_id bigint, seq int, frame int, x double, y double, reach double").coalesce(1)
+    by_groups = sorted(linking.linked(nodes, whole=0).collect(), key=str)
+    mixed = sorted(linking.linked(nodes, whole=50, image=6).collect(), key=str)
+    monkeypatch.setattr(tables, "components", lambda *_: pytest.fail("candidates are joined"))
+    assert sorted(linking.linked(nodes).collect(), key=str) == by_groups == mixed and len(by_groups) == len(rows)
