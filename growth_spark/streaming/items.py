@@ -2,17 +2,19 @@
 
 One stream holds any number of items. A micro-batch is a poll of every item that has new rows in it; an item's state is its
 last rows and the key emitted last, kept by Spark in its state store and checkpointed with the query, so a restart goes on where
-it ended and nothing of an item passes the driver. Rows of an item in one batch are bounded by the source's limit a trigger.
+it ended and nothing of an item passes the driver. Rows of an item, or of a bucket of items, in one batch are bounded by the
+source's limit a trigger.
 """
 
 from __future__ import annotations
 
 import itertools
 import json
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -22,6 +24,8 @@ if TYPE_CHECKING:
 POLL = "poll"
 #: Rows of an item that are taken in at a time.
 PART = 4096
+#: Column with, and number of, the buckets of items that share a state.
+BUCKET, BUCKETS = "_bucket", 1024
 
 
 def session(spark: SparkSession) -> SparkSession:
@@ -88,24 +92,29 @@ class LastRows(StatefulProcessor):
 
 
 class Changes(StatefulProcessor):
-    """An item's rows whose key is not that of the row emitted or passed over last."""
+    """Rows of a bucket's items whose key is not that of the row of their item that was emitted or passed over last.
 
-    def __init__(self, columns: list[str], order: list[str], by: list[str]) -> None:
-        self.columns, self.order, self.by = columns, order, by
+    The state is one value for all items of the bucket, read and written once a batch: calls to the state store cost more than the
+    rows of an ordinary item.
+    """
+
+    def __init__(self, columns: list[str], order: list[str], by: list[str], item: Sequence[str] = ()) -> None:
+        self.columns, self.order, self.by, self.item = columns, order, by, item
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "key string")
+        self.last = handle.getValueState("last", "keys string")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         state = self.last.get()
-        before = last = state[0] if state else None
-        at = [self.columns.index(c) for c in self.by]
+        keys: dict[str, str] = json.loads(state[0]) if state else {}
+        own, at = ([self.columns.index(c) for c in names] for names in (self.item, self.by))
         for row in sorted(rows, key=_place(self.columns, self.order)):
-            last = json.dumps(_plain(row[i] for i in at), default=str)
-            if last != before:
+            name = json.dumps([row[i] for i in own], default=str)
+            found = json.dumps(_plain(row[i] for i in at), default=str)
+            if keys.get(name) != found:
                 yield row
-            before = last
-        self.last.update((last,))
+            keys[name] = found
+        self.last.update((json.dumps(keys),))
 
     def close(self) -> None:
         pass
@@ -126,7 +135,8 @@ def follow(stream: DataFrame, item: list[str], order: list[str], last_n: int, *,
     return stream.groupBy(*item).transformWithState(LastRows(stream.schema, order, last_n, distinct_by, until, max_polls), out, "Update", "None")
 
 
-def changes(stream: DataFrame, item: list[str], order: list[str], by: list[str]) -> DataFrame:
+def changes(stream: DataFrame, item: list[str], order: list[str], by: list[str], buckets: int = BUCKETS) -> DataFrame:
     """Rows whose key ``by`` is not that of the row before of their item, over all batches. Within a batch rows go by
-    ``order``; batches go as they come."""
-    return stream.groupBy(*item).transformWithState(Changes(stream.schema.names, order, by), stream.schema, "Update", "None")
+    ``order``; batches go as they come. Items are kept together in ``buckets`` of state, a number that a query's checkpoint fixes."""
+    dealt = stream.withColumn(BUCKET, F.pmod(F.xxhash64(*item), F.lit(buckets)))
+    return dealt.groupBy(BUCKET).transformWithState(Changes(dealt.schema.names, order, by, item), dealt.schema, "Update", "None").drop(BUCKET)

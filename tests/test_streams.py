@@ -170,3 +170,28 @@ def test_an_item_needs_no_data_frame():
     found.last = State()
     assert [r.t for r in found.handleInputRows(None, iter([Row(t=3, k="b"), Row(t=1, k="a"), Row(t=None, k=None), Row(t=2, k="a")]), None)] == [1, 3, None]
     assert [r.t for r in found.handleInputRows(None, iter([Row(t=5, k=None), Row(t=6, k="b")]), None)] == [6]
+
+
+def test_the_items_of_a_bucket_share_one_state():
+    """One call to read and one to write serve all items of a batch; each item is compared with its own rows."""
+    from pyspark.sql import Row
+
+    calls = []
+
+    class State:
+        value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+    found = items.Changes(["user", "t", "k"], ["t"], ["k"], ["user"])
+    found.last = State()
+    go = lambda *rows: [tuple(r) for r in found.handleInputRows(None, iter([Row(user=u, t=t, k=k) for u, t, k in rows]), None)]
+    assert go(("a", 2, "x"), ("b", 1, "x"), ("a", 3, "x"), (None, 4, "x")) == [("b", 1, "x"), ("a", 2, "x"), (None, 4, "x")]
+    assert go(("b", 5, "y"), ("a", 6, "x"), (None, 7, "x"), ("c", 8, "x")) == [("b", 5, "y"), ("c", 8, "x")]
+    assert calls == ["get", "update"] * 2
