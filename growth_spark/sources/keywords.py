@@ -10,6 +10,10 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StructTy
 
 #: Characters of a gram, and rows of a block.
 GRAM, BLOCK_ROWS = 3, 50_000
+#: Rows that a task sorts and cuts into blocks: tasks, and samples of the order, are as many as these ask for and not as the blocks.
+TASK_ROWS = 1 << 17
+#: Folders of a block: Spark lists those of the first level in a task each.
+PLACE = ("_part", "_block")
 
 
 def _texts(value: Column, kind: DataType) -> Column:
@@ -49,12 +53,16 @@ def any_keyword(df: DataFrame, words: list[str]) -> Column:
 def build(df: DataFrame, path: str, order: str, rows: int = BLOCK_ROWS) -> None:
     """``df`` written to ``path`` in blocks of about ``rows`` rows in ``order``, with the grams that each block holds.
 
-    Rows that are alike in ``order`` lie together, so names, samples and times that a keyword picks are in few blocks. The
-    index has a row for each gram of a block, sorted by gram, so that a search reads the row groups of its grams only.
+    Rows that are alike in ``order`` lie together, so names, samples and times that a keyword picks are in few blocks. A block is
+    numbered by the place of its first row. The index has a row for each gram of a block, sorted by gram, so that a search reads
+    the row groups of its grams only.
     """
-    n = max(1, -(-df.count() // rows))
-    blocks = df.repartitionByRange(n, order).withColumn("_block", F.spark_partition_id())
-    blocks.write.mode("overwrite").partitionBy("_block").parquet(f"{path}/rows")
+    n = max(1, -(-df.count() // max(rows, TASK_ROWS)))
+    at = F.col("_at")
+    placed = df.repartitionByRange(n, order).sortWithinPartitions(order).withColumn("_at", F.monotonically_increasing_id())
+    # The lower 33 bits are the row's place in its partition.
+    blocks = placed.withColumn("_block", at - at.bitwiseAND(F.lit((1 << 33) - 1)) % rows).withColumn("_part", F.shiftright(at, 33)).drop("_at")
+    blocks.write.mode("overwrite").partitionBy(*PLACE).parquet(f"{path}/rows")
     spark = df.sparkSession
     spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/schema")
     held = _rows(spark, path)
@@ -64,7 +72,7 @@ def build(df: DataFrame, path: str, order: str, rows: int = BLOCK_ROWS) -> None:
         return F.transform(starts, lambda i: F.substring(text, i, F.lit(GRAM)))
 
     # A block lies in one file, so most repeats go before the shuffle.
-    own = F.array_distinct(F.flatten(F.transform(texts(held.drop("_block")), grams)))
+    own = F.array_distinct(F.flatten(F.transform(texts(held.drop(*PLACE)), grams)))
     index = held.select("_block", F.explode(own).alias("gram")).distinct()
     index.repartitionByRange("gram").sortWithinPartitions("gram", "_block").write.mode("overwrite").parquet(f"{path}/grams")
 
@@ -72,7 +80,7 @@ def build(df: DataFrame, path: str, order: str, rows: int = BLOCK_ROWS) -> None:
 def _rows(spark: SparkSession, path: str) -> DataFrame:
     """The table and its blocks, by the schema written with it (an empty table has no file to tell it)."""
     (text,) = (r[0] for r in spark.read.text(f"{path}/schema").collect())
-    schema = StructType.fromJson(json.loads(text)).add("_block", "integer")
+    schema = StructType.fromJson(json.loads(text)).add(PLACE[0], "long").add(PLACE[1], "long")
     return spark.read.schema(schema).parquet(f"{path}/rows")
 
 
@@ -86,7 +94,7 @@ def blocks_of(spark: SparkSession, path: str, words: list[str]) -> list[int] | N
     wanted = [grams_of(str(w)) for w in words]
     if not all(wanted):
         return None
-    index = spark.read.schema("_block int, gram string").parquet(f"{path}/grams").filter(F.col("gram").isin(sorted({g for own in wanted for g in own})))
+    index = spark.read.schema("_block long, gram string").parquet(f"{path}/grams").filter(F.col("gram").isin(sorted({g for own in wanted for g in own})))
     there = index.groupBy("_block").agg(F.collect_set("gram").alias("grams"))  # at most the grams asked for
     all_of = F.lit(False)
     for own in wanted:
@@ -102,5 +110,5 @@ def search(spark: SparkSession, path: str, words: list[str] | str) -> DataFrame:
     blocks = blocks_of(spark, path, words)
     if blocks is not None:
         rows = rows.filter(F.col("_block").isin(blocks) if blocks else F.lit(False))
-    rows = rows.drop("_block")
+    rows = rows.drop(*PLACE)
     return rows.filter(any_keyword(rows, words))

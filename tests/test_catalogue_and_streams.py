@@ -235,3 +235,18 @@ def test_notes_of_samples_are_the_sql_texts(spark, tmp_path):
     want = sorted(con.execute(f'SELECT "Physical Sample ID", "Sample Notes" FROM ({queries.ORACLE_SQL["samples_display"]})').fetchall())
     found = queries.QUERIES["samples_display"](spark, str(tmp_path)).select("Physical Sample ID", "Sample Notes").collect()
     assert sorted(map(tuple, found)) == want
+
+
+def test_blocks_of_the_index_are_no_tasks(spark, tmp_path, monkeypatch):
+    """Each task tells the driver of itself and samples the order: their number does not follow that of the blocks."""
+    monkeypatch.setattr(keywords, "TASK_ROWS", 50, raising=False)
+    df = spark.range(3000).select(F.concat(F.lit("sample "), F.lpad(F.col("id").cast("string"), 5, "0")).alias("name"))
+    tracker, group = spark.sparkContext.statusTracker(), f"keywords {tmp_path}"
+    spark.sparkContext.setJobGroup(group, "build")
+    keywords.build(df, str(tmp_path / "index"), "name", 10)
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(k) for j in jobs for k in j.stageIds]
+    assert max(k.numTasks for k in stages if k) < 100
+    assert len(list((tmp_path / "index" / "rows").glob("*/_block=*"))) == 300
+    assert [r["name"] for r in keywords.search(spark, str(tmp_path / "index"), "02999").collect()] == ["sample 02999"]
