@@ -34,11 +34,15 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 EACH = 1 << 19
 
 
+def crowded(spark: SparkSession, rows: int, each: int = EACH) -> bool:
+    """Whether the session's number of partitions makes more than about ``each`` rows of a partition."""
+    return -(-rows // each) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def dealt(df: DataFrame, keys: list[str], rows: int, each: int = EACH) -> DataFrame:
     """``df`` dealt out by ``keys`` to partitions of about ``each`` rows, where the session's number of partitions would make them
     larger; so a task's memory does not grow with the table. ``rows`` is about the number of rows."""
-    n = -(-rows // each)
-    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*keys)
+    return df.repartition(-(-rows // each), *keys) if crowded(df.sparkSession, rows, each) else df.repartition(*keys)
 
 
 def components(pairs: DataFrame, name: str) -> DataFrame:

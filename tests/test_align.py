@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from growth_spark import queries
+from growth_spark.functions import exact
 from growth_spark.functions import time as times
 from growth_spark.operators import align
+from growth_spark.plans.tables import dealt
 
 COLUMNS = "data_id string, domain string, item_pos int, seq bigint, time_us bigint, metric string, value double"
 
@@ -193,3 +195,29 @@ def test_grids_unfolded_from_means_are_interpolated_dense_ones(spark, limit):
     want = sorted(map(tuple, align.interpolate(dense, ["signal"], limit).collect()), key=repr)
     for most in (1 << 20, 16):
         assert sorted(map(tuple, align.on_grid(df, df, one, ["signal"], limit, most).collect()), key=repr) == want
+
+
+def test_partitions_of_alignment_follow_the_rows(spark):
+    """More rows than the session's partitions should hold are dealt out to more; a constant domain, as queries have it, does not undo that."""
+    made = spark.range(4000).select((F.col("id") % 40).cast("string").alias("data_id"), F.lit("d").alias("domain"), (F.col("id") % 40).alias("item_pos"), F.col("id").alias("seq"), ((F.col("id") - F.col("id") % 3) * 1_000_000).alias("time_us"), F.lit("m").alias("metric"), (F.col("id") % 7 / 10).alias("value"))
+    first = align.first_at_each_time(made, each=250)
+    assert first.rdd.getNumPartitions() == 16 and sorted(first.collect()) == sorted(align.first_at_each_time(made).collect())
+    assert sorted(align.align(made, each=250).collect()) == sorted(align.align(made).collect())
+
+
+@pytest.mark.parametrize("most", [50, 3000])
+def test_means_of_many_rows_are_dealt_out_and_crowded_groups_in_shares(spark, monkeypatch, most):
+    sizes = []
+
+    def watched(*args):
+        out = dealt(*args)
+        sizes.append(max(map(len, out.rdd.glom().collect())))
+        return out
+
+    monkeypatch.setattr(exact, "dealt", watched)
+    data = [("crowd" if most > 50 else str(i % 60), i, (None, 0.1, 0.34, -1e14, float("nan") if i > 2900 else 1.7)[i % 5]) for i in range(3000)] + [("empty", 0, None)]
+    df = spark.createDataFrame(data, "k string, t int, value double")
+    exps = exact.exponents(df)
+    found = exact.means(df, ["k"], exps, rows=3001, most=most, by=("t",), each=100)
+    assert sizes and max(sizes) < 500 and found.rdd.getNumPartitions() == 31
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, exact.means(df, ["k"], exps).collect()))
