@@ -79,14 +79,15 @@ def mean(exps: list[int], name: str) -> Column:
     return F.when(F.col(f"{name}_n") > 0, F.coalesce(f"{name}_odd", quotient))
 
 
-def means(df: DataFrame, keys: list[str], exps: list[int], value: str = "value", rows: int = 0, most: int = 0, by: tuple[str, ...] = (), each: int = EACH) -> DataFrame:
+def means(df: DataFrame, keys: list[str], exps: list[int], value: str = "value", rows: int = 0, most: int = 0, by: tuple[str, ...] = (), apart: list[str] | None = None, each: int = EACH) -> DataFrame:
     """(keys, value): the mean of each group's values, from one aggregation with partial sums.
 
     ``exps`` come from ``exponents`` of ``df`` or of rows that hold its values.
 
     Where ``rows``, about their number, are more than ``each`` a partition of the session's, they are dealt out to more
-    partitions before they are summed. ``most`` is a number of rows that no group passes: if it is more than ``each``, groups
-    are summed in shares first, which columns ``by`` tell apart, so that no group is dealt out whole to one task.
+    partitions before they are summed, by those of the keys that ``apart`` names or by all. ``most`` is a number of rows that no
+    group passes: if it is more than ``each``, groups are summed in shares first, which columns ``by`` tell apart, so that no
+    group is dealt out whole to one task.
     """
     summed = sums(value, exps, "_x")
     if crowded(df.sparkSession, rows, each):
@@ -96,7 +97,7 @@ def means(df: DataFrame, keys: list[str], exps: list[int], value: str = "value",
             shares = df.withColumn("_share", F.pmod(F.xxhash64(*by), F.lit(-(-most // each))))
             df = dealt(shares, share, rows, each).groupBy(*share).agg(*summed)
             summed = [F.sum(c).alias(c) for c in df.columns if c not in share]
-        df = dealt(df, keys, rows, each)
+        df = dealt(df, apart or keys, rows, each)
     return df.groupBy(*keys).agg(*summed).select(*keys, mean(exps, "_x").alias(value))
 
 

@@ -205,6 +205,17 @@ def test_partitions_of_alignment_follow_the_rows(spark):
     assert sorted(align.align(made, each=250).collect()) == sorted(align.align(made).collect())
 
 
+def test_signals_are_dealt_out_whole_where_items_are_small(spark, monkeypatch):
+    """Else merging would count a signal once in every partition that has one of its bins, which grows with the partitions."""
+    held, merged = [], align.merge_compatible
+    monkeypatch.setattr(align, "merge_compatible", lambda means: held.append(means) or merged(means))
+    made = rows(spark, [r for k in range(600) for r in item(f"i{k}", k, [(t, 0.1 * t) for t in range(12)])])
+    found = align.align(made, each=200)
+    at = {(r["data_id"], r["metric"], r["file"]) for r in held[0].withColumn("file", F.input_file_name()).collect()}
+    assert len({f for *_, f in at}) > 30 and len(at) == 600
+    assert sorted(found.collect()) == sorted(align.align(made).collect())
+
+
 @pytest.mark.parametrize("most", [50, 3000])
 def test_means_of_many_rows_are_dealt_out_and_crowded_groups_in_shares(spark, monkeypatch, most):
     sizes = []
