@@ -45,15 +45,17 @@ def _parts(value: Column, exps: list[int]) -> list[Column]:
     return out
 
 
-def _quotient(exps: list[int]):
+def _quotient(exps: list[int], summed: bool = False):
     """Function of columns (n, parts' sums): the double nearest to their sum divided by ``n``. Integers divide exactly rounded,
-    so the mean of equal values is that value, however many they are."""
+    so the mean of equal values is that value, however many they are. With ``summed`` the sum is made a double before."""
     unit = exps[-1]
     shifts = [e - unit for e in exps]
 
     def nearest(n: int, parts: tuple) -> float:
         total = sum(int(p) << s for p, s in zip(parts, shifts, strict=True))
         try:
+            if summed:
+                return (total / (1 << -unit) if unit < 0 else float(total << unit)) / n
             return total / (n << -unit) if unit < 0 else (total << unit) / n
         except OverflowError:
             return math.copysign(math.inf, total)
@@ -73,9 +75,10 @@ def sums(value: str, exps: list[int], name: str) -> list[Column]:
     return [*parts, F.sum(F.when(odd, x)).alias(f"{name}_odd"), F.count(x).alias(f"{name}_n")]
 
 
-def mean(exps: list[int], name: str) -> Column:
-    """The mean from ``sums``: null where all are null, NaN or infinite where the plain sum is."""
-    quotient = _quotient(exps)(f"{name}_n", *(F.coalesce(f"{name}_part{k}", F.lit(0).cast("bigint")) for k in range(len(exps))))
+def mean(exps: list[int], name: str, summed: bool = False) -> Column:
+    """The mean from ``sums``: null where all are null, NaN or infinite where the plain sum is. With ``summed`` it is rounded twice,
+    as engines do that sum doubles and then divide: the sum, then the quotient."""
+    quotient = _quotient(exps, summed)(f"{name}_n", *(F.coalesce(f"{name}_part{k}", F.lit(0).cast("bigint")) for k in range(len(exps))))
     return F.when(F.col(f"{name}_n") > 0, F.coalesce(f"{name}_odd", quotient))
 
 

@@ -14,6 +14,7 @@ from .pattern import FEW, edges, overlapping
 MEANS = ("centroid_0", "centroid_1", "intensity_centroid_0", "intensity_centroid_1", "relative_centroid_0", "relative_centroid_1", "relative_intensity_centroid_0", "relative_intensity_centroid_1", "bbox_minc", "bbox_minr", "bbox_maxc", "bbox_maxr", "area", "specular_origin_0", "specular_origin_1", "center_distance", "fwhm_0", "fwhm_1", "eccentricity", "axis_major_length", "axis_minor_length", "bbox_intensity", "spot_area", "streak_area", "roughness_metric", "distances")
 FIRSTS = ("pattern_id", "mask_width", "mask_height")
 BOX = ("bbox_minr", "bbox_minc", "bbox_maxr", "bbox_maxc")
+EXACT = (*BOX, "centroid_0", "centroid_1")
 #: Passes after which a pattern that still changes is an error.
 MOST_PASSES = 50
 
@@ -30,20 +31,21 @@ def _united(runs: Column) -> Column:
 
 
 def _summed(df: DataFrame, keys: list[str], exps: list[int], seq: str = "seq") -> DataFrame:
-    """Means, firsts and united masks of each group. Means of boxes are exact, since boxes are compared afterwards."""
+    """Means, firsts and united masks of each group. Sums of boxes and centres are exact before they are rounded, since boxes are
+    compared afterwards and centres are told by many digits: so the order of the rows changes neither."""
     firsts = [F.min_by(c, seq).alias(c) for c in _columns(df, FIRSTS)]
     masks = [_united(F.flatten(F.collect_list("runs"))).alias("runs")] if "runs" in df.columns else []
     own = [] if "node_id" in keys else [F.min("node_id").alias("node_id")]
-    box = [x for c in BOX for x in exact.sums(c, exps, f"_{c}")]
-    plain = [F.avg(c).alias(c) for c in _columns(df, MEANS) if c not in BOX]
-    grouped = df.groupBy(*keys).agg(*plain, *box, *own, *firsts, *masks, *([F.min(seq).alias("seq")] if seq not in keys else []))
-    return grouped.select(*(c for c in grouped.columns if not any(c.startswith(f"_{b}_") for b in BOX)), *(exact.mean(exps, f"_{c}").alias(c) for c in BOX))
+    sums = [x for c in EXACT for x in exact.sums(c, exps, f"_{c}")]
+    plain = [F.avg(c).alias(c) for c in _columns(df, MEANS) if c not in EXACT]
+    grouped = df.groupBy(*keys).agg(*plain, *sums, *own, *firsts, *masks, *([F.min(seq).alias("seq")] if seq not in keys else []))
+    return grouped.select(*(c for c in grouped.columns if not any(c.startswith(f"_{b}_") for b in EXACT)), *(exact.mean(exps, f"_{c}", summed=True).alias(c) for c in EXACT))
 
 
 def merge_pass(nodes: DataFrame, few: int = FEW) -> DataFrame:
     """Each node becomes the sum of all whose boxes it overlaps; equal smallest ids then become one; ids above 1000 are
     numbered on from the largest below, the largest first. Pairs are found by boxes alone; the rest of a node follows them."""
-    exps = exact.exponents(nodes, *BOX)
+    exps = exact.exponents(nodes, *EXACT)
     pairs = overlapping(nodes.select("data_id", "seq", *[F.col(c).alias(c[5:]) for c in BOX]), 4, few)
     met = pairs.withColumnsRenamed({"a": "at", "b": "seq"}).join(nodes, ["data_id", "seq"])
     first = _summed(met, ["data_id", "at"], exps).drop("seq").withColumnRenamed("at", "seq")

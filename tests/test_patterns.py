@@ -280,6 +280,15 @@ def test_symmetrised_rounds_as_its_sql(spark, tmp_path):
     assert sorted(map(tuple, found)) == sorted(con.execute(queries.ORACLE_SQL["symmetrised"]).fetchall())
 
 
+def test_merged_centres_do_not_depend_on_the_order_of_nodes(spark):
+    """A centre is its nodes' exact sum, rounded, over their number, in whichever order they come."""
+    centres = [2.0**53, 1.0, 1.0, 0.1, 1.0, 1.0, -(2.0**53)]
+    one = math.fsum(centres) / len(centres)
+    data = [(*node("a", i, 10, 20, 20)[:3], c, *node("a", i, 10, 20, 20)[4:]) for i, c in enumerate(centres)]
+    for rows in (data, data[::-1], data[3:] + data[:3]):
+        assert [r["centroid_0"] for r in symmetry.merge_pass(spark.createDataFrame(rows, NODE)).collect()] == [math.fsum([one] * len(centres)) / len(centres)]
+
+
 def test_small_collections_are_linked_without_joins(spark, monkeypatch):
     """The numbers are those of the way by groups of candidates; rows without an image, a place or a collection have theirs."""
     rng = np.random.default_rng(5)
