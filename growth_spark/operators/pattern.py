@@ -13,14 +13,14 @@ FEATURES = ("spot_area", "streak_area", "relative_centroid_0", "relative_centroi
 EDGE = ("weight", "horizontal_weight", "vertical_weight", "horizontal_overlap")
 
 
-def edges(nodes: DataFrame, each: int = tables.EACH) -> DataFrame:
+def edges(nodes: DataFrame, each: int = tables.EACH, rows: int | None = None) -> DataFrame:
     """Each pair of nodes of an image, smaller id first, with distances and whether they overlap horizontally.
 
     Of nodes of one id one is taken, so pairs need not be told apart afterwards. Images are dealt out once, to partitions of
-    about ``each`` nodes, which both sides of the join share.
+    about ``each`` nodes, which both sides of the join share. ``rows`` is about the number of nodes, where the caller has it.
     """
     columns = ["node_id", "centroid_0", "centroid_1", "bbox_minc", "bbox_maxc"]
-    nodes = tables.dealt(nodes.select("data_id", *columns), ["data_id"], nodes.count(), each).dropDuplicates(["data_id", "node_id"])
+    nodes = tables.dealt(nodes.select("data_id", *columns), ["data_id"], nodes.count() if rows is None else rows, each).dropDuplicates(["data_id", "node_id"])
     x, y = (nodes.select("data_id", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in ("x", "y"))
     weight, across, down = edge_metrics((F.col("centroid_0_x"), F.col("centroid_1_x")), (F.col("centroid_0_y"), F.col("centroid_1_y")))
     overlap = horizontal_overlap(*(F.col(c) for c in ("bbox_minc_x", "bbox_maxc_x", "bbox_minc_y", "bbox_maxc_y")))

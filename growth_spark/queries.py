@@ -15,7 +15,7 @@ from .functions import chunks, exact, geometry, masks, text
 from .functions import time as times
 from .operators import align, laue, linking, ml, pattern, stats, symmetry
 from .plans import rollup
-from .plans.tables import folder
+from .plans.tables import dealt, folder
 from .sources import catalogue, files, graphs, keywords, series, spectra
 from .streaming import chunk_store, frames, items
 from .streaming.poll import Poll
@@ -474,8 +474,9 @@ def clean_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as nodes of the image that is their order; repeated line numbers keep the first."""
-    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("data_id"), F.col("l_linenumber").cast("bigint").alias("node_id")).agg(F.min(F.struct("l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")).alias("r"))
+    """Line items as nodes of the image that is their order; repeated line numbers keep the first. An image's nodes lie together."""
+    lines = table(spark, sf_dir, "lineitem")
+    rows = dealt(lines, ["l_orderkey"], lines.count()).groupBy(F.col("l_orderkey").alias("data_id"), F.col("l_linenumber").cast("bigint").alias("node_id")).agg(F.min(F.struct("l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")).alias("r"))
     box = {"bbox_minc": F.col("r.l_quantity") - 5, "bbox_maxc": F.col("r.l_quantity") + 5, "bbox_minr": F.floor(F.col("r.l_extendedprice") / 1000) - 5, "bbox_maxr": F.floor(F.col("r.l_extendedprice") / 1000) + 5}
     return rows.select("data_id", "node_id", F.col("node_id").alias("seq"), (F.col("r.l_extendedprice") / 1000).alias("centroid_0"), F.col("r.l_quantity").alias("centroid_1"), F.col("r.l_discount").alias("area"), F.col("r.l_tax").alias("eccentricity"), *[c.cast("int").alias(n) for n, c in box.items()])
 
@@ -725,7 +726,7 @@ def symmetrised(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All images' patterns mirrored about the middle of their boxes and merged until they settle."""
     rows = nodes(spark, sf_dir)
     rows = rows.withColumns({"specular_origin_1": F.lit(25.5), "intensity_centroid_1": F.col("centroid_1") - 25.5, "relative_centroid_1": F.col("centroid_1") - 25.5})
-    found, _ = symmetry.symmetrised(rows)
+    found, _ = symmetry.symmetrised(rows, together=True)
     return found.select("data_id", "node_id", *(exact.rounded(F.col(c), 9).alias(c) for c in ("centroid_0", "centroid_1")))
 
 

@@ -289,6 +289,46 @@ def test_merged_centres_do_not_depend_on_the_order_of_nodes(spark):
         assert [r["centroid_0"] for r in symmetry.merge_pass(spark.createDataFrame(rows, NODE)).collect()] == [math.fsum([one] * len(centres)) / len(centres)]
 
 
+def test_small_images_are_symmetrised_without_joins(spark, monkeypatch):
+    """One task merges an image as the joins do, masks, missing sides, repeated ids and long chains too; nothing is written."""
+    rng = np.random.default_rng(8)
+    data = []
+    for image, n in [*((f"i{k}", int(rng.integers(1, 9))) for k in range(25)), ("many", 40), (None, 2), ("none", 2)]:
+        for i in range(n):
+            r, c = (int(x) for x in rng.integers(0, 40, 2))
+            own = list(node(image, i, r, c, 19.5, 3))
+            own[2] = (i, i // 2, 995 + 5 * i)[int(rng.integers(0, 3))]
+            own[3:5] = float(rng.normal() * 10), (None, 19.5, float(c))[int(rng.integers(0, 9)) // 4 if i else 2]
+            own[8:] = [None if image == "none" or rng.random() < 0.02 else x for x in own[8:]]
+            start = int(rng.integers(0, 1500))
+            data.append((*own, None if rng.random() < 0.2 else float(i), f"p{i}", 40, 40, None if rng.random() < 0.2 else [(start, start + int(rng.integers(1, 90)))]))
+    chain = [(*node("chain", i, 3 * i, 0, 100), 1.0, "p", 40, 40, []) for i in range(5)]
+    nodes = spark.createDataFrame(data + chain, NODE + ", area double, pattern_id string, mask_width int, mask_height int, runs array<struct<start:bigint,end:bigint>>").repartition(3)
+    columns = ["data_id", "node_id", "seq", "centroid_0", "centroid_1", *symmetry.BOX, "pattern_id", "mask_width", "runs", "area", "intensity_centroid_1"]
+    rows = lambda df: sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+    joined, _ = symmetry.symmetrised(nodes, whole=2)
+    want = rows(joined)
+    monkeypatch.setattr(symmetry, "cut", lambda *_: pytest.fail("a pass is written"))
+    found, edges = symmetry.symmetrised(nodes)
+    one = rows(found)
+    assert [r[:-2] for r in one] == [r[:-2] for r in want] and len(one) > 100
+    assert all((x is None) == (y is None) and (x is None or x == pytest.approx(y)) for r, w in zip(one, want, strict=True) for x, y in zip(r[-2:], w[-2:], strict=True))
+    assert {r["data_id"] for r in edges.collect()} <= {r[0] for r in want} and found.schema["runs"] == joined.schema["runs"]
+    with pytest.raises(Exception, match="did not settle"):
+        symmetry.symmetrised(nodes, passes=1)[0].collect()
+
+
+def test_symmetrised_shuffles_its_nodes_once(spark, tmp_path, monkeypatch):
+    """Line items are dealt out by their order before they are nodes, in partitions that follow their number, and stay there."""
+    lines = pd.DataFrame({"l_orderkey": np.arange(600) // 4, "l_linenumber": np.arange(600, dtype=np.int32) % 4, "l_partkey": 1, "l_quantity": np.arange(600) % 50 + 1.0, "l_extendedprice": np.arange(600) * 37.5, "l_discount": 0.1, "l_tax": 0.1})
+    lines.to_parquet(tmp_path / "lineitem.parquet")
+    usual = sorted(map(tuple, queries.QUERIES["symmetrised"](spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(queries, "dealt", lambda df, keys, rows: tables.dealt(df, keys, rows, each=50))
+    found = queries.QUERIES["symmetrised"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and found.rdd.getNumPartitions() == 12 and sorted(map(tuple, found.collect())) == usual
+
+
 def test_small_collections_are_linked_without_joins(spark, monkeypatch):
     """The numbers are those of the way by groups of candidates; rows without an image, a place or a collection have theirs."""
     rng = np.random.default_rng(5)
